@@ -93,4 +93,64 @@ def sql() -> dict[str, str]:
         FROM {PAIR_STATS} ORDER BY cnt DESC, first LIMIT 20"""
     q["corpus_token_stats"] = f"""SELECT count(*)::BIGINT AS docs, sum(octet_length(encode(text)))::BIGINT AS bytes,
         sum(len({pretok_sql('text')}))::BIGINT AS pretokens FROM {CLEAN_DOCS_F}"""
+    q.update(bpe_sql())
     return q
+
+
+def _bpe_ctes(k: int) -> str:
+    """Unrolled one-at-a-time BPE training for ``k`` rounds.
+
+    A word is written ``<97><98>``; merging is ``replace`` of ``<a><b>``.
+    """
+    ctes = [
+        f"""w0 AS MATERIALIZED (SELECT '<' || array_to_string({bytes_list_sql('pretoken')}, '><') || '>' AS w,
+               freq, first FROM {WORD_FREQ})"""
+    ]
+    for r in range(k):
+        ctes.append(
+            f"""s{r} AS MATERIALIZED (SELECT a, b, sum(freq) AS cnt, min({{'d': first.d, 'p': first.p, 'i': i}}) AS f
+          FROM (SELECT a, b, freq, first, min(i) AS i FROM (
+                  SELECT ids[i] AS a, ids[i + 1] AS b, i, freq, first
+                  FROM (SELECT list_transform(string_split(w[2:-2], '><'), lambda x: x::INTEGER) AS ids, freq, first
+                        FROM w{r}) t, LATERAL (SELECT unnest(range(1, len(t.ids))) AS i))
+                GROUP BY a, b, freq, first)
+          GROUP BY a, b)"""
+        )
+        ctes.append(f"m{r} AS MATERIALIZED (SELECT a, b FROM s{r} ORDER BY cnt DESC, f LIMIT 1)")
+        ctes.append(
+            f"""w{r + 1} AS MATERIALIZED (SELECT replace(w, '<' || m.a || '><' || m.b || '>', '<{256 + r}>') AS w,
+               freq, first FROM w{r}, m{r} m)"""
+        )
+    return "WITH " + ",\n".join(ctes)
+
+
+BPE_K = 8
+
+
+def bpe_sql() -> dict[str, str]:
+    k = BPE_K
+    ctes = _bpe_ctes(k)
+    merges = " UNION ALL ".join(
+        f"SELECT {r}::BIGINT AS rank, a::BIGINT AS a, b::BIGINT AS b, {256 + r}::BIGINT AS new_id FROM m{r}"
+        for r in range(k)
+    )
+    vocab_parts = ["v0 AS MATERIALIZED (SELECT range AS id, printf('%02X', range) AS hex FROM range(256))"]
+    for r in range(k):
+        vocab_parts.append(
+            f"""v{r + 1} AS MATERIALIZED (SELECT id, hex FROM v{r} UNION ALL
+                SELECT {256 + r}, (SELECT hex FROM v{r} WHERE id = m.a) || (SELECT hex FROM v{r} WHERE id = m.b)
+                FROM m{r} m)"""
+        )
+    vocab_ctes = ctes + ",\n" + ",\n".join(vocab_parts)
+    eot_id = 256 + k
+    return {
+        "bpe_train": f"{ctes}\n{merges}",
+        "merge_word": f"""{ctes}
+            SELECT pretoken, replace(w[2:-2], '><', ' ') AS ids FROM (
+              SELECT pretoken, replace('<' || array_to_string({bytes_list_sql('pretoken')}, '><') || '>',
+                                        '<' || m.a || '><' || m.b || '>', '<256>') AS w
+              FROM {WORD_FREQ}, m0 m)""",
+        "bpe_vocab": f"""{vocab_ctes}
+            SELECT id::BIGINT AS token_id, hex FROM v{k}
+            UNION ALL SELECT {eot_id}::BIGINT, hex('<|endoftext|>')""",
+    }

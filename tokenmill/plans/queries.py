@@ -129,4 +129,48 @@ def registry() -> dict[str, Query]:
         "pair_stats": q_pair_stats,
         "top_pair": q_top_pair,
         "corpus_token_stats": q_corpus_token_stats,
+        **_extra(),
     }
+
+
+def _extra() -> dict[str, Query]:
+    out: dict[str, Query] = {}
+    for name in sorted(k for k in globals() if k.startswith("_REGISTRY_")):
+        out.update(globals()[name])
+    return out
+
+
+# ---- BPE training --------------------------------------------------------------------------
+from tokenmill.operators import bpe as B  # noqa: E402
+
+BPE_VOCAB = 256 + 8 + 1  # 8 merges + EOT: the oracle unrolls eight rounds
+
+
+def _word_freq(spark, sf):
+    return P.pretoken_counts(_clean(spark, sf))
+
+
+def q_bpe_train(spark, sf):
+    model = B.bpe_train(_word_freq(spark, sf), BPE_VOCAB)
+    return model.merges_df(spark).select(*[F.col(c).cast("bigint").alias(c) for c in ("rank", "a", "b", "new_id")])
+
+
+def q_merge_word(spark, sf):
+    from tokenmill.functions.ids import code_units_to_ids, latin1_word
+
+    wf = _word_freq(spark, sf)
+    top = B.word_pair_stats(B.word_table(wf)).orderBy(F.col("cnt").desc(), F.col("first").asc()).limit(1).collect()
+    w = latin1_word(F.col("pretoken"))
+    if top:
+        pair = top[0]["pair"]
+        w = B.merge_word(w, B._char_id(pair[0]), B._char_id(pair[1]), 256)
+    return wf.select("pretoken", ids_to_string(code_units_to_ids(w)).alias("ids"))
+
+
+def q_bpe_vocab(spark, sf):
+    model = B.bpe_train(_word_freq(spark, sf), BPE_VOCAB)
+    v = B.bpe_vocab(model, spark)
+    return v.select(F.col("token_id").cast("bigint").alias("token_id"), F.hex("bytes").alias("hex"))
+
+
+_REGISTRY_BPE = {"bpe_train": q_bpe_train, "merge_word": q_merge_word, "bpe_vocab": q_bpe_vocab}
