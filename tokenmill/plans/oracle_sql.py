@@ -37,10 +37,7 @@ def pretok_sql(col: str) -> str:
 
 def bytes_list_sql(col: str) -> str:
     """UTF-8 bytes of a string as a DuckDB list of ints."""
-    return (
-        f"list_transform(range(strlen({col})), "
-        f"lambda i: ('0x' || substr(hex(encode({col})), 2*i+1, 2))::INTEGER)"
-    )
+    return f"list_transform(regexp_extract_all(hex(encode({col})), '..'), lambda h: ('0x' || h)::INTEGER)"
 
 
 CLEAN_DOCS = f"(SELECT doc_id, {strip_sql("coalesce(text, '')")} AS text FROM documents)"
@@ -95,6 +92,7 @@ def sql() -> dict[str, str]:
         sum(len({pretok_sql('text')}))::BIGINT AS pretokens FROM {CLEAN_DOCS_F}"""
     q.update(bpe_sql())
     q.update(codec_sql())
+    q.update(windows_sql())
     return q
 
 
@@ -211,3 +209,58 @@ def codec_sql() -> dict[str, str]:
         "utf8_decode": f"""SELECT doc_id, text || 'ok' || chr(65533) || chr(65533) || ' z' AS replaced,
                  text || 'ok z' AS ignored FROM {CLEAN_DOCS_F}""",
     }
+
+
+# ---- token stream (raw bytes + EOT id 256 after every document) ----
+CONV_CLEAN = f"""(SELECT conv_id, turn, t AS text FROM (
+    SELECT conv_id, turn, {strip_sql("coalesce(text, '')")} AS t FROM conversations) WHERE length(t) > 0)"""
+
+
+def _stream_ctes(src: str, keys: str, T: int, n_samples: str, seed: int, prefix: str) -> str:
+    """CTEs ``{prefix}offs``, ``{prefix}pre`` (exclusive prefix sums), ``{prefix}win``."""
+    return f"""
+    {prefix}docs AS MATERIALIZED (SELECT {keys}, list_concat({bytes_list_sql('text')}, [256]) AS ids FROM {src}),
+    {prefix}offs AS MATERIALIZED (SELECT {keys}, len(ids)::BIGINT AS n_tokens,
+        (sum(len(ids)) OVER (ORDER BY {keys} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - len(ids))::BIGINT AS start
+        FROM {prefix}docs),
+    {prefix}tok AS MATERIALIZED (SELECT o.start + i - 1 AS pos, id::BIGINT AS id FROM
+        (SELECT {keys}, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM {prefix}docs) d
+        JOIN {prefix}offs o USING ({keys})),
+    {prefix}pre AS MATERIALIZED (SELECT pos,
+        coalesce(sum(id) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS P,
+        coalesce(sum(pos * id) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS Q
+        FROM {prefix}tok),
+    {prefix}n AS MATERIALIZED (SELECT (sum(n_tokens) - {T} - 1)::BIGINT AS max_start FROM {prefix}offs),
+    {prefix}win AS MATERIALIZED (SELECT range AS sample_id,
+        ('0x' || substr(md5('{seed}:' || range), 1, 15))::BIGINT % (SELECT max_start FROM {prefix}n) AS start
+        FROM range({n_samples})),
+    {prefix}ex AS MATERIALIZED (SELECT w.sample_id, w.start,
+        (b.P - a.P)::BIGINT AS x_sum,
+        ((b.Q - a.Q) - (w.start - 1) * (b.P - a.P))::BIGINT AS x_wsum,
+        ((d.Q - c.Q) - w.start * (d.P - c.P))::BIGINT AS y_wsum
+        FROM {prefix}win w
+        JOIN {prefix}pre a ON a.pos = w.start JOIN {prefix}pre b ON b.pos = w.start + {T}
+        JOIN {prefix}pre c ON c.pos = w.start + 1 JOIN {prefix}pre d ON d.pos = w.start + {T} + 1)"""
+
+
+def windows_sql() -> dict[str, str]:
+    T, BATCH = 32, 32
+    full = "(SELECT max_start FROM n)"
+    base = "WITH " + _stream_ctes(CLEAN_DOCS_F, "doc_id", T, full, 42, "").lstrip().lstrip(",")
+    offs_only = "WITH " + base[5:].split("tok AS MATERIALIZED")[0].rstrip().rstrip(",")
+    tr = _stream_ctes(CLEAN_DOCS_F, "doc_id", T, "160000", 42, "t_")
+    va = _stream_ctes(CONV_CLEAN, "conv_id, turn", T, "1024", 43, "v_")
+    return {
+        "token_offsets": f"{offs_only} SELECT doc_id, n_tokens, start FROM offs",
+        "sample_windows": f"""{offs_only},
+            n AS (SELECT (sum(n_tokens) - {T} - 1)::BIGINT AS max_start FROM offs)
+            SELECT range AS sample_id, ('0x' || substr(md5('42:' || range), 1, 15))::BIGINT % (SELECT max_start FROM n) AS start
+            FROM range((SELECT max_start FROM n))""",
+        "window_examples": f"{base} SELECT sample_id, start, x_sum, x_wsum, y_wsum FROM ex",
+        "batch_examples": f"""{base} SELECT (sample_id // {BATCH})::BIGINT AS batch_id, count(*)::BIGINT AS n_examples,
+              sum(x_sum)::BIGINT AS x_sum, min(sample_id) AS first_sample
+            FROM ex WHERE sample_id < ((SELECT max_start FROM n) // {BATCH}) * {BATCH} GROUP BY 1""",
+        "holdout_examples": f"""WITH {tr.strip()}, {va.strip()}
+            SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'train' AS split FROM t_ex
+            UNION ALL SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'val' AS split FROM v_ex""",
+    }

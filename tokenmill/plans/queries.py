@@ -260,3 +260,84 @@ _REGISTRY_CODEC = {
     "check_token_width": q_check_token_width,
     "utf8_decode": q_utf8_decode,
 }
+
+
+# ---- token stream layout, windows, batches -------------------------------------------------
+from tokenmill.operators import windows as W  # noqa: E402
+
+CONTEXT = 32
+BATCH = 32
+SEED = 42
+TRAIN_SAMPLES = 5000 * BATCH  # steps × batch size, the reference's default run
+EVAL_SAMPLES = 32 * BATCH  # eval batches × batch size
+
+
+def byte_model() -> B.BpeModel:
+    """No merges: ids are raw UTF-8 bytes, EOT = 256."""
+    return B.BpeModel(merges=[], vocab_size=257, eot_id=256)
+
+
+def _stream_docs(spark, sf, table="documents"):
+    if table == "documents":
+        docs, keys = _clean(spark, sf), ["doc_id"]
+    else:
+        docs = C.clean_documents(read_table(spark, sf, "conversations", ["conv_id", "turn", "text"]))
+        keys = ["conv_id", "turn"]
+    return X.encode_corpus(docs, byte_model()), keys
+
+
+def _examples(spark, sf, table="documents", num_samples=None, seed=SEED):
+    enc, keys = _stream_docs(spark, sf, table)
+    from tokenmill.session import materialize
+
+    enc = materialize(enc.select(*keys, "ids"), "stream")
+    offs = W.token_offsets(enc, keys)
+    n = W.stream_length(offs)
+    wins = W.sample_windows(spark, n, CONTEXT, num_samples, seed)
+    blocks = W.token_blocks(enc, keys)
+    k = num_samples if num_samples is not None else n - CONTEXT - 1
+    return W.window_examples(wins, blocks, CONTEXT, num_samples=k), k
+
+
+def q_token_offsets(spark, sf):
+    enc, keys = _stream_docs(spark, sf)
+    return W.token_offsets(enc, keys)
+
+
+def q_sample_windows(spark, sf):
+    enc, keys = _stream_docs(spark, sf)
+    n = W.stream_length(W.token_offsets(enc, keys))
+    return W.sample_windows(spark, n, CONTEXT, None, SEED)
+
+
+def q_window_examples(spark, sf):
+    ex, _ = _examples(spark, sf)
+    return W.window_checksums(ex)
+
+
+def q_batch_examples(spark, sf):
+    ex, k = _examples(spark, sf)
+    sums = W.window_checksums(ex)
+    b = W.batch_examples(sums, BATCH, k)
+    return b.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_examples"),
+        F.sum("x_sum").cast("bigint").alias("x_sum"),
+        F.min("sample_id").alias("first_sample"),
+    )
+
+
+def q_holdout_examples(spark, sf):
+    train, _ = _examples(spark, sf, "documents", TRAIN_SAMPLES, SEED)
+    val, _ = _examples(spark, sf, "conversations", EVAL_SAMPLES, SEED + 1)
+    return W.window_checksums(train).withColumn("split", F.lit("train")).unionByName(
+        W.window_checksums(val).withColumn("split", F.lit("val"))
+    )
+
+
+_REGISTRY_WINDOWS = {
+    "token_offsets": q_token_offsets,
+    "sample_windows": q_sample_windows,
+    "window_examples": q_window_examples,
+    "batch_examples": q_batch_examples,
+    "holdout_examples": q_holdout_examples,
+}
