@@ -49,3 +49,13 @@ def id_char(token_id: int) -> str:
 def ids_to_string(c: Column | str, sep: str = " ") -> Column:
     """``array<int>`` → ``'1 2 3'`` (a comparison-friendly rendering)."""
     return F.array_join(_col(c).cast("array<string>"), sep)
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda variable.
+
+    Catalyst inlines projected columns into lambdas, where a reference is
+    re-evaluated per array element; binding through a one-element
+    ``transform`` keeps the cost at one evaluation per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB, SURROGATE_SHIFT, SURROGATE_START
-from tokenmill.functions.ids import id_char, latin1_word
+from tokenmill.functions.ids import id_char, latin1_word, let
 from tokenmill.session import materialize
 
 
@@ -89,7 +89,12 @@ def word_pair_stats(words: DataFrame) -> DataFrame:
         "freq",
         "first",
         F.posexplode(
-            F.expr("array_distinct(transform(sequence(1, length(w) - 1), i -> substr(w, i, 2)))")
+            let(
+                F.col("w"),
+                lambda w: F.array_distinct(
+                    F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))
+                ),
+            )
         ).alias("idx", "pair"),
     )
     return exploded.groupBy("pair").agg(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.functions.ids import utf8_byte_ids
+from tokenmill.functions.ids import let, utf8_byte_ids
 from tokenmill.functions.text import pretokens
 
 
@@ -59,15 +59,18 @@ def adjacent_pairs(ids: Column) -> Column:
 
     ``array<struct<a:int,b:int>>``; empty for fewer than two ids.
     """
-    return F.when(
-        F.size(ids) >= 2,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.size(ids) - 1),
-                lambda i: F.struct(F.element_at(ids, i).alias("a"), F.element_at(ids, i + 1).alias("b")),
-            )
-        ),
-    ).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+    def pairs(v: Column) -> Column:
+        return F.when(
+            F.size(v) >= 2,
+            F.array_distinct(
+                F.transform(
+                    F.sequence(F.lit(1), F.size(v) - 1),
+                    lambda i: F.struct(F.element_at(v, i).alias("a"), F.element_at(v, i + 1).alias("b")),
+                )
+            ),
+        ).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+
+    return let(ids, pairs)
 
 
 def pair_stats(words: DataFrame, ids_col: str = "ids", freq_col: str = "freq") -> DataFrame:

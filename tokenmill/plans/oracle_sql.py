@@ -93,6 +93,7 @@ def sql() -> dict[str, str]:
     q.update(bpe_sql())
     q.update(codec_sql())
     q.update(windows_sql())
+    q.update(scores_sql())
     return q
 
 
@@ -264,3 +265,37 @@ def windows_sql() -> dict[str, str]:
             SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'train' AS split FROM t_ex
             UNION ALL SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'val' AS split FROM v_ex""",
     }
+
+
+def scores_sql() -> dict[str, str]:
+    T, P = 0.9, 0.9
+    e = """e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, (generate_subscripts(embedding, 1) - 1) AS item
+              FROM embeddings)"""
+    sm = f"""{e},
+        s1 AS (SELECT vec_id, item, x / {T} AS s, max(x / {T}) OVER (PARTITION BY vec_id) AS m FROM e),
+        sm AS (SELECT vec_id, item, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY vec_id) AS p FROM s1)"""
+    nuc = f"""{sm},
+        srt AS (SELECT vec_id, item, p, coalesce(sum(p) OVER (PARTITION BY vec_id ORDER BY p DESC, item
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS excl FROM sm),
+        kept AS (SELECT vec_id, item, p FROM srt WHERE excl <= {P}),
+        nuc AS (SELECT vec_id, item, p / (sum(p) OVER (PARTITION BY vec_id) + 1e-12) AS p FROM kept)"""
+    return {
+        "softmax_scores": f"WITH {sm} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM sm",
+        "top_p_filter": f"WITH {nuc} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM nuc",
+        "weighted_choice": f"""WITH {nuc},
+            cum AS (SELECT vec_id, item, p, sum(p) OVER (PARTITION BY vec_id ORDER BY p DESC, item
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c,
+                    row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, item) AS rk FROM nuc),
+            u AS (SELECT DISTINCT vec_id, ('0x' || substr(md5('42:' || vec_id), 1, 15))::BIGINT::DOUBLE / {float(16**15)} AS u
+                  FROM nuc)
+            SELECT cum.vec_id, coalesce(min_by(item, rk) FILTER (WHERE c > u.u), max_by(item, rk))::BIGINT AS item
+            FROM cum JOIN u USING (vec_id) GROUP BY cum.vec_id""",
+        "greedy_choice": f"""WITH {e} SELECT vec_id, arg_min(item, [-x, item])::BIGINT AS item FROM e GROUP BY vec_id""",
+        "eval_loss": f"""WITH {e},
+            ce AS (SELECT vec_id, ln(sum(exp(x - m))) + max(m) - max(CASE WHEN item = label THEN x END) AS ce FROM (
+                     SELECT vec_id, label, item, x, max(x) OVER (PARTITION BY vec_id) AS m FROM e) GROUP BY vec_id),
+            r AS (SELECT vec_id, ce, (row_number() OVER (ORDER BY vec_id) - 1) // 32 AS b,
+                         count(*) OVER () AS n FROM ce),
+            bm AS (SELECT b, avg(ce) AS m FROM r WHERE b < n // 32 GROUP BY b)
+            SELECT round(coalesce(avg(m), 0.0), 6) AS loss, count(*)::BIGINT AS n_batches FROM bm""",
+    }

@@ -341,3 +341,66 @@ _REGISTRY_WINDOWS = {
     "batch_examples": q_batch_examples,
     "holdout_examples": q_holdout_examples,
 }
+
+
+# ---- scored rows (embeddings stand in for logits, label for the target) ---------------------
+from tokenmill.operators import scores as S  # noqa: E402
+from tokenmill.operators.ordered import global_rank  # noqa: E402
+
+TEMPERATURE = 0.9
+TOP_P = 0.9
+
+
+def _logits(spark, sf):
+    return read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"]).select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("logits"), "label"
+    )
+
+
+def _probs(spark, sf):
+    return S.softmax(_logits(spark, sf), "logits", "probs", TEMPERATURE).select("vec_id", "probs")
+
+
+def q_softmax_scores(spark, sf):
+    return _probs(spark, sf).select("vec_id", F.posexplode("probs").alias("item", "prob")).select(
+        "vec_id", F.col("item").cast("bigint").alias("item"), F.round("prob", 6).alias("prob")
+    )
+
+
+def _nucleus(spark, sf):
+    return S.top_p(_probs(spark, sf), "probs", TOP_P, "dist").select("vec_id", "dist")
+
+
+def q_top_p_filter(spark, sf):
+    return _nucleus(spark, sf).select("vec_id", F.explode("dist").alias("d")).select(
+        "vec_id", F.col("d.item").cast("bigint").alias("item"), F.round("d.p", 6).alias("prob")
+    )
+
+
+def q_weighted_choice(spark, sf):
+    n = _nucleus(spark, sf)
+    pick = S.weighted_choice(F.col("dist"), S.md5_uniform(SEED, F.col("vec_id")))
+    return n.select("vec_id", pick.cast("bigint").alias("item"))
+
+
+def q_greedy_choice(spark, sf):
+    return _logits(spark, sf).select("vec_id", S.greedy_choice(F.col("logits")).cast("bigint").alias("item"))
+
+
+def q_eval_loss(spark, sf):
+    rows = _logits(spark, sf)
+    ranks = global_rank(rows, ["vec_id"], "_r")
+    n = rows.count()
+    full = (n // BATCH) * BATCH
+    batched = rows.join(ranks, "vec_id").filter(F.col("_r") < full).withColumn("batch_id", F.floor(F.col("_r") / BATCH))
+    out = S.eval_loss(batched, "logits", "label", "batch_id")
+    return out.select(F.round("loss", 6).alias("loss"), F.col("n_batches").cast("bigint").alias("n_batches"))
+
+
+_REGISTRY_SCORES = {
+    "softmax_scores": q_softmax_scores,
+    "top_p_filter": q_top_p_filter,
+    "weighted_choice": q_weighted_choice,
+    "greedy_choice": q_greedy_choice,
+    "eval_loss": q_eval_loss,
+}
