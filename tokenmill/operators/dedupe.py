@@ -38,23 +38,31 @@ def dedupe_exact(
 
 
 def dedupe_merged(
-    sources: Sequence[DataFrame],
-    order_cols: Sequence[str] = ("doc_id",),
+    sources: Sequence[tuple[DataFrame, Sequence[str]]],
     text_col: str = "text",
 ) -> DataFrame:
-    """Union several sources (earlier sources win ties) and dedupe the result.
+    """Union several sources and dedupe the result; earlier sources win.
 
-    Each input must carry ``text_col`` and ``order_cols``; a ``source_rank``
-    column (position in ``sources``) is added and leads the order key.
+    ``sources`` is a list of ``(df, order_cols)``; order columns must be
+    integral.  The survivor order is ``(source_rank, k1, k2, ...)`` with keys
+    padded by 0, so every source keeps its own input order.
     """
-    parts = [
-        s.select(F.lit(rank).alias("source_rank"), *[F.col(c) for c in order_cols], F.col(text_col))
-        for rank, s in enumerate(sources)
-    ]
+    width = max(len(cols) for _, cols in sources)
+    parts = []
+    for rank, (df, cols) in enumerate(sources):
+        keys = [F.col(c).cast("bigint") for c in cols] + [F.lit(0).cast("bigint")] * (width - len(cols))
+        parts.append(
+            df.select(
+                F.lit(rank).cast("bigint").alias("source_rank"),
+                *[k.alias(f"k{i + 1}") for i, k in enumerate(keys)],
+                F.col(text_col).alias("text"),
+            )
+        )
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    return dedupe_exact(clean_documents(merged, text_col), ("source_rank", *order_cols), text_col)
+    order = ["source_rank"] + [f"k{i + 1}" for i in range(width)]
+    return dedupe_exact(clean_documents(merged, "text"), order, "text")
 
 
 def dedupe_resume(

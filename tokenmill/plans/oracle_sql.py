@@ -94,6 +94,7 @@ def sql() -> dict[str, str]:
     q.update(codec_sql())
     q.update(windows_sql())
     q.update(scores_sql())
+    q.update(more_sql())
     return q
 
 
@@ -299,3 +300,51 @@ def scores_sql() -> dict[str, str]:
             bm AS (SELECT b, avg(ce) AS m FROM r WHERE b < n // 32 GROUP BY b)
             SELECT round(coalesce(avg(m), 0.0), 6) AS loss, count(*)::BIGINT AS n_batches FROM bm""",
     }
+
+
+def more_sql() -> dict[str, str]:
+    def clean(src: str, cols: str) -> str:
+        return f"""(SELECT {cols}, t AS text FROM (SELECT {cols}, {strip_sql("coalesce(text, '')")} AS t FROM {src})
+                   WHERE length(t) > 0)"""
+
+    merged = f"""(SELECT 0::BIGINT AS source_rank, doc_id::BIGINT AS k1, 0::BIGINT AS k2, text FROM {clean('documents', 'doc_id')}
+        UNION ALL SELECT 1, conv_id, turn, text FROM {clean('conversations', 'conv_id, turn')}
+        UNION ALL SELECT 2, item_id, 0, text FROM {clean('benchmark', 'item_id')})"""
+    layout = f"""layout AS MATERIALIZED (SELECT doc_id, text, strlen(text)::BIGINT AS nbytes, length(text)::BIGINT AS nchars,
+            (sum(strlen(text) + 17) OVER w - (strlen(text) + 17))::BIGINT AS start,
+            (sum(length(text) + 17) OVER w - (length(text) + 17))::BIGINT AS cstart
+          FROM {CLEAN_DOCS_F} WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        size AS MATERIALIZED (SELECT sum(nbytes + 17)::BIGINT AS s FROM layout),
+        delims AS MATERIALIZED (SELECT start + nbytes + 2 AS pos, cstart + nchars + 2 AS cpos FROM layout),
+        guesses AS MATERIALIZED (SELECT i, i * greatest((SELECT s FROM size) // 8, 1) AS g FROM range(1, 8) t(i)),
+        moved AS MATERIALIZED (SELECT i, coalesce((SELECT min(pos) FROM delims WHERE pos >= g), (SELECT s FROM size)) AS b
+          FROM guesses),
+        bounds AS MATERIALIZED (SELECT DISTINCT b FROM (SELECT 0::BIGINT AS b UNION ALL SELECT b FROM moved
+          UNION ALL SELECT s FROM size)),
+        ob AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY b) - 1)::BIGINT AS idx, b,
+          lead(b) OVER (ORDER BY b) AS e FROM bounds)"""
+    return {
+        "dedupe_merged": f"""SELECT min_by(source_rank, {{'r': source_rank, 'a': k1, 'b': k2}}) AS source_rank,
+                min_by(k1, {{'r': source_rank, 'a': k1, 'b': k2}}) AS k1, min_by(k2, {{'r': source_rank, 'a': k1, 'b': k2}}) AS k2,
+                min_by(text, {{'r': source_rank, 'a': k1, 'b': k2}}) AS text, fp
+            FROM (SELECT *, {fp_sql('text')} AS fp FROM {merged}) GROUP BY fp""",
+        "dedupe_resume": f"""WITH c AS (SELECT doc_id, text, {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}),
+              old AS (SELECT DISTINCT fp FROM c WHERE doc_id % 2 = 0),
+              batch AS (SELECT min(doc_id) AS doc_id, min_by(text, doc_id) AS text, fp FROM c WHERE doc_id % 2 = 1 GROUP BY fp)
+            SELECT doc_id, text, fp FROM batch WHERE fp NOT IN (SELECT fp FROM old)""",
+        "chunk_boundaries": f"WITH {layout} SELECT idx, b AS byte_offset FROM ob",
+        "corpus_chunks": f"""WITH {layout},
+            cpos AS (SELECT b, coalesce((SELECT min(cpos) FROM delims WHERE pos = b), CASE WHEN b = 0 THEN 0 END,
+                     (SELECT sum(nchars + 17) FROM layout)) AS c FROM bounds)
+            SELECT idx AS chunk_id, ob.b AS start_byte, ob.e AS end_byte, (ob.e - ob.b)::BIGINT AS length,
+                   ((SELECT c FROM cpos WHERE cpos.b = ob.e) - (SELECT c FROM cpos WHERE cpos.b = ob.b))::BIGINT AS chars
+            FROM ob WHERE ob.e IS NOT NULL""",
+        "chunk_preview": f"""WITH {layout},
+            file AS (SELECT string_agg(text || chr(10) || chr(10) || '{EOT}' || chr(10) || chr(10), '' ORDER BY doc_id) AS f
+                     FROM layout),
+            cpos AS (SELECT b, coalesce((SELECT min(cpos) FROM delims WHERE pos = b), 0) AS c FROM bounds)
+            SELECT idx AS chunk_id,
+                   replace(substring((SELECT f FROM file), (SELECT c FROM cpos WHERE cpos.b = ob.b) + 1, 200), chr(10), '\\n')
+                     AS preview
+            FROM ob WHERE ob.e IS NOT NULL""",
+    }

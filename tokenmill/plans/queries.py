@@ -404,3 +404,56 @@ _REGISTRY_SCORES = {
     "greedy_choice": q_greedy_choice,
     "eval_loss": q_eval_loss,
 }
+
+
+# ---- multi-source dedupe and resume ---------------------------------------------------------
+def q_dedupe_merged(spark, sf):
+    sources = [
+        (read_table(spark, sf, "documents", ["doc_id", "text"]), ["doc_id"]),
+        (read_table(spark, sf, "conversations", ["conv_id", "turn", "text"]), ["conv_id", "turn"]),
+        (read_table(spark, sf, "benchmark", ["item_id", "text"]), ["item_id"]),
+    ]
+    return D.dedupe_merged(sources).select("source_rank", "k1", "k2", "text", "fp")
+
+
+def q_dedupe_resume(spark, sf):
+    docs = _docs(spark, sf)
+    existing = docs.filter(F.col("doc_id") % 2 == 0)
+    new = docs.filter(F.col("doc_id") % 2 == 1)
+    return D.dedupe_resume(existing, new, ("doc_id",)).select("doc_id", "text", "fp")
+
+
+# ---- corpus chunking over the written-corpus layout ------------------------------------------
+from tokenmill.operators import chunks as K  # noqa: E402
+
+NUM_CHUNKS = 8
+
+
+def _layout(spark, sf):
+    from tokenmill.session import materialize
+
+    return materialize(K.file_layout(_clean(spark, sf)), "layout")
+
+
+def q_chunk_boundaries(spark, sf):
+    bounds = K.chunk_boundaries(_layout(spark, sf), NUM_CHUNKS)
+    return spark.createDataFrame(list(enumerate(bounds)), "idx bigint, byte_offset bigint")
+
+
+def q_corpus_chunks(spark, sf):
+    lay = _layout(spark, sf)
+    return K.corpus_chunks(lay, K.chunk_boundaries(lay, NUM_CHUNKS))
+
+
+def q_chunk_preview(spark, sf):
+    lay = _layout(spark, sf)
+    return K.chunk_preview(lay, K.chunk_boundaries(lay, NUM_CHUNKS), 200)
+
+
+_REGISTRY_MORE = {
+    "dedupe_merged": q_dedupe_merged,
+    "dedupe_resume": q_dedupe_resume,
+    "chunk_boundaries": q_chunk_boundaries,
+    "corpus_chunks": q_corpus_chunks,
+    "chunk_preview": q_chunk_preview,
+}
