@@ -95,6 +95,7 @@ def sql() -> dict[str, str]:
     q.update(windows_sql())
     q.update(scores_sql())
     q.update(more_sql())
+    q.update(io_sql())
     return q
 
 
@@ -348,3 +349,25 @@ def more_sql() -> dict[str, str]:
                      AS preview
             FROM ob WHERE ob.e IS NOT NULL""",
     }
+
+
+def io_sql() -> dict[str, str]:
+    bpe = bpe_sql()
+    stream = f"""WITH docs AS (SELECT doc_id, list_concat({bytes_list_sql('text')}, [256]) AS ids FROM {CLEAN_DOCS_F}),
+        offs AS (SELECT doc_id, ids, sum(len(ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 - len(ids) AS start FROM docs),
+        tok AS (SELECT start + i - 1 AS pos, id FROM (SELECT start, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM offs)),
+        blocks AS (SELECT (pos // 4096)::BIGINT AS block_id, count(*)::BIGINT AS n_tokens, sum(id)::BIGINT AS id_sum
+                   FROM tok GROUP BY 1)"""
+    return {
+        "write_corpus": f"SELECT count(*)::BIGINT AS docs, sum(strlen(text) + 17)::BIGINT AS bytes FROM {CLEAN_DOCS_F}",
+        "read_corpus": f"""SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS doc_seq,
+            {strip_sql("regexp_replace(text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS text FROM {CLEAN_DOCS_F}""",
+        "bpe_train_corpus": bpe["bpe_train"],
+        "write_tokenizer": bpe["bpe_train"],
+        "read_tokenizer": bpe["bpe_vocab"],
+        "write_token_cache": f"""SELECT 257::BIGINT AS vocab_size, 256::BIGINT AS eot_token_id,
+            sum(strlen(text) + 1)::BIGINT AS n_tokens, 4096::BIGINT AS block_size FROM {CLEAN_DOCS_F}""",
+        "read_token_cache": f"{stream} SELECT block_id, n_tokens, id_sum FROM blocks",
+        "tokens_cached": f"{stream} SELECT block_id, n_tokens, id_sum, true AS reused FROM blocks",
+    }

@@ -457,3 +457,105 @@ _REGISTRY_MORE = {
     "corpus_chunks": q_corpus_chunks,
     "chunk_preview": q_chunk_preview,
 }
+
+
+# ---- file connectors: corpus text, tokenizer artifact, token cache ---------------------------
+from tokenmill.plans.tokenizer_jobs import bpe_train_corpus  # noqa: E402
+from tokenmill.session import scratch_path  # noqa: E402
+from tokenmill.sources import corpus as IO  # noqa: E402
+from tokenmill.sources import token_cache as TC  # noqa: E402
+from tokenmill.sources import tokenizer_io as TIO  # noqa: E402
+
+
+def _written_corpus(spark, sf):
+    path = scratch_path(spark, "corpus")
+    IO.write_corpus(_clean(spark, sf), path, order_cols=["doc_id"])
+    return path
+
+
+def q_write_corpus(spark, sf):
+    path = scratch_path(spark, "corpus")
+    return IO.write_corpus(_clean(spark, sf), path, order_cols=["doc_id"])
+
+
+def q_read_corpus(spark, sf):
+    docs = IO.with_sequence(IO.read_corpus(spark, _written_corpus(spark, sf)))
+    return docs.select("doc_seq", "text")
+
+
+def q_bpe_train_corpus(spark, sf):
+    model = bpe_train_corpus(spark, _written_corpus(spark, sf), BPE_VOCAB)
+    return model.merges_df(spark).select(*[F.col(c).cast("bigint").alias(c) for c in ("rank", "a", "b", "new_id")])
+
+
+def _tokenizer_dir(spark, sf):
+    path = scratch_path(spark, "tokenizer")
+    TIO.write_tokenizer(spark, B.bpe_train(_word_freq(spark, sf), BPE_VOCAB), path)
+    return path
+
+
+def q_write_tokenizer(spark, sf):
+    _, merges, _ = TIO.read_tokenizer_frames(spark, _tokenizer_dir(spark, sf))
+    return merges.select(*[F.col(c).cast("bigint").alias(c) for c in ("rank", "a", "b", "new_id")])
+
+
+def q_read_tokenizer(spark, sf):
+    model = TIO.read_tokenizer(spark, _tokenizer_dir(spark, sf))
+    return B.bpe_vocab(model, spark).select(F.col("token_id").cast("bigint").alias("token_id"), F.hex("bytes").alias("hex"))
+
+
+def _cache_blocks(spark, sf):
+    enc, keys = _stream_docs(spark, sf)
+    return W.token_blocks(enc.select(*keys, "ids"), keys)
+
+
+def _cache_meta():
+    m = byte_model()
+    return dict(source_path="documents", source_size_bytes=None, vocab_size=m.vocab_size,
+                eot_token_id=m.eot_id, block_size=W.DEFAULT_BLOCK)
+
+
+def _block_summary(blocks):
+    return blocks.select(
+        "block_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint")).alias("id_sum"),
+    )
+
+
+def q_write_token_cache(spark, sf):
+    path = scratch_path(spark, "token-cache")
+    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta())
+    _, meta = TC.read_token_cache(spark, path)
+    return spark.createDataFrame(
+        [(meta["vocab_size"], meta["eot_token_id"], meta["n_tokens"], meta["block_size"])],
+        "vocab_size bigint, eot_token_id bigint, n_tokens bigint, block_size bigint",
+    )
+
+
+def q_read_token_cache(spark, sf):
+    path = scratch_path(spark, "token-cache")
+    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta())
+    blocks, _ = TC.read_token_cache(spark, path)
+    return _block_summary(blocks)
+
+
+def q_tokens_cached(spark, sf):
+    path = scratch_path(spark, "token-cache")
+    meta = _cache_meta()
+    expect = {"vocab_size": meta["vocab_size"], "eot_token_id": meta["eot_token_id"]}
+    TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), expect=expect, **meta)
+    blocks, reused = TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), expect=expect, **meta)
+    return _block_summary(blocks).withColumn("reused", F.lit(reused))
+
+
+_REGISTRY_IO = {
+    "write_corpus": q_write_corpus,
+    "read_corpus": q_read_corpus,
+    "bpe_train_corpus": q_bpe_train_corpus,
+    "write_tokenizer": q_write_tokenizer,
+    "read_tokenizer": q_read_tokenizer,
+    "write_token_cache": q_write_token_cache,
+    "read_token_cache": q_read_token_cache,
+    "tokens_cached": q_tokens_cached,
+}
