@@ -96,6 +96,7 @@ def sql() -> dict[str, str]:
     q.update(scores_sql())
     q.update(more_sql())
     q.update(io_sql())
+    q.update(stream_sql())
     return q
 
 
@@ -371,3 +372,15 @@ def io_sql() -> dict[str, str]:
         "read_token_cache": f"{stream} SELECT block_id, n_tokens, id_sum FROM blocks",
         "tokens_cached": f"{stream} SELECT block_id, n_tokens, id_sum, true AS reused FROM blocks",
     }
+
+
+def stream_sql() -> dict[str, str]:
+    return {
+        "stream_corpus": f"SELECT text FROM {CLEAN_DOCS_F}",
+        "stream_clean": f"SELECT doc_id, text FROM {CLEAN_DOCS_F}",
+        "stream_dedupe": f"SELECT DISTINCT {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}",
+        "stream_resume": f"SELECT DISTINCT {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}",
+        "stream_flush": f"SELECT text FROM {CLEAN_DOCS_F}",
+        "stream_encode": f"""SELECT fp, {n_ids_sql('e')}::BIGINT AS n_tokens, {ids_str_sql('e')} AS ids FROM (
+            SELECT {fp_sql('text')} AS fp, {enc_text_sql('text')} || '<{FIXED_EOT}>' AS e FROM {CLEAN_DOCS_F})""",
+    }

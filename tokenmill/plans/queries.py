@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.functions.ids import ids_to_string
-from tokenmill.functions.text import fingerprint, normalize_ws
+from tokenmill.functions.text import fingerprint, normalize_ws, strip_ws
 from tokenmill.operators import clean as C
 from tokenmill.operators import dedupe as D
 from tokenmill.operators import pretokenize as P
@@ -559,3 +559,77 @@ _REGISTRY_IO = {
     "read_token_cache": q_read_token_cache,
     "tokens_cached": q_tokens_cached,
 }
+
+
+# ---- streaming (availableNow into a fresh sink, read back as a static table) -----------------
+from tokenmill.streaming import ops as ST  # noqa: E402
+
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def _docs_glob(sf):
+    return f"{sf.rstrip('/')}/documents.parque[t]"
+
+
+def q_stream_corpus(spark, sf):
+    sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    ST.run_available_now(ST.stream_corpus(spark, _written_corpus(spark, sf)), sink, ck)
+    out = spark.read.parquet(sink)
+    return out.select(strip_ws(F.col("text")).alias("text")).filter(F.length("text") > 0)
+
+
+def q_stream_clean(spark, sf):
+    sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    stream = ST.stream_rows(spark, _docs_glob(sf), DOC_SCHEMA).select("doc_id", "text")
+    ST.run_available_now(ST.stream_clean(stream), sink, ck)
+    return spark.read.parquet(sink).select("doc_id", "text")
+
+
+def q_stream_dedupe(spark, sf):
+    ST.use_rocksdb_state(spark)
+    sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    stream = ST.stream_rows(spark, _docs_glob(sf), DOC_SCHEMA).select("doc_id", "text")
+    ST.run_available_now(ST.stream_dedupe(ST.stream_clean(stream)), sink, ck)
+    return spark.read.parquet(sink).select("fp")
+
+
+def q_stream_resume(spark, sf):
+    """Two runs on one checkpoint; the second sees only newly arrived files."""
+    ST.use_rocksdb_state(spark)
+    src, sink, ck = scratch_path(spark, "in"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    docs = _clean(spark, sf)
+    IO.write_corpus(docs.filter(F.col("doc_id") % 2 == 0), src, order_cols=["doc_id"])
+    stream = ST.stream_dedupe(ST.stream_clean(ST.stream_corpus(spark, src)))
+    ST.run_available_now(stream, sink, ck)
+    IO.write_corpus(docs.filter(F.col("doc_id") % 2 == 1), src, order_cols=["doc_id"], mode="append")
+    ST.run_available_now(stream, sink, ck)
+    return spark.read.parquet(sink).select("fp")
+
+
+def q_stream_flush(spark, sf):
+    sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    stream = ST.stream_clean(ST.stream_corpus(spark, _written_corpus(spark, sf), max_files_per_trigger=1))
+    ST.run_available_now(stream, sink, ck)
+    return spark.read.parquet(sink).select("text")
+
+
+def q_stream_encode(spark, sf):
+    sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    stream = ST.stream_encode(ST.stream_clean(ST.stream_corpus(spark, _written_corpus(spark, sf))), fixed_model())
+    ST.run_available_now(stream.select("text", "ids"), sink, ck)
+    out = spark.read.parquet(sink)
+    return out.select(
+        fingerprint(F.col("text")).alias("fp"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        ids_to_string("ids").alias("ids"),
+    )
+
+
+_REGISTRY_STREAM = {
+    "stream_corpus": q_stream_corpus,
+    "stream_clean": q_stream_clean,
+    "stream_dedupe": q_stream_dedupe,
+    "stream_resume": q_stream_resume,
+    "stream_flush": q_stream_flush,
+    "stream_encode": q_stream_encode,
+}
