@@ -149,7 +149,11 @@ def bpe_train(
     eot_id = vocab_size - 1 if eot_id is None else eot_id
     validate_sizes(vocab_size, eot_id)
     num_merges = eot_id - BYTE_VOCAB
-    words = materialize(word_table(word_freq), "bpe-words")
+    table = word_table(word_freq)
+    parallelism = word_freq.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() < parallelism:
+        table = table.repartition(parallelism, "w")  # small tables: use every core per round
+    words = materialize(table, "bpe-words")
     merges: list[tuple[int, int]] = []
     rounds = 0
     while len(merges) < num_merges:

@@ -294,7 +294,7 @@ def _examples(spark, sf, table="documents", num_samples=None, seed=SEED):
     offs = W.token_offsets(enc, keys)
     n = W.stream_length(offs)
     wins = W.sample_windows(spark, n, CONTEXT, num_samples, seed)
-    blocks = W.token_blocks(enc, keys)
+    blocks = W.token_blocks(enc, keys, halo=CONTEXT)
     k = num_samples if num_samples is not None else n - CONTEXT - 1
     return W.window_examples(wins, blocks, CONTEXT, num_samples=k), k
 

@@ -10,10 +10,27 @@ from pyspark.sql import functions as F
 from tokenmill.operators.ordered import global_rank
 
 
-def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than the cluster has cores.
+
+    A Parquet file written as one row group is one input split; regex and
+    encode work on it would run in a single task.  Large inputs already have
+    many splits, so at scale this is a no-op and adds no shuffle.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *[F.col(k) for k in keys]) if keys else df.repartition(want)
+
+
+def read_table(
+    spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None, *, spread_keys: Sequence[str] | None = None
+) -> DataFrame:
     """``{base}/{name}.parquet`` with optional projection (pruned at the scan)."""
     df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df, spread_keys) if spread_keys else df
 
 
 def read_documents(
@@ -27,7 +44,7 @@ def read_documents(
     df = read_table(spark, base, table)
     if where:
         df = df.filter(where)
-    return df.select(*columns)
+    return spread(df.select(*columns), [columns[0]])
 
 
 def skip_rows(df: DataFrame, n: int, order_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
