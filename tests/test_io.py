@@ -1,0 +1,69 @@
+"""Corpus files, tokenizer artifact and token cache."""
+
+import glob
+import json
+
+import pytest
+
+from tokenmill.operators import bpe as B
+from tokenmill.sources import corpus as IO
+from tokenmill.sources import token_cache as TC
+from tokenmill.sources import tokenizer_io as TIO
+
+
+def test_write_corpus_format_and_dry_run(spark, tmp_dir):
+    df = spark.createDataFrame([(0, "a"), (1, "é b")], "doc_id long, text string")
+    rep = IO.write_corpus(df, f"{tmp_dir}/c", order_cols=["doc_id"]).collect()[0]
+    data = b"".join(open(p, "rb").read() for p in sorted(glob.glob(f"{tmp_dir}/c/part-*")))
+    assert data == "a\n\n<|endoftext|>\n\né b\n\n<|endoftext|>\n\n".encode()
+    assert rep.docs == 2 and rep.bytes == len(data)
+    IO.write_corpus(df, f"{tmp_dir}/dry", dry_run=True).collect()
+    assert not glob.glob(f"{tmp_dir}/dry/*")
+
+
+def test_read_corpus_newlines_and_bad_bytes(spark, tmp_path):
+    p = tmp_path / "in.txt"
+    p.write_bytes(b"a\r\nb<|endoftext|>  <|endoftext|>ok\xff\xe2\x82 z<|endoftext|>\n\n")
+    rows = IO.with_sequence(IO.read_corpus(spark, str(p))).orderBy("doc_seq").collect()
+    assert [r.text for r in rows] == ["a\nb", "ok�� z"]
+    ign = IO.read_corpus(spark, str(p), errors="ignore").collect()
+    assert sorted(r.text for r in ign) == ["a\nb", "ok z"]
+
+
+def test_tokenizer_round_trip(spark, tmp_dir):
+    model = B.BpeModel(merges=[(97, 98), (256, 99)], vocab_size=259, eot_id=258)
+    TIO.write_tokenizer(spark, model, tmp_dir)
+    payload = json.loads(open(glob.glob(f"{tmp_dir}/tokenizer.json/part-*")[0]).read())
+    assert payload["merges"] == [[97, 98], [256, 99]] and payload["id_to_bytes"]["257"] == [97, 98, 99]
+    back = TIO.read_tokenizer(spark, tmp_dir)
+    assert back.merges == model.merges and back.id_bytes == model.id_bytes and back.eot_id == 258
+
+
+def test_token_cache_formats(spark, tmp_dir):
+    blocks = spark.createDataFrame([(0, [1, 2]), (1, [3])], "block_id long, ids array<int>")
+    meta = dict(source_path="x", source_size_bytes=3, vocab_size=257, eot_token_id=256, block_size=2)
+    TC.write_token_cache(blocks, f"{tmp_dir}/c", **meta)
+    got, m = TC.read_token_cache(spark, f"{tmp_dir}/c")
+    assert m["n_tokens"] == 3 and sorted(r.block_id for r in got.collect()) == [0, 1]
+    spark.createDataFrame([([1, 2],)], "ids array<int>").write.parquet(f"{tmp_dir}/bare")
+    bare, m2 = TC.read_token_cache(spark, f"{tmp_dir}/bare")
+    assert m2 is None and bare.count() == 1
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_dir}/bad")
+    with pytest.raises(ValueError):
+        TC.read_token_cache(spark, f"{tmp_dir}/bad")
+
+
+def test_tokens_cached_rebuilds_on_mismatch(spark, tmp_dir):
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.createDataFrame([(0, [1])], "block_id long, ids array<int>")
+
+    meta = dict(source_path="x", source_size_bytes=1, vocab_size=257, eot_token_id=256, block_size=4)
+    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, **meta)
+    assert not reused
+    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, expect={"vocab_size": 257}, **meta)
+    assert reused
+    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, expect={"vocab_size": 999}, **meta)
+    assert not reused and len(calls) == 2

@@ -30,15 +30,65 @@ HEAD_BYTES_PER_CHAR = 4
 
 
 def file_layout(docs: DataFrame, order_cols: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """``order_cols..., text, nbytes, start`` for each document of the virtual file."""
-    sized = docs.select(*order_cols, F.col(text_col).alias("text"), F.octet_length(text_col).cast("bigint").alias("nbytes"))
-    offs = prefix_offsets(sized.select(*order_cols, (F.col("nbytes") + SEP_BYTES).alias("unit")), order_cols, "unit", "start")
+    """Writer layout: ``order_cols..., text, nbytes, sep, delim_at, start``.
+
+    Every document is followed by the 17-byte separator whose delimiter starts
+    2 bytes in.
+    """
+    sized = docs.select(
+        *order_cols,
+        F.col(text_col).alias("text"),
+        F.octet_length(text_col).cast("bigint").alias("nbytes"),
+        F.lit(SEP_BYTES).cast("bigint").alias("sep"),
+        F.lit(DELIM_AT).cast("bigint").alias("delim_at"),
+    )
+    return _place(sized, order_cols)
+
+
+def _place(sized: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    offs = prefix_offsets(
+        sized.select(*order_cols, (F.col("nbytes") + F.col("sep")).alias("unit")), order_cols, "unit", "start"
+    )
     return sized.join(offs.drop("unit"), list(order_cols))
 
 
+def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
+    """Layout of an arbitrary delimiter-separated file: segments as they are.
+
+    Each segment is followed by the delimiter except the last one, unless the
+    file itself ends with the delimiter (checked against the file length).
+    """
+    from tokenmill.sources.corpus import ORDER_COLS, with_sequence
+
+    raw = spark.read.option("lineSep", delimiter).text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"),
+        F.col("value").alias("text"),
+    )
+    seq = with_sequence(raw, ORDER_COLS, "doc_seq")
+    dlen = len(delimiter.encode("utf-8"))
+    stats = seq.agg(
+        F.max("doc_seq").alias("last"), F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.lit(0)).alias("z"),
+    ).collect()[0]
+    total = int(seq.select("file_path", "file_size").distinct().agg(F.sum("file_size")).collect()[0][0] or 0)
+    trailing = total == int(stats["b"] or 0) + int(stats["n"]) * dlen
+    sep = F.when((F.col("doc_seq") < stats["last"]) | F.lit(trailing), F.lit(dlen)).otherwise(F.lit(0))
+    sized = seq.select(
+        "doc_seq",
+        "text",
+        F.octet_length("text").cast("bigint").alias("nbytes"),
+        sep.cast("bigint").alias("sep"),
+        F.lit(0).cast("bigint").alias("delim_at"),
+    )
+    return _place(sized, ["doc_seq"]).withColumn("sep_text", F.lit(delimiter))
+
+
 def delimiter_offsets(layout: DataFrame, order_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``pos``: byte offset of every delimiter start in the virtual file."""
-    after_text = layout.select((F.col("start") + F.col("nbytes") + DELIM_AT).alias("pos"))
+    after_text = layout.filter(F.col("sep") > 0).select((F.col("start") + F.col("nbytes") + F.col("delim_at")).alias("pos"))
     quoted = "\\Q" + EOT + "\\E"
     inner = layout.filter(F.col("text").contains(EOT)).select(
         *order_cols, "start", F.posexplode(F.split("text", quoted, -1)).alias("j", "part")
@@ -52,7 +102,7 @@ def delimiter_offsets(layout: DataFrame, order_cols: Sequence[str] = ("doc_id",)
 
 
 def file_size(layout: DataFrame) -> int:
-    return int(layout.agg(F.sum(F.col("nbytes") + SEP_BYTES)).collect()[0][0] or 0)
+    return int(layout.agg(F.sum(F.col("nbytes") + F.col("sep"))).collect()[0][0] or 0)
 
 
 def chunk_boundaries(layout: DataFrame, num_chunks: int, order_cols: Sequence[str] = ("doc_id",)) -> list[int]:
@@ -123,9 +173,10 @@ def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200
     """
     head = HEAD_BYTES_PER_CHAR * preview_chars
     b = F.array(*[F.lit(x).cast("bigint") for x in bounds])
-    sep = F.encode(F.lit(DOC_SUFFIX), "UTF-8")
+    sep_text = F.col("sep_text") if "sep_text" in layout.columns else F.lit(DOC_SUFFIX)
+    sep = F.encode(F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")), "UTF-8")
     u_lo = F.col("start")
-    u_hi = F.col("start") + F.col("nbytes") + SEP_BYTES
+    u_hi = F.col("start") + F.col("nbytes") + F.col("sep")
 
     def w_hi(c: Column) -> Column:
         return F.least(F.element_at(b, (c + 1).cast("int")) + head, F.element_at(b, (c + 2).cast("int")))
@@ -134,7 +185,7 @@ def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200
     # reaches into that chunk's head window; everything else is filtered out.
     span = F.sequence(_chunk_of(u_lo, bounds), _chunk_of(u_hi - 1, bounds))
     heads = F.filter(span, lambda c: u_lo < w_hi(c))
-    units = layout.select(
+    units = layout.filter(u_hi > u_lo).select(
         u_lo.alias("u_lo"), F.concat(F.encode("text", "UTF-8"), sep).alias("bytes"), F.explode(heads).alias("chunk_id")
     )
     lo = F.greatest(F.col("u_lo"), F.element_at(b, (F.col("chunk_id") + 1).cast("int")))
@@ -150,3 +201,27 @@ def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200
     return grouped.select(
         "chunk_id", F.replace(F.substring(text, 1, preview_chars), F.lit("\n"), F.lit("\\n")).alias("preview")
     )
+
+
+def chunk_pieces(layout: DataFrame, bounds: list[int]) -> DataFrame:
+    """``chunk_id, lo, bytes``: every byte of the file, cut at the boundaries.
+
+    One row per (unit, chunk) overlap; nothing is grouped, so a chunk's text
+    never has to fit in one task.  Ordering by ``lo`` and concatenating the
+    bytes of a chunk gives exactly ``file[start:end]``.
+    """
+    sep_text = F.col("sep_text") if "sep_text" in layout.columns else F.lit(DOC_SUFFIX)
+    sep = F.encode(F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")), "UTF-8")
+    u_lo = F.col("start")
+    u_hi = F.col("start") + F.col("nbytes") + F.col("sep")
+    b = F.array(*[F.lit(x).cast("bigint") for x in bounds])
+    units = layout.filter(u_hi > u_lo).select(
+        u_lo.alias("u_lo"),
+        F.concat(F.encode("text", "UTF-8"), sep).alias("bytes"),
+        F.explode(F.sequence(_chunk_of(u_lo, bounds), _chunk_of(u_hi - 1, bounds))).alias("chunk_id"),
+    )
+    lo = F.greatest(F.col("u_lo"), F.element_at(b, (F.col("chunk_id") + 1).cast("int")))
+    hi = F.least(F.col("u_lo") + F.octet_length("bytes"), F.element_at(b, (F.col("chunk_id") + 2).cast("int")))
+    return units.select(
+        "chunk_id", lo.alias("lo"), F.substring("bytes", (lo - F.col("u_lo") + 1).cast("int"), (hi - lo).cast("int")).alias("bytes")
+    )
