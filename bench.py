@@ -50,7 +50,7 @@ def main() -> None:
         "bpe_train_150_merges": lambda: B.bpe_train(P.pretoken_counts(docs()), 256 + 150 + 1),
         "encode_documents": lambda: run(X.encode_documents(docs(), Q.fixed_model())),
         "encode_decode_roundtrip": lambda: run(X.decode_tokens(X.encode_documents(docs(), Q.fixed_model()), Q.fixed_model())),
-        "window_examples": lambda: run(Q.q_window_examples(spark, sf_dir)),
+        "window_examples": lambda: run(Q._examples(spark, sf_dir)[0]),
         "top_p_filter": lambda: run(Q.q_top_p_filter(spark, sf_dir)),
         "chunk_stats": lambda: run(Q.q_corpus_chunks(spark, sf_dir)),
     }

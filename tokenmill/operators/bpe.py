@@ -138,13 +138,15 @@ def bpe_train(
     eot_id: int | None = None,
     *,
     fetch_k: int = 256,
-    checkpoint_every: int = 8,
+    checkpoint_every: int = 1,
 ) -> BpeModel:
     """Train merges on a word-frequency table (``pretoken_counts`` output).
 
     Stops early when no pair is left.  Lineage is cut every
-    ``checkpoint_every`` rounds by writing the word table to the shared
-    checkpoint folder.
+    ``checkpoint_every`` rounds (default: every round) by writing the merged
+    word table to the shared checkpoint folder: replaying a chain of
+    ``replace`` projections costs more than writing the (distinct-word) table,
+    and a failed task never re-runs more than one round.
     """
     eot_id = vocab_size - 1 if eot_id is None else eot_id
     validate_sizes(vocab_size, eot_id)

@@ -291,10 +291,10 @@ def _examples(spark, sf, table="documents", num_samples=None, seed=SEED):
     from tokenmill.session import materialize
 
     enc = materialize(enc.select(*keys, "ids"), "stream")
-    offs = W.token_offsets(enc, keys)
+    offs = materialize(W.token_offsets(enc, keys), "offsets")
     n = W.stream_length(offs)
     wins = W.sample_windows(spark, n, CONTEXT, num_samples, seed)
-    blocks = W.token_blocks(enc, keys, halo=CONTEXT)
+    blocks = W.token_blocks(enc, keys, halo=CONTEXT, offsets=offs)
     k = num_samples if num_samples is not None else n - CONTEXT - 1
     return W.window_examples(wins, blocks, CONTEXT, num_samples=k), k
 
