@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB, SURROGATE_SHIFT, SURROGATE_START
 from tokenmill.functions.ids import id_char, latin1_word, let
-from tokenmill.session import materialize
+from tokenmill.session import default_parallelism, materialize, num_partitions
 
 
 def _char_id(ch: str) -> int:
@@ -152,8 +152,9 @@ def bpe_train(
     validate_sizes(vocab_size, eot_id)
     num_merges = eot_id - BYTE_VOCAB
     table = word_table(word_freq)
-    parallelism = word_freq.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < parallelism:
+    parallelism = default_parallelism(word_freq.sparkSession)
+    have = num_partitions(table)
+    if have is not None and have < parallelism:
         table = table.repartition(parallelism, "w")  # small tables: use every core per round
     words = materialize(table, "bpe-words")
     merges: list[tuple[int, int]] = []

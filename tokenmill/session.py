@@ -42,21 +42,47 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or an already registered directory).  A
     temporary folder is used only for local masters where nothing is set.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM context
+        sc = None
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if sc is None:
+            return conf_dir
         sc.setCheckpointDir(conf_dir)
         return sc._jsc.sc().getCheckpointDir().get()
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="tokenmill-ckpt-", dir="/tmp")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", path)
+        return path
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.operators.ordered import global_rank
+from tokenmill.session import default_parallelism, num_partitions
 
 
 def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -17,9 +18,9 @@ def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     encode work on it would run in a single task.  Large inputs already have
     many splits, so at scale this is a no-op and adds no shuffle.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    want = default_parallelism(df.sparkSession)
+    have = num_partitions(df)
+    if have is None or have >= want:
         return df
     return df.repartition(want, *[F.col(k) for k in keys]) if keys else df.repartition(want)
 
