@@ -83,8 +83,37 @@ def word_table(word_freq: DataFrame) -> DataFrame:
     ).filter(F.length("w") >= 2)
 
 
-def word_pair_stats(words: DataFrame) -> DataFrame:
-    """Presence-weighted pair counts of word strings: ``pair, cnt, first``."""
+def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
+    """Word table with ``first`` packed into one long when bounds allow.
+
+    Words get a dense rank in first-seen order (distributed, once).  If
+    ``n_words << bits(max_len)`` fits in 62 bits, ``first = rank << bits``
+    and a pair's tie-break key is ``first | index``: a single long, so the
+    per-round aggregate is a HashAggregate.  Returns ``(table, bits)``;
+    ``bits`` is None when the struct form must be kept.
+    """
+    from tokenmill.operators.ordered import global_rank
+
+    table = word_table(word_freq)
+    stats = table.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("w")).alias("m")).collect()[0]
+    n, longest = int(stats["n"]), int(stats["m"] or 0)
+    bits = max(1, longest.bit_length())
+    if n == 0 or (n.bit_length() + bits) > 62:
+        return table, None
+    keyed = table.select("w", "freq", F.col("first.d").alias("_d"), F.col("first.p").alias("_p"))
+    ranks = global_rank(keyed, ["_d", "_p"], "_r")
+    packed = keyed.join(ranks, ["_d", "_p"]).select(
+        "w", "freq", F.shiftleft(F.col("_r"), bits).cast("bigint").alias("first")
+    )
+    return packed, bits
+
+
+def word_pair_stats(words: DataFrame, packed: bool = False) -> DataFrame:
+    """Presence-weighted pair counts of word strings: ``pair, cnt, first``.
+
+    With ``packed`` words, ``first`` is a long (word rank | index in word) and
+    the aggregate needs no struct buffer.
+    """
     exploded = words.select(
         "freq",
         "first",
@@ -97,10 +126,11 @@ def word_pair_stats(words: DataFrame) -> DataFrame:
             )
         ).alias("idx", "pair"),
     )
-    return exploded.groupBy("pair").agg(
-        F.sum("freq").alias("cnt"),
-        F.min(F.struct(F.col("first.d").alias("d"), F.col("first.p").alias("p"), F.col("idx").alias("i"))).alias("first"),
-    )
+    if packed:
+        key = F.col("first").bitwiseOR(F.col("idx").cast("bigint"))
+    else:
+        key = F.struct(F.col("first.d").alias("d"), F.col("first.p").alias("p"), F.col("idx").alias("i"))
+    return exploded.groupBy("pair").agg(F.sum("freq").alias("cnt"), F.min(key).alias("first"))
 
 
 def choose_batch(ranked: list[tuple[int, int, int]], fetched_all: bool, room: int) -> list[tuple[int, int, int]]:
@@ -151,7 +181,7 @@ def bpe_train(
     eot_id = vocab_size - 1 if eot_id is None else eot_id
     validate_sizes(vocab_size, eot_id)
     num_merges = eot_id - BYTE_VOCAB
-    table = word_table(word_freq)
+    table, bits = ranked_word_table(word_freq)
     parallelism = default_parallelism(word_freq.sparkSession)
     have = num_partitions(table)
     if have is not None and have < parallelism:
@@ -161,7 +191,7 @@ def bpe_train(
     rounds = 0
     while len(merges) < num_merges:
         top = (
-            word_pair_stats(words)
+            word_pair_stats(words, packed=bits is not None)
             .orderBy(F.col("cnt").desc(), F.col("first").asc())
             .limit(fetch_k)
             .collect()
