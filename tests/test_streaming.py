@@ -27,3 +27,10 @@ def test_bounded_batches(spark, tmp_dir):
     progress = ST.run_available_now(ST.stream_clean(ST.stream_corpus(spark, src, max_files_per_trigger=1)), sink, ck)
     assert progress["batches"] == 3
     assert spark.read.parquet(sink).count() == 6
+
+
+def test_local_duplicates_dropped_before_shuffle(spark):
+    df = spark.createDataFrame([(i, "hot" if i % 3 else f"cold{i}") for i in range(30)], "doc_id long, fp string")
+    out = ST.drop_local_duplicates(df.coalesce(1), "fp").collect()
+    assert sorted(r.fp for r in out) == sorted({r.fp for r in df.collect()})
+    assert [r.doc_id for r in out if r.fp == "hot"] == [1]

@@ -58,12 +58,46 @@ def stream_clean(stream: DataFrame, text_col: str = "text") -> DataFrame:
     return cleaned.filter(F.length(text_col) > 0)
 
 
+def drop_local_duplicates(df: DataFrame, key_col: str) -> DataFrame:
+    """Keep the first row of each key *within each partition* (no shuffle).
+
+    A map-side combine for streaming dedupe: ``dropDuplicates`` shuffles every
+    copy of a key to one task, so a document copied into a third of a batch
+    would land in one task.  Dropping local repeats first leaves at most one
+    copy per key per partition.  Works on Arrow batches; the text is never
+    converted to Python objects.  Memory: the keys of one partition.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    schema = df.schema
+
+    def first_per_key(batches):
+        seen: set = set()
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = batch.column(batch.schema.get_field_index(key_col))
+            idx = pa.array(range(batch.num_rows), pa.int64())
+            firsts = pa.table({"k": keys, "i": idx}).group_by("k").aggregate([("i", "min")])
+            fresh = pc.invert(pc.is_in(firsts.column("k"), value_set=pa.array(list(seen), keys.type)))
+            firsts = firsts.filter(fresh)
+            seen.update(firsts.column("k").to_pylist())
+            keep = pc.is_in(idx, value_set=firsts.column("i_min").combine_chunks())
+            yield batch.filter(keep)
+
+    return df.mapInArrow(first_per_key, schema)
+
+
 def stream_dedupe(stream: DataFrame, text_col: str = "text", fp_col: str = "fp") -> DataFrame:
     """Drop documents whose fingerprint was already seen by this query.
 
-    Arrival order decides the survivor inside one stream, as in the reference.
+    Local repeats are dropped before the shuffle (map-side combine), then the
+    state store keeps one entry per fingerprint.  Arrival order decides the
+    survivor inside one stream, as in the reference.
     """
-    return stream.withColumn(fp_col, fingerprint(F.col(text_col))).dropDuplicates([fp_col])
+    with_fp = stream.withColumn(fp_col, fingerprint(F.col(text_col)))
+    return drop_local_duplicates(with_fp, fp_col).dropDuplicates([fp_col])
 
 
 def stream_encode(stream: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
