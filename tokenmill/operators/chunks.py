@@ -70,8 +70,7 @@ def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
     seq = with_sequence(raw, ORDER_COLS, "doc_seq")
     dlen = len(delimiter.encode("utf-8"))
     stats = seq.agg(
-        F.max("doc_seq").alias("last"), F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.lit(0)).alias("z"),
+        F.max("doc_seq").alias("last"), F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")
     ).collect()[0]
     total = int(seq.select("file_path", "file_size").distinct().agg(F.sum("file_size")).collect()[0][0] or 0)
     trailing = total == int(stats["b"] or 0) + int(stats["n"]) * dlen

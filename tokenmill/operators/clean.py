@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.constants import EOT
+from tokenmill.constants import EOT, WS_STRIP
 from tokenmill.functions.text import normalize_ws, fingerprint, strip_ws
 
 
@@ -62,11 +62,7 @@ def strip_trailing_eot(df: DataFrame, ids_col: str, text_col: str, eot_id: int,
     out_col = out_col or text_col
     ends_eot = F.element_at(F.col(ids_col), -1) == F.lit(eot_id)
     tail = F.lit(EOT)
-    trimmed = F.expr(
-        f"substring({text_col}, 1, length({text_col}) - {len(EOT)})"
-    )
-    from tokenmill.constants import WS_STRIP
-
+    trimmed = F.expr(f"substring({text_col}, 1, length({text_col}) - {len(EOT)})")
     rstripped = F.regexp_replace(trimmed, rf"{WS_STRIP}+\z", "")
     cond = F.coalesce(ends_eot, F.lit(False)) & F.col(text_col).endswith(tail)
     return df.withColumn(out_col, F.when(cond, rstripped).otherwise(F.col(text_col)))

@@ -3,7 +3,8 @@
 ``Window.orderBy`` with no ``partitionBy`` moves every row into a single task.
 Instead:
 
-1. range-partition the narrow ``(key, value)`` projection into N buckets and
+1. range-partition the narrow ``(key, value)`` projection into N buckets
+   (``spark.sql.shuffle.partitions``, coalesced by AQE for small inputs) and
    record each row's bucket; write that to the shared checkpoint folder so the
    bucket assignment is fixed (a retry reads files, it does not re-sample);
 2. total per bucket (N rows to the driver — bounded by N, not by the data);
@@ -20,12 +21,6 @@ from pyspark.sql import functions as F
 from tokenmill.session import materialize
 
 
-def _buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def prefix_offsets(
     df: DataFrame,
     key_cols: Sequence[str],
@@ -38,13 +33,13 @@ def prefix_offsets(
 
     ``key_cols`` must be a total order (unique per row).
     """
-    n = _buckets(df, buckets)
     keys = [F.col(c) for c in key_cols]
     narrow = df.select(*keys, F.col(value_col).cast("bigint").alias(value_col))
-    staged = materialize(
-        narrow.repartitionByRange(n, *keys).withColumn("_bucket", F.spark_partition_id()),
-        "prefix",
-    )
+    # Without an explicit count AQE may coalesce *adjacent* range partitions,
+    # which keeps buckets contiguous in key order and avoids thousands of tiny
+    # buckets for small inputs.
+    ranged = narrow.repartitionByRange(buckets, *keys) if buckets else narrow.repartitionByRange(*keys)
+    staged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "prefix")
     totals = staged.groupBy("_bucket").agg(F.sum(value_col).alias("_total")).collect()
     base, rows = 0, []
     for r in sorted(totals, key=lambda r: r["_bucket"]):

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.constants import DOC_SUFFIX, EOT, WS_STRIP
+from tokenmill.constants import DOC_SUFFIX, EOT
 from tokenmill.functions.text import strip_ws, utf8_decode
 from tokenmill.operators.ordered import global_rank
 
@@ -85,4 +85,4 @@ def write_corpus(
     )
 
 
-__all__ = ["read_corpus", "write_corpus", "with_sequence", "ORDER_COLS", "WS_STRIP"]
+__all__ = ["read_corpus", "write_corpus", "with_sequence", "ORDER_COLS"]
