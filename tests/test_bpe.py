@@ -90,3 +90,14 @@ def test_choose_batch_rules():
     assert B.choose_batch([(1, 2, 5), (3, 4, 5)], True, 10) == [(1, 2, 5), (3, 4, 5)]
     # truncated list: the last fetched count bounds the rest
     assert B.choose_batch([(1, 2, 5), (3, 4, 4), (5, 6, 4)], False, 10) == [(1, 2, 5)]
+
+
+def test_dense_rank_key_path(spark):
+    words = [("ab", 2), ("bc", 2), ("abc", 1), ("cab", 3)]
+    rows = [(w, f, (1 << 60) * i, 5) for i, (w, f) in enumerate(words)]
+    wf = spark.createDataFrame(rows, "pretoken string, freq long, first_doc long, first_pos long")
+    table, bits = B.ranked_word_table(wf)
+    assert bits is not None  # packed through the dense rank, not the struct fallback
+    model = B.bpe_train(wf, 256 + 6 + 1)
+    ref = train_sequential([(tuple(w.encode()), f) for w, f in words], 6)
+    assert model.merges == ref

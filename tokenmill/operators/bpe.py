@@ -86,26 +86,43 @@ def word_table(word_freq: DataFrame) -> DataFrame:
 def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     """Word table with ``first`` packed into one long when bounds allow.
 
-    Words get a dense rank in first-seen order (distributed, once).  If
-    ``n_words << bits(max_len)`` fits in 62 bits, ``first = rank << bits``
-    and a pair's tie-break key is ``first | index``: a single long, so the
-    per-round aggregate is a HashAggregate.  Returns ``(table, bits)``;
-    ``bits`` is None when the struct form must be kept.
+    The tie-break key of a pair is (word's first occurrence, index in word).
+    From measured bounds, ``first`` becomes a single order-preserving long:
+    ``(doc - min_doc) << (pb + ib) | pos << ib`` when the widths fit in 62
+    bits (no extra pass), else a dense first-seen rank ``<< ib`` (one
+    distributed ranking), else the struct is kept.  A pair's key is then
+    ``first | index``, so the per-round aggregate needs no struct buffer.
+    Returns ``(table, ib)``; ``ib`` is None for the struct form.
     """
     from tokenmill.operators.ordered import global_rank
 
-    table = word_table(word_freq)
-    stats = table.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("w")).alias("m")).collect()[0]
-    n, longest = int(stats["n"]), int(stats["m"] or 0)
-    bits = max(1, longest.bit_length())
-    if n == 0 or (n.bit_length() + bits) > 62:
+    # One pass over the (possibly expensive) upstream plan; everything below
+    # reads this written copy of the distinct words.
+    table = materialize(word_table(word_freq), "bpe-words0")
+    st = table.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.length("w")).alias("m"),
+        F.min("first.d").alias("d0"),
+        F.max("first.d").alias("d1"),
+        F.max("first.p").alias("p1"),
+    ).collect()[0]
+    n = int(st["n"])
+    if n == 0:
+        return table, None
+    ib = max(1, int(st["m"]).bit_length())
+    pb = max(1, int(st["p1"]).bit_length())
+    db = max(1, (int(st["d1"]) - int(st["d0"])).bit_length())
+    if db + pb + ib <= 62:
+        key = F.shiftleft(F.col("first.d") - F.lit(int(st["d0"])), pb + ib).bitwiseOR(F.shiftleft(F.col("first.p"), ib))
+        return table.select("w", "freq", key.cast("bigint").alias("first")), ib
+    if n.bit_length() + ib > 62:
         return table, None
     keyed = table.select("w", "freq", F.col("first.d").alias("_d"), F.col("first.p").alias("_p"))
     ranks = global_rank(keyed, ["_d", "_p"], "_r")
     packed = keyed.join(ranks, ["_d", "_p"]).select(
-        "w", "freq", F.shiftleft(F.col("_r"), bits).cast("bigint").alias("first")
+        "w", "freq", F.shiftleft(F.col("_r"), ib).cast("bigint").alias("first")
     )
-    return packed, bits
+    return packed, ib
 
 
 def word_pair_stats(words: DataFrame, packed: bool = False) -> DataFrame:
