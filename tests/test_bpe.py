@@ -101,3 +101,14 @@ def test_dense_rank_key_path(spark):
     model = B.bpe_train(wf, 256 + 6 + 1)
     ref = train_sequential([(tuple(w.encode()), f) for w, f in words], 6)
     assert model.merges == ref
+
+
+def test_resume_from_state_dir(spark, tmp_path):
+    wf = P.pretoken_counts(clean_documents(read_documents(spark, SF_SMALL)))
+    state = str(tmp_path / "state")
+    first = B.bpe_train(wf, 256 + 12 + 1, state_dir=state)
+    resumed = B.bpe_train(wf, 256 + 30 + 1, state_dir=state)
+    once = B.bpe_train(wf, 256 + 30 + 1)
+    assert first.merges == once.merges[:12]
+    assert resumed.merges == once.merges
+    assert resumed.rounds > first.rounds

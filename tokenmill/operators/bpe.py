@@ -179,6 +179,34 @@ def validate_sizes(vocab_size: int, eot_id: int) -> None:
         raise ValueError("vocab_size must be at least 258 (256 bytes + >=1 merge + EOT)")
 
 
+def _latest_state(spark: SparkSession, state_dir: str) -> tuple[int, DataFrame, list[tuple[int, int]], int | None] | None:
+    """Last completed round under ``state_dir``: (round, words, merges, key bits)."""
+    from tokenmill.sources.token_cache import _exists
+
+    if not _exists(spark, f"{state_dir}/merges"):
+        return None
+    done = spark.read.parquet(f"{state_dir}/merges")
+    last = done.agg(F.max("round")).collect()[0][0]
+    if last is None:
+        return None
+    rows = done.filter(F.col("round") == last).orderBy("rank").collect()
+    merges = [(int(r["a"]), int(r["b"])) for r in rows]
+    bits = rows[0]["bits"] if rows else None
+    words = spark.read.parquet(f"{state_dir}/words/round={int(last)}")
+    return int(last), words, merges, (None if bits is None or bits < 0 else int(bits))
+
+
+def _save_state(spark: SparkSession, state_dir: str, rnd: int, words: DataFrame, merges, bits) -> DataFrame:
+    """Write the round's words, then its merge list (the list marks completion)."""
+    path = f"{state_dir}/words/round={rnd}"
+    words.write.mode("overwrite").parquet(path)
+    # A round always adds at least one merge, so the list is never empty here.
+    rows = [(rnd, r, a, b, -1 if bits is None else bits) for r, (a, b) in enumerate(merges)]
+    merges_df = spark.createDataFrame(rows, "round int, rank int, a int, b int, bits int")
+    merges_df.coalesce(1).write.mode("append").parquet(f"{state_dir}/merges")
+    return spark.read.parquet(path)
+
+
 def bpe_train(
     word_freq: DataFrame,
     vocab_size: int,
@@ -186,6 +214,7 @@ def bpe_train(
     *,
     fetch_k: int = 256,
     checkpoint_every: int = 1,
+    state_dir: str | None = None,
 ) -> BpeModel:
     """Train merges on a word-frequency table (``pretoken_counts`` output).
 
@@ -194,18 +223,28 @@ def bpe_train(
     word table to the shared checkpoint folder: replaying a chain of
     ``replace`` projections costs more than writing the (distinct-word) table,
     and a failed task never re-runs more than one round.
+
+    With ``state_dir`` (a shared folder) every round's word table and merge
+    list are kept there, and a new call with the same ``state_dir`` resumes
+    from the last completed round — after a driver failure, or to continue to
+    a larger vocabulary.
     """
+    spark = word_freq.sparkSession
     eot_id = vocab_size - 1 if eot_id is None else eot_id
     validate_sizes(vocab_size, eot_id)
     num_merges = eot_id - BYTE_VOCAB
-    table, bits = ranked_word_table(word_freq)
-    parallelism = default_parallelism(word_freq.sparkSession)
-    have = num_partitions(table)
-    if have is not None and have < parallelism:
-        table = table.repartition(parallelism, "w")  # small tables: use every core per round
-    words = materialize(table, "bpe-words")
-    merges: list[tuple[int, int]] = []
-    rounds = 0
+    state = _latest_state(spark, state_dir) if state_dir else None
+    if state is not None:
+        rounds, words, merges, bits = state
+        merges = merges[:num_merges]
+    else:
+        table, bits = ranked_word_table(word_freq)
+        parallelism = default_parallelism(spark)
+        have = num_partitions(table)
+        if have is not None and have < parallelism:
+            table = table.repartition(parallelism, "w")  # small tables: use every core per round
+        words = materialize(table, "bpe-words")
+        merges, rounds = [], 0
     while len(merges) < num_merges:
         top = (
             word_pair_stats(words, packed=bits is not None)
@@ -224,7 +263,9 @@ def bpe_train(
             w = merge_word(w, a, b, new_id)
         words = words.withColumn("w", w).filter(F.length("w") >= 2)
         rounds += 1
-        if rounds % checkpoint_every == 0:
+        if state_dir:
+            words = _save_state(spark, state_dir, rounds, words, merges, bits)
+        elif rounds % checkpoint_every == 0:
             # Cut lineage: later rounds re-read this table, not the replace chain.
             words = materialize(words, "bpe-words")
     return BpeModel(merges=merges, vocab_size=vocab_size, eot_id=eot_id, rounds=rounds)
