@@ -287,16 +287,11 @@ def _stream_docs(spark, sf, table="documents"):
 
 
 def _examples(spark, sf, table="documents", num_samples=None, seed=SEED):
-    enc, keys = _stream_docs(spark, sf, table)
     from tokenmill.session import materialize
 
+    enc, keys = _stream_docs(spark, sf, table)
     enc = materialize(enc.select(*keys, "ids"), "stream")
-    offs = materialize(W.token_offsets(enc, keys), "offsets")
-    n = W.stream_length(offs)
-    wins = W.sample_windows(spark, n, CONTEXT, num_samples, seed)
-    blocks = W.token_blocks(enc, keys, halo=CONTEXT, offsets=offs)
-    k = num_samples if num_samples is not None else n - CONTEXT - 1
-    return W.window_examples(wins, blocks, CONTEXT, num_samples=k), k
+    return W.training_examples(enc, keys, CONTEXT, num_samples, seed)
 
 
 def q_token_offsets(spark, sf):
@@ -327,8 +322,14 @@ def q_batch_examples(spark, sf):
 
 
 def q_holdout_examples(spark, sf):
-    train, _ = _examples(spark, sf, "documents", TRAIN_SAMPLES, SEED)
-    val, _ = _examples(spark, sf, "conversations", EVAL_SAMPLES, SEED + 1)
+    from tokenmill.session import materialize
+
+    train_ids, train_keys = _stream_docs(spark, sf, "documents")
+    val_ids, val_keys = _stream_docs(spark, sf, "conversations")
+    train, val = W.holdout_examples(
+        materialize(train_ids.select(*train_keys, "ids"), "stream"), train_keys, CONTEXT, TRAIN_SAMPLES, EVAL_SAMPLES, SEED,
+        eval_ids=materialize(val_ids.select(*val_keys, "ids"), "stream"), eval_order=val_keys,
+    )
     return W.window_checksums(train).withColumn("split", F.lit("train")).unionByName(
         W.window_checksums(val).withColumn("split", F.lit("val"))
     )
