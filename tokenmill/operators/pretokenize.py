@@ -31,6 +31,9 @@ def pretoken_bytes(df: DataFrame, col: str = "pretoken", out_col: str = "ids") -
     return df.filter(F.octet_length(col) > 0).withColumn(out_col, utf8_byte_ids(F.col(col)))
 
 
+_SHIFT = 10**19
+
+
 def pretoken_counts(
     docs: DataFrame,
     text_col: str = "text",
@@ -42,15 +45,21 @@ def pretoken_counts(
     first occurrence in corpus order, the tie-break of BPE training.
     """
     toks = pretokenize(docs, text_col, keep_cols=(order_col,))
+    # (doc, pos) packed as DECIMAL(38,0) = doc * 10^19 + pos: exact and
+    # order-preserving for any bigint doc and 0 <= pos < 10^19, and a decimal
+    # buffer is updated in place, so this is a HashAggregate (a struct min
+    # would force a sort-based aggregate over every pretoken occurrence).
+    key = F.col(order_col).cast("decimal(38,0)") * F.lit(str(_SHIFT)).cast("decimal(38,0)") + F.col("pos").cast("decimal(38,0)")
     agg = toks.groupBy("pretoken").agg(
         F.count(F.lit(1)).alias("freq"),
-        F.min(F.struct(F.col(order_col).alias("d"), F.col("pos").alias("p"))).alias("_first"),
+        F.min(key.cast("decimal(38,0)")).alias("_first"),
     )
+    doc = F.floor(F.col("_first") / F.lit(str(_SHIFT)).cast("decimal(38,0)"))
     return agg.select(
         "pretoken",
         "freq",
-        F.col("_first.d").alias("first_doc"),
-        F.col("_first.p").cast("bigint").alias("first_pos"),
+        doc.cast("bigint").alias("first_doc"),
+        (F.col("_first") - doc * F.lit(str(_SHIFT)).cast("decimal(38,0)")).cast("bigint").alias("first_pos"),
     )
 
 
