@@ -12,12 +12,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.constants import EOT
 from tokenmill.functions.ids import ids_to_string
 from tokenmill.functions.text import fingerprint, normalize_ws, strip_ws
+from tokenmill.operators import bpe as B
+from tokenmill.operators import chunks as K
 from tokenmill.operators import clean as C
+from tokenmill.operators import codec as X
 from tokenmill.operators import dedupe as D
 from tokenmill.operators import pretokenize as P
+from tokenmill.operators import scores as S
+from tokenmill.operators import windows as W
+from tokenmill.operators.ordered import global_rank
+from tokenmill.plans.tokenizer_jobs import bpe_train_corpus
+from tokenmill.session import scratch_path
+from tokenmill.sources import corpus as IO
+from tokenmill.sources import token_cache as TC
+from tokenmill.sources import tokenizer_io as TIO
 from tokenmill.sources.tables import read_documents, read_table, skip_rows
+from tokenmill.streaming import ops as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,7 +154,6 @@ def _extra() -> dict[str, Query]:
 
 
 # ---- BPE training --------------------------------------------------------------------------
-from tokenmill.operators import bpe as B  # noqa: E402
 
 BPE_VOCAB = 256 + 8 + 1  # 8 merges + EOT: the oracle unrolls eight rounds
 
@@ -177,8 +189,6 @@ _REGISTRY_BPE = {"bpe_train": q_bpe_train, "merge_word": q_merge_word, "bpe_voca
 
 
 # ---- encode / decode with a fixed merge list -----------------------------------------------
-from tokenmill.constants import EOT  # noqa: E402
-from tokenmill.operators import codec as X  # noqa: E402
 
 # ---- fixed values: a literal 10-merge tokenizer used by the codec queries ----
 FIXED_MERGES = [(32, 116), (104, 101), (256, 257), (105, 110), (101, 114),
@@ -263,7 +273,6 @@ _REGISTRY_CODEC = {
 
 
 # ---- token stream layout, windows, batches -------------------------------------------------
-from tokenmill.operators import windows as W  # noqa: E402
 
 CONTEXT = 32
 BATCH = 32
@@ -345,8 +354,6 @@ _REGISTRY_WINDOWS = {
 
 
 # ---- scored rows (embeddings stand in for logits, label for the target) ---------------------
-from tokenmill.operators import scores as S  # noqa: E402
-from tokenmill.operators.ordered import global_rank  # noqa: E402
 
 TEMPERATURE = 0.9
 TOP_P = 0.9
@@ -425,7 +432,6 @@ def q_dedupe_resume(spark, sf):
 
 
 # ---- corpus chunking over the written-corpus layout ------------------------------------------
-from tokenmill.operators import chunks as K  # noqa: E402
 
 NUM_CHUNKS = 8
 
@@ -461,11 +467,6 @@ _REGISTRY_MORE = {
 
 
 # ---- file connectors: corpus text, tokenizer artifact, token cache ---------------------------
-from tokenmill.plans.tokenizer_jobs import bpe_train_corpus  # noqa: E402
-from tokenmill.session import scratch_path  # noqa: E402
-from tokenmill.sources import corpus as IO  # noqa: E402
-from tokenmill.sources import token_cache as TC  # noqa: E402
-from tokenmill.sources import tokenizer_io as TIO  # noqa: E402
 
 
 def _written_corpus(spark, sf):
@@ -563,7 +564,6 @@ _REGISTRY_IO = {
 
 
 # ---- streaming (availableNow into a fresh sink, read back as a static table) -----------------
-from tokenmill.streaming import ops as ST  # noqa: E402
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
