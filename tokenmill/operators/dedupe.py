@@ -133,8 +133,13 @@ def ingest_report(
         F.count_if(F.length("_t") > 0).alias("non_empty"),
         F.count_if(F.length("_t") == 0).alias("blank"),
     )
-    # Both sides are single-row aggregates; the join pairs one row with one row.
-    out = counts.withColumn("_k", F.lit(1)).join(kept.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # Two single-row aggregates become one row by union + max (no join).
+    cols = ["rows_read", "non_empty", "blank", "kept", "output_bytes"]
+
+    def widen(df):
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("bigint").alias(c) for c in cols])
+
+    out = widen(counts).unionByName(widen(kept)).agg(*[F.max(c).alias(c) for c in cols])
     return out.select(
         "rows_read",
         "non_empty",

@@ -26,3 +26,59 @@ def bpe_train_corpus(
     if out_dir:
         write_tokenizer(spark, model, out_dir)
     return model
+
+
+def corpus_token_ids(spark: SparkSession, corpus_path: str, model: B.BpeModel) -> DataFrame:
+    """Encode an EOT-delimited corpus file (or directory) like the streaming encoder.
+
+    Every document that a delimiter ends is stripped, encoded and followed by
+    one EOT id, also when it is empty; a non-empty tail after the last
+    delimiter is encoded with no EOT.  The blank segment after each file's
+    final delimiter (the writer's trailing newlines) is not a document.
+    Returns ``doc_seq, ids`` in file order.
+    """
+    from pyspark.sql import functions as F
+
+    from tokenmill.operators.codec import encode_text
+
+    segs = read_corpus(spark, corpus_path, keep_empty=True)
+    order = F.struct("block_start", "row_id")
+    last = segs.groupBy("file_path").agg(F.max(order).alias("_last"))  # one row per file
+    final_file = last.agg(F.max("file_path")).collect()[0][0]  # a single path
+    marked = (
+        segs.join(last, "file_path")
+        .withColumn("_is_last", order == F.col("_last"))
+        .withColumn("_tail", F.col("_is_last") & (F.col("file_path") == F.lit(final_file)) & (F.length("text") > 0))
+        .filter(~(F.col("_is_last") & (F.length("text") == 0)))
+    )
+    ids = encode_text(F.col("text"), model, add_eot_between_docs=False)
+    eot = F.when(F.col("_tail"), F.array().cast("array<int>")).otherwise(F.array(F.lit(model.eot_id)))
+    encoded = marked.select("file_path", "block_start", "row_id", F.concat(ids, eot).alias("ids"))
+    return with_sequence(encoded).select("doc_seq", "ids")
+
+
+def corpus_token_cache(
+    spark: SparkSession,
+    corpus_path: str,
+    model: B.BpeModel,
+    cache_path: str,
+    *,
+    rebuild: bool = False,
+    block_size: int = 4096,
+) -> DataFrame:
+    """Token blocks of a corpus, reused from ``cache_path`` when it matches the tokenizer."""
+    from tokenmill.operators.windows import token_blocks
+    from tokenmill.session import materialize
+    from tokenmill.sources.token_cache import tokens_cached
+
+    def build() -> DataFrame:
+        ids = materialize(corpus_token_ids(spark, corpus_path, model), "corpus-ids")
+        return token_blocks(ids, ["doc_seq"], block_size=block_size)
+
+    blocks, _ = tokens_cached(
+        spark, cache_path, build, rebuild=rebuild,
+        expect={"vocab_size": model.vocab_size, "eot_token_id": model.eot_id},
+        source_path=corpus_path, source_size_bytes=None, vocab_size=model.vocab_size,
+        eot_token_id=model.eot_id, block_size=block_size,
+    )
+    return blocks
