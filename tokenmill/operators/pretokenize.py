@@ -95,9 +95,20 @@ def pair_stats(words: DataFrame, ids_col: str = "ids", freq_col: str = "freq") -
         F.col("first_pos"),
         F.posexplode(adjacent_pairs(F.col(ids_col))).alias("idx", "pair"),
     )
+    # Tie-break (first_doc, first_pos, idx) as one DECIMAL(38,0):
+    # doc * 10^19 + pos * 10^9 + idx.  Exact while pos < 10^10 and idx < 10^9;
+    # beyond that the query fails instead of ordering wrongly.  A decimal
+    # buffer keeps the aggregate hash-based.
+    dec = "decimal(38,0)"
+    guard = F.when(
+        (F.col("first_pos") < F.lit(10**10)) & (F.col("idx") < F.lit(10**9)),
+        F.col("first_doc").cast(dec) * F.lit(str(_SHIFT)).cast(dec)
+        + F.col("first_pos").cast(dec) * F.lit(10**9).cast(dec)
+        + F.col("idx").cast(dec),
+    ).otherwise(F.raise_error(F.lit("pair_stats: position beyond the packed tie-break range")).cast(dec))
     return exploded.groupBy(F.col("pair.a").alias("a"), F.col("pair.b").alias("b")).agg(
         F.sum(freq_col).alias("cnt"),
-        F.min(F.struct("first_doc", "first_pos", "idx")).alias("first"),
+        F.min(guard).alias("first"),
     )
 
 
