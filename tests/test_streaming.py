@@ -34,3 +34,13 @@ def test_local_duplicates_dropped_before_shuffle(spark):
     out = ST.drop_local_duplicates(df.coalesce(1), "fp").collect()
     assert sorted(r.fp for r in out) == sorted({r.fp for r in df.collect()})
     assert [r.doc_id for r in out if r.fp == "hot"] == [1]
+
+
+def test_bounded_state_dedupe(spark, tmp_dir):
+    src, sink, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    df = spark.createDataFrame([(0, "a b"), (1, "a  b"), (2, "c")], "doc_id long, text string")
+    IO.write_corpus(df, src, order_cols=["doc_id"])
+    stream = ST.stream_dedupe(ST.stream_clean(ST.stream_corpus(spark, src)), ttl="1 hour")
+    ST.run_available_now(stream, sink, ck)
+    out = spark.read.parquet(sink)
+    assert out.count() == 2 and sorted(r.fp for r in out.collect()) == sorted({r.fp for r in out.collect()})

@@ -89,15 +89,32 @@ def drop_local_duplicates(df: DataFrame, key_col: str) -> DataFrame:
     return df.mapInArrow(first_per_key, schema)
 
 
-def stream_dedupe(stream: DataFrame, text_col: str = "text", fp_col: str = "fp") -> DataFrame:
+def stream_dedupe(
+    stream: DataFrame,
+    text_col: str = "text",
+    fp_col: str = "fp",
+    *,
+    ttl: str | None = None,
+    time_col: str = "ingest_time",
+) -> DataFrame:
     """Drop documents whose fingerprint was already seen by this query.
 
     Local repeats are dropped before the shuffle (map-side combine), then the
     state store keeps one entry per fingerprint.  Arrival order decides the
     survivor inside one stream, as in the reference.
+
+    With ``ttl`` (e.g. ``"7 days"``) state is bounded instead: a fingerprint
+    is forgotten once the watermark on ``time_col`` (added as the ingest time
+    when absent) passes it by ``ttl`` — ``dropDuplicatesWithinWatermark``.
+    A deliberate deviation: copies further apart than ``ttl`` both survive.
     """
     with_fp = stream.withColumn(fp_col, fingerprint(F.col(text_col)))
-    return drop_local_duplicates(with_fp, fp_col).dropDuplicates([fp_col])
+    local = drop_local_duplicates(with_fp, fp_col)
+    if ttl is None:
+        return local.dropDuplicates([fp_col])
+    if time_col not in local.columns:
+        local = local.withColumn(time_col, F.current_timestamp())
+    return local.withWatermark(time_col, ttl).dropDuplicatesWithinWatermark([fp_col])
 
 
 def stream_encode(stream: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
