@@ -74,3 +74,12 @@ def test_pretokenize_equals_regex_module_on_documents(spark):
     rows = docs.select("text", pretokens(F.col("text")).alias("p")).collect()
     for r in rows:
         assert r.p == [p for p in PY.findall(r.text) if p]
+
+
+def test_python_mode_equals_jvm_mode(spark):
+    from tokenmill.operators.pretokenize import pretokenize
+
+    docs = read_documents(spark, SF_SMALL)
+    a = pretokenize(docs, mode="jvm").collect()
+    b = pretokenize(docs, mode="python").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

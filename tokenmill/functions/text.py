@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenmill.constants import GPT2_PATTERN_JAVA, WS_STRIP
+from tokenmill.constants import GPT2_PATTERN_JAVA, GPT2_PATTERN_PY, WS_STRIP
 
 
 def _col(c: Column | str) -> Column:
@@ -30,9 +31,34 @@ def fingerprint(c: Column | str) -> Column:
     return F.sha2(normalize_ws(c), 256)
 
 
-def pretokens(c: Column | str) -> Column:
-    """GPT-2 pretokens of a text as ``array<string>`` (JVM regex, no UDF)."""
-    return F.regexp_extract_all(_col(c), F.lit(GPT2_PATTERN_JAVA), F.lit(0))
+def pretokens(c: Column | str, mode: str = "jvm") -> Column:
+    """GPT-2 pretokens of a text as ``array<string>``.
+
+    ``mode="jvm"`` (default): java.util.regex, no UDF.  ``mode="python"``:
+    the published pattern on the ``regex`` module in an Arrow pandas UDF, for
+    exact parity where the JDK's Unicode tables differ from the module's (they
+    agree on all test documents; the UDF is the slow path).
+    """
+    if mode == "jvm":
+        return F.regexp_extract_all(_col(c), F.lit(GPT2_PATTERN_JAVA), F.lit(0))
+    if mode == "python":
+        return _regex_pretokens()(_col(c))
+    raise ValueError(f"unknown pretokenizer mode: {mode!r}")
+
+
+def _regex_pretokens():
+    from pyspark.sql import types as T
+
+    pattern = GPT2_PATTERN_PY
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def split(texts: pd.Series) -> pd.Series:
+        import regex
+
+        pat = regex.compile(pattern)
+        return pd.Series([[p for p in pat.findall(t) if p] if t is not None else None for t in texts])
+
+    return split
 
 
 def utf8_decode(c: Column | str, errors: str = "replace") -> Column:

@@ -18,11 +18,16 @@ from tokenmill.functions.ids import let, utf8_byte_ids
 from tokenmill.functions.text import pretokens
 
 
-def pretokenize(df: DataFrame, text_col: str = "text", keep_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """One row per pretoken: ``keep_cols..., pos, pretoken`` (pos 0-based)."""
+def pretokenize(
+    df: DataFrame, text_col: str = "text", keep_cols: Sequence[str] = ("doc_id",), mode: str = "jvm"
+) -> DataFrame:
+    """One row per pretoken: ``keep_cols..., pos, pretoken`` (pos 0-based).
+
+    ``mode="python"`` uses the exact-Unicode ``regex`` UDF (see ``pretokens``).
+    """
     return df.select(
         *[F.col(c) for c in keep_cols],
-        F.posexplode(pretokens(F.col(text_col))).alias("pos", "pretoken"),
+        F.posexplode(pretokens(F.col(text_col), mode)).alias("pos", "pretoken"),
     ).filter(F.length("pretoken") > 0)
 
 
