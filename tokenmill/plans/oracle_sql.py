@@ -330,9 +330,11 @@ def more_sql() -> dict[str, str]:
                 min_by(k1, {{'r': source_rank, 'a': k1, 'b': k2}}) AS k1, min_by(k2, {{'r': source_rank, 'a': k1, 'b': k2}}) AS k2,
                 min_by(text, {{'r': source_rank, 'a': k1, 'b': k2}}) AS text, fp
             FROM (SELECT *, {fp_sql('text')} AS fp FROM {merged}) GROUP BY fp""",
-        "dedupe_resume": f"""WITH c AS (SELECT doc_id, text, {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}),
-              old AS (SELECT DISTINCT fp FROM c WHERE doc_id % 2 = 0),
-              batch AS (SELECT min(doc_id) AS doc_id, min_by(text, doc_id) AS text, fp FROM c WHERE doc_id % 2 = 1 GROUP BY fp)
+        "dedupe_resume": f"""WITH c AS (SELECT doc_id, text, {fp_sql('text')} AS fp,
+                     coalesce((SELECT lang FROM documents d WHERE d.doc_id = x.doc_id) = 'en', false) AS earlier
+                     FROM {CLEAN_DOCS_F} x),
+              old AS (SELECT DISTINCT fp FROM c WHERE earlier),
+              batch AS (SELECT min(doc_id) AS doc_id, min_by(text, doc_id) AS text, fp FROM c WHERE NOT earlier GROUP BY fp)
             SELECT doc_id, text, fp FROM batch WHERE fp NOT IN (SELECT fp FROM old)""",
         "chunk_boundaries": f"WITH {layout} SELECT idx, b AS byte_offset FROM ob",
         "corpus_chunks": f"""WITH {layout},

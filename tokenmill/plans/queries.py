@@ -424,10 +424,15 @@ def q_dedupe_merged(spark, sf):
     return D.dedupe_merged(sources).select("source_rank", "k1", "k2", "text", "fp")
 
 
+def _resume_split(spark, sf):
+    """All documents, split into an earlier run (English) and the appended run (the rest)."""
+    docs = read_documents(spark, sf, columns=("doc_id", "text", "lang"))
+    earlier = F.coalesce(F.col("lang") == "en", F.lit(False))
+    return docs.filter(earlier).drop("lang"), docs.filter(~earlier).drop("lang")
+
+
 def q_dedupe_resume(spark, sf):
-    docs = _docs(spark, sf)
-    existing = docs.filter(F.col("doc_id") % 2 == 0)
-    new = docs.filter(F.col("doc_id") % 2 == 1)
+    existing, new = _resume_split(spark, sf)
     return D.dedupe_resume(existing, new, ("doc_id",)).select("doc_id", "text", "fp")
 
 
@@ -598,11 +603,11 @@ def q_stream_resume(spark, sf):
     """Two runs on one checkpoint; the second sees only newly arrived files."""
     ST.use_rocksdb_state(spark)
     src, sink, ck = scratch_path(spark, "in"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    docs = _clean(spark, sf)
-    IO.write_corpus(docs.filter(F.col("doc_id") % 2 == 0), src, order_cols=["doc_id"])
+    earlier, later = _resume_split(spark, sf)
+    IO.write_corpus(C.clean_documents(earlier), src, order_cols=["doc_id"])
     stream = ST.stream_dedupe(ST.stream_clean(ST.stream_corpus(spark, src)))
     ST.run_available_now(stream, sink, ck)
-    IO.write_corpus(docs.filter(F.col("doc_id") % 2 == 1), src, order_cols=["doc_id"], mode="append")
+    IO.write_corpus(C.clean_documents(later), src, order_cols=["doc_id"], mode="append")
     ST.run_available_now(stream, sink, ck)
     return spark.read.parquet(sink).select("fp")
 
