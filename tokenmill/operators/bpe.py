@@ -97,8 +97,14 @@ def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     from tokenmill.operators.ordered import global_rank
 
     # One pass over the (possibly expensive) upstream plan; everything below
-    # reads this written copy of the distinct words.
-    table = materialize(word_table(word_freq), "bpe-words0")
+    # reads this written copy of the distinct words.  Small word tables are
+    # spread first so every round uses all cores.
+    table = word_table(word_freq)
+    parallelism = default_parallelism(word_freq.sparkSession)
+    have = num_partitions(table)
+    if have is not None and have < parallelism:
+        table = table.repartition(parallelism, "w")
+    table = materialize(table, "bpe-words0")
     st = table.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.length("w")).alias("m"),
@@ -122,7 +128,7 @@ def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     packed = keyed.join(ranks, ["_d", "_p"]).select(
         "w", "freq", F.shiftleft(F.col("_r"), ib).cast("bigint").alias("first")
     )
-    return packed, ib
+    return materialize(packed, "bpe-words0"), ib
 
 
 def word_pair_stats(words: DataFrame, packed: bool = False) -> DataFrame:
@@ -238,12 +244,7 @@ def bpe_train(
         rounds, words, merges, bits = state
         merges = merges[:num_merges]
     else:
-        table, bits = ranked_word_table(word_freq)
-        parallelism = default_parallelism(spark)
-        have = num_partitions(table)
-        if have is not None and have < parallelism:
-            table = table.repartition(parallelism, "w")  # small tables: use every core per round
-        words = materialize(table, "bpe-words")
+        words, bits = ranked_word_table(word_freq)  # written once, spread over all cores
         merges, rounds = [], 0
     while len(merges) < num_merges:
         top = (
