@@ -22,3 +22,14 @@ def test_global_rank_composite_key(spark):
     df = spark.createDataFrame([(a, b) for a in range(5) for b in range(40)], "a int, b int").repartition(4)
     got = {(r.a, r.b): r.rank for r in global_rank(df, ["a", "b"], buckets=6).collect()}
     assert [got[k] for k in sorted(got)] == list(range(200))
+
+
+def test_skip_rows_filters_past_the_nth_key(spark):
+    from tokenmill.sources.tables import skip_rows
+
+    df = spark.createDataFrame([(a, b, f"t{a}-{b}") for a in range(6) for b in range(30)], "a int, b int, t string")
+    for n in (0, 1, 37, 179, 180, 500):
+        got = sorted((r.a, r.b) for r in skip_rows(df.repartition(5), n, ["a", "b"]).collect())
+        assert got == sorted((a, b) for a in range(6) for b in range(30))[max(n, 0):]
+    single = spark.range(100).withColumnRenamed("id", "doc_id")
+    assert sorted(r.doc_id for r in skip_rows(single, 40).collect()) == list(range(40, 100))

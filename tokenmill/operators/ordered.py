@@ -59,3 +59,30 @@ def global_rank(df: DataFrame, key_cols: Sequence[str], out_col: str = "rank", *
     """``key_cols..., rank`` with 0-based rank in key order (distributed)."""
     ones = df.select(*[F.col(c) for c in key_cols], F.lit(1).alias("_one"))
     return prefix_offsets(ones, key_cols, "_one", out_col, buckets=buckets).drop("_one")
+
+
+def key_at_rank(df: DataFrame, key_cols: Sequence[str], rank: int, *, buckets: int | None = None):
+    """The key tuple at 0-based ``rank`` in key order, or None past the end.
+
+    Bucket totals locate the bucket holding ``rank``; a row number inside
+    that one bucket finds the key.  Only one value reaches the driver.
+    """
+    keys = [F.col(c) for c in key_cols]
+    narrow = df.select(*keys)
+    ranged = narrow.repartitionByRange(buckets, *keys) if buckets else narrow.repartitionByRange(*keys)
+    staged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "rank")
+    totals = sorted((int(r["_bucket"]), int(r["count"])) for r in staged.groupBy("_bucket").count().collect())
+    base = 0
+    for bucket, count in totals:
+        if rank < base + count:
+            w = Window.partitionBy("_bucket").orderBy(*keys)
+            hit = (
+                staged.filter(F.col("_bucket") == bucket)
+                .withColumn("_rn", F.row_number().over(w) - 1)
+                .filter(F.col("_rn") == rank - base)
+                .select(*keys)
+                .collect()
+            )
+            return tuple(hit[0])
+        base += count
+    return None

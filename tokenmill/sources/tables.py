@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordered import global_rank
+from tokenmill.operators.ordered import key_at_rank
 from tokenmill.session import default_parallelism, num_partitions
 
 
@@ -51,12 +51,19 @@ def read_documents(
 def skip_rows(df: DataFrame, n: int, order_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Resume: drop the first ``n`` rows in source order (negative n → 0).
 
-    Uses a distributed global rank (range buckets + per-bucket offsets), then a
-    filter on the rank: no single-partition OFFSET and nothing collected.
+    ``order_cols`` must be a total order.  The key of rank ``n - 1`` is found
+    with a distributed rank (one value reaches the driver), then the data is
+    only filtered on ``key > that key``: no join and no shuffle of the rows,
+    and for a single key column the predicate is pushed into the scan.
     """
     n = max(0, int(n))
     if n == 0:
         return df
-    ranks = global_rank(df, order_cols, "_rank")
-    skipped = ranks.filter(F.col("_rank") >= n).select(*order_cols)
-    return df.join(skipped, list(order_cols), "left_semi")
+    at = key_at_rank(df, order_cols, n - 1)
+    if at is None:
+        return df.filter(F.lit(False))
+    if len(order_cols) == 1:
+        return df.filter(F.col(order_cols[0]) > F.lit(at[0]))
+    left = F.struct(*[F.col(c) for c in order_cols])
+    right = F.struct(*[F.lit(v).alias(c) for c, v in zip(order_cols, at)])
+    return df.filter(left > right)
