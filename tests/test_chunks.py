@@ -93,3 +93,22 @@ def test_guess_past_last_delimiter_goes_to_eof(spark, tmp_path):
     bounds = K.chunk_boundaries(lay, 4, ("doc_seq",))
     assert bounds == [0, len(data)]
     assert F is not None
+
+
+def test_delimiters_inside_documents(spark):
+    eot = "<|endoftext|>"
+    texts = [f"a{eot}b", "c", f"{eot}{eot}é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lay = K.file_layout(df)
+    blob = "".join(t + "\n\n" + eot + "\n\n" for t in texts).encode()
+    want, i = [], blob.find(eot.encode())
+    while i >= 0:
+        want.append(i)
+        i = blob.find(eot.encode(), i + 1)
+    got = sorted(r.pos for r in K.delimiter_offsets(lay).collect())
+    assert got == want
+    for n in (2, 3, 5, 9):
+        step = max(len(blob) // n, 1)
+        ref = [0] + [next((d for d in want if d >= i * step), len(blob)) for i in range(1, n)] + [len(blob)]
+        assert K.chunk_boundaries(lay, n) == sorted(set(ref))
+        assert _file_bytes_from_pieces(K.chunk_pieces(lay, K.chunk_boundaries(lay, n))) == blob
