@@ -42,7 +42,8 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    llm = {k for k in E.queries() if k.startswith("op") or k == "pipeline"}
+    assert set(E.queries()) - llm == set(E.oracle_sql()) - llm
 
 
 def test_entry_smoke(spark):
