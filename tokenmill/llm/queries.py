@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
+from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.sharding import shard_documents
+from tokenmill.llm.token_counts import token_counts
 from tokenmill.llm.url_filters import judge_urls
 
 #: The rules of the URL query (host, path, verdict).
@@ -36,9 +39,31 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir), (1, 2, 3), 3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts(documents(spark, sf_dir), tokenizer, 2048)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_url_filters": op2_url_filters,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_benchmark_decontamination": op7_benchmark_decontamination,
+        "op8_source_mixing": op8_source_mixing,
+        "op9_token_counts": op9_token_counts,
     }

@@ -99,14 +99,14 @@ def _piece_cuts(data: np.ndarray, separators: np.ndarray) -> list[int]:
     return [*cuts, len(data)]
 
 
-def words(column: pa.Array, separators: np.ndarray = SPACE) -> Words:
-    """Tokenise a whole Arrow column of texts."""
+def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = True) -> Words:
+    """Tokenise a whole Arrow column of texts; without ``fold_case`` words that differ in case differ."""
     data, offsets = text_bytes(column)
     starts_all, ends_all, hash_all = [], [], []
     at, carry = 0, None  # carry: hash sum, and its length, of a word that a piece without separators left open
     edge = np.unique(offsets)
     for end in _piece_cuts(data, separators):
-        piece = LOWER[data[at:end]]
+        piece = LOWER[data[at:end]] if fold_case else data[at:end]
         n = len(piece)
         if not n:
             continue
@@ -144,17 +144,30 @@ def words(column: pa.Array, separators: np.ndarray = SPACE) -> Words:
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets).astype(np.int64), data, offsets)
 
 
+def _from(x: np.ndarray, k: int) -> np.ndarray:
+    """``x`` from its k-th element on, filled up with zeros."""
+    out = np.zeros_like(x)
+    if k < len(x):
+        out[:len(x) - k] = x[k:]
+    return out
+
+
 def sequence_hashes(hashes: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of ``length`` consecutive words from each word on, and which of these stay inside their text."""
-    n = len(hashes)
-    out = np.zeros(n, U64)
-    for k in range(length):
-        out *= U64(0x9FB21C651E98DF25)
-        out[:n - k] += mix(hashes[k:] + U64(k + 1))
-    whole = np.zeros(n, bool)
-    owner_end = np.repeat(bounds[1:], np.diff(bounds))
-    whole[:] = np.arange(n) + length <= owner_end
-    return mix(out), whole
+    """Hash of ``length`` consecutive words from each word on, and which of these stay inside their text.
+
+    Runs of 1, 2, 4, ... words are hashed by doubling and joined by the bits of ``length``.
+    """
+    power, out, done, run = mix(hashes + U64(0x51_7C_C1_B7_27_22_0A_95)), None, 0, 1
+    while True:
+        if length & run:
+            out = power if out is None else mix(out * U64(0x9FB21C651E98DF25) + _from(power, done))
+            done += run
+        if run * 2 > length:
+            break
+        power = mix(power * U64(0xA24BAED4963EE407) + _from(power, run))
+        run *= 2
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    return out + U64(length), np.arange(len(hashes)) + length <= end
 
 
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20, max_rows: int = 4096):
