@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
+from tokenmill.llm.license_scan import scan_licenses
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.sharding import shard_documents
 from tokenmill.llm.token_counts import token_counts
@@ -34,6 +35,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -62,6 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_url_filters": op2_url_filters,
+        "op3_license_scan": op3_license_scan,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_source_mixing": op8_source_mixing,

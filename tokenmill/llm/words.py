@@ -128,7 +128,7 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = Tr
             # the last word of the piece before goes on here: append the parts' hashes
             length = int(ends_all[-1][-1] - starts_all[-1][-1])
             shift = U64(pow(_BASE, length, 1 << 64))
-            hash_all[-1][-1] = hash_all[-1][-1] + h[0] * shift
+            hash_all[-1][-1:] += h[:1] * shift
             ends_all[-1][-1] = at + e[0]
             s, e, h = s[1:], e[1:], h[1:]
         if len(s):
@@ -139,8 +139,7 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = Tr
         at = end
     join = (lambda xs, t: np.concatenate(xs) if xs else np.empty(0, t))
     starts, ends, hashes = join(starts_all, np.int64), join(ends_all, np.int64), join(hash_all, U64)
-    with np.errstate(over="ignore"):
-        hashes = mix(hashes + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    hashes = mix(hashes + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets).astype(np.int64), data, offsets)
 
 
