@@ -13,6 +13,7 @@ from tokenmill.llm.license_scan import scan_licenses
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.sharding import shard_documents
 from tokenmill.llm.token_counts import token_counts
+from tokenmill.llm.toxicity import score_toxicity
 from tokenmill.llm.url_filters import judge_urls
 
 #: The rules of the URL query (host, path, verdict).
@@ -39,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -68,6 +73,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_url_filters": op2_url_filters,
         "op3_license_scan": op3_license_scan,
+        "op4_toxicity": op4_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_source_mixing": op8_source_mixing,
