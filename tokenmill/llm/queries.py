@@ -11,6 +11,7 @@ from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.license_scan import scan_licenses
 from tokenmill.llm.mixing import mix_sources
+from tokenmill.llm.ngram_join import ngram_components
 from tokenmill.llm.sharding import shard_documents
 from tokenmill.llm.token_counts import token_counts
 from tokenmill.llm.toxicity import score_toxicity
@@ -68,6 +69,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_counts(documents(spark, sf_dir), tokenizer, 2048)
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(documents(spark, sf_dir))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -78,4 +83,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_source_mixing": op8_source_mixing,
         "op9_token_counts": op9_token_counts,
+        "op10_ngram_jaccard": op10_ngram_jaccard,
     }
