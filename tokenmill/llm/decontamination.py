@@ -256,13 +256,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     windows; null item ids are left out of ``items``; repeated rows are answered
     one by one; an empty table on either side gives clean rows or none.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     item = benchmark.schema[item_col].dataType.simpleString()
-    schema = (f"id {kind}, text string, n_words long, spans array<array<long>>, items array<{item}>, "
-              f"longest struct<words: long, position: long, item_id: {item}, item_position: long>")
+    longest = f"struct<words: long, position: long, item_id: {item}, item_position: long>"
+    schema = W.schema_with(docs, id_col, "id", f"text string, n_words long, spans array<array<long>>, items array<{item}>, longest {longest}")
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<array<bigint>>").alias("spans"), F.array().cast(f"array<{item}>").alias("items"),
-                      F.lit(None).cast(schema.rsplit("longest ", 1)[1]).alias("longest"))
+                      F.lit(None).cast(longest).alias("longest"))
     for side in _test_slices(benchmark, item_col, item_text_col, window):
         out = out.mapInArrow(_scan(side), schema)
     # several slices may have hit the same words: merge the stretches, then add them up

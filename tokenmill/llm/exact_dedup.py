@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.words import LOWER, text_bytes
+from tokenmill.llm import words as W
 from tokenmill.session import materialize
 
 
@@ -27,8 +27,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            data, offsets = text_bytes(part.column(1))
-            raw = memoryview(LOWER[data])
+            data, offsets = W.text_bytes(part.column(1))
+            raw = memoryview(W.LOWER[data])
             out = [hashlib.sha256(raw[offsets[i]:offsets[i + 1]]).digest() for i in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], names=["id", "digest"])
 
@@ -66,9 +66,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated with an equal text, each of those rows is marked as kept.  Extra
     columns are ignored; an empty table gives an empty result.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     keys = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_digests, f"id {kind}, digest binary")
+        .mapInArrow(_digests, W.schema_with(docs, id_col, "id", "digest binary"))
     keys = materialize(keys, "dedup-digests")
     group = [F.max("id").alias("keep_id"), F.count("*").alias("group_size")]
     hot = F.broadcast(frequent_digests(keys, counters))  # counters + 1 digests at most

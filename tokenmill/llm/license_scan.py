@@ -163,7 +163,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, id_col: s
     repeated rows are answered one by one, other columns are ignored.  Templates
     are broadcast in slices of bounded size.
     """
-    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    spark = docs.sparkSession
     if templates is None:
         parts = [TEMPLATES]
     else:
@@ -172,7 +172,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, id_col: s
         side = materialize(side.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(n))), "templates") if n > 1 else side.withColumn("part", F.lit(0))
         parts = [[(r.license_id, r.text) for r in side.filter(F.col("part") == i).collect()] for i in range(n)]
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {kind}, license_id string, containment double, first_word long, n_words long"
+    schema = W.schema_with(docs, id_col, "id", "license_id string, containment double, first_word long, n_words long")
     out = []
     for part in parts:
         ready = [t for t in (_template(*p) for p in part) if t is not None]

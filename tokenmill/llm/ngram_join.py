@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
@@ -144,8 +144,6 @@ def _gather(table: pa.Table, dtype: type) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
     """(id, d1, d2, n, possible): whether enough of a document's first tokens in hash order occur elsewhere."""
-    kind = docs.schema["id"].dataType.simpleString()
-
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, meta, tokens, bounds in _blocks(batches, k):
             n = np.diff(bounds)
@@ -184,7 +182,8 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
 
     cells = docs.mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
     answers = cells.groupBy("shard").applyInArrow(look_up, "block long, counts binary, meta binary")
-    return answers.groupBy("block").applyInArrow(decide, f"id {kind}, d1 long, d2 long, n long, possible boolean")
+    return answers.groupBy("block").applyInArrow(
+        decide, W.schema_with(docs, "id", "id", "d1 long, d2 long, n long, possible boolean"))
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
@@ -320,3 +319,21 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = judged.join(merged.unionByName(alone), ["d1", "d2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, k: int = SHINGLE) -> DataFrame:
+    """One document of each group of linked documents, all columns kept: the one with the smallest id.
+
+    Of several rows with that id the smallest text hash stays, of equal rows one.
+    Documents without words all stay.
+    """
+    digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    names = [c for c in docs.columns]
+    found = ngram_components(docs.select(F.struct(F.col(id_col).alias("i"), digest.alias("h")).alias("row"), F.col(text_col).alias("text")),
+                             "row", "text", percent, k)
+    keep = found.filter(F.col("row") == F.col("component_id")).groupBy("row").agg(F.max("n_shingles").alias("n"))
+    keep = keep.select(F.col("row.i").alias("__i"), F.col("row.h").alias("__h"), F.col("n").alias("__n"))
+    rows = docs.select(*names, digest.alias("__digest"))
+    rows = rows.join(keep, rows[id_col].eqNullSafe(F.col("__i")) & (F.col("__digest") == F.col("__h")))
+    nth = F.row_number().over(Window.partitionBy("__i", "__h").orderBy(F.lit(0)))
+    return rows.withColumn("__nth", nth).filter((F.col("__nth") == 1) | (F.col("__n") == 0)).select(*names)

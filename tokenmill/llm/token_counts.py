@@ -104,10 +104,9 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
     ``tokenizer`` is the path of a tokenizers file whose normaliser and
     pre-tokenizer treat ASCII white space as a boundary that yields no token.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
-    if with_prefixes:
-        schema += ", prefix_bytes array<long>, prefix_tokens array<long>"
+    rest = "n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
+    rest += ", prefix_bytes array<long>, prefix_tokens array<long>" if with_prefixes else ""
+    schema = W.schema_with(docs, id_col, "id", rest)
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .mapInArrow(_count(tokenizer, limit, with_prefixes), schema)
     return out.withColumnRenamed("id", id_col)

@@ -23,6 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenmill.llm import words as W
 from tokenmill.session import materialize
@@ -205,7 +206,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     with no label, or labels of one kind only, every score is the smoothed share
     of toxic labels; an empty table gives no rows.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    scored = _scored(docs, labels, id_col, text_col, label_col, folds, max_train, seed, [])
+    return scored.withColumnRenamed("id", id_col)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+               folds: int = 5, max_train: int = MAX_TRAIN, seed: int = 11) -> DataFrame:
+    """The documents that :func:`score_toxicity` does not reject, all columns kept."""
+    scored = _scored(docs, labels, id_col, text_col, label_col, folds, max_train, seed, docs.columns)
+    return scored.filter("predicted = 0").select("row.*")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, max_train: int, seed: int,
+            carried: list[str]) -> DataFrame:
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("label is not null and id is not null")
     given = given.filter(crc_fold(F.col("id"), folds) != 0).groupBy("id").agg(F.max(F.col("label").cast("double")).alias("label"))
     given = materialize(given, "toxic-labels")
@@ -218,7 +231,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     bad, good = share_of.get((False, True), 0), share_of.get((False, False), 0)
     lexicon = _learn_lexicon(rows.filter("not calibrate"), bad, good)
     base = (bad + 1) / (bad + good + 2)
-    scored = source.mapInArrow(_with_features(lexicon, ["id"]), f"id {kind}, features array<double>")
+    if carried:
+        source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in carried]).alias("row"))
+    with_row = ["row"] if carried else []
+    schema = W.schema_with(source, "id", "id", "features array<double>")
+    if carried:
+        schema = T.StructType([schema["id"], T.StructField("row", source.schema["row"].dataType), schema["features"]])
+    scored = source.mapInArrow(_with_features(lexicon, ["id", *with_row]), schema)
     if not bad or not good:
         score = F.lit(base)
     else:
@@ -227,7 +246,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         fit = train.filter("not calibrate").withColumn("weight", F.when(F.col("label") > 0, good / bad).otherwise(1.0))
         trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=seed, weightCol="weight", cacheNodeIds=False).fit(fit)
         scored = trees.transform(scored.withColumn("features", array_to_vector("features")))
-        scored = scored.select("id", vector_to_array("probability")[1].alias("raw"))
+        scored = scored.select("id", *with_row, vector_to_array("probability")[1].alias("raw"))
         held = trees.transform(train.filter("calibrate")).select("label", vector_to_array("probability")[1].alias("raw"))
         if share_of.get((True, True), 0) and share_of.get((True, False), 0):
             curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(held)
@@ -237,5 +256,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         else:
             score = F.col("raw")
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
-    return scored.select(F.col("id").alias(id_col), (crc_fold(F.col("id"), folds) == 0).alias("held_out"),
+    return scored.select("id", *with_row, (crc_fold(F.col("id"), folds) == 0).alias("held_out"),
                          score.cast("double").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
