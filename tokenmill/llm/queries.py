@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.license_scan import scan_licenses
+from tokenmill.llm.lm_scoring import score_documents
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import ngram_components
 from tokenmill.llm.sharding import shard_documents
@@ -45,6 +46,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -79,6 +84,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_filters": op2_url_filters,
         "op3_license_scan": op3_license_scan,
         "op4_toxicity": op4_toxicity,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_source_mixing": op8_source_mixing,
