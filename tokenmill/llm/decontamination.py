@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import own_columns, schema_with
 from tokenmill.session import materialize
 
 WINDOW = 13
@@ -258,7 +259,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """
     item = benchmark.schema[item_col].dataType.simpleString()
     longest = f"struct<words: long, position: long, item_id: {item}, item_position: long>"
-    schema = W.schema_with(docs, id_col, "id", f"text string, n_words long, spans array<array<long>>, items array<{item}>, longest {longest}")
+    schema = schema_with(docs, id_col, "id", f"text string, n_words long, spans array<array<long>>, items array<{item}>, longest {longest}")
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<array<bigint>>").alias("spans"), F.array().cast(f"array<{item}>").alias("items"),
                       F.lit(None).cast(longest).alias("longest"))
@@ -280,7 +281,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A document is known by its whole row's text and id, so repeated ids with
     different texts are judged one by one.
     """
-    row = F.struct(*[F.col(c) for c in docs.columns])
+    row = F.struct(*own_columns(docs))
     tagged = docs.select(row.alias("row"), F.col(text_col).alias("text"))
     judged = find_contamination(tagged, benchmark, "row", "text", **options)
     return judged.filter(~F.col("contaminated")).select("row.*")

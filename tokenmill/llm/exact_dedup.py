@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import schema_with
 from tokenmill.session import materialize
 
 
@@ -67,7 +68,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are ignored; an empty table gives an empty result.
     """
     keys = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_digests, W.schema_with(docs, id_col, "id", "digest binary"))
+        .mapInArrow(_digests, schema_with(docs, id_col, "id", "digest binary"))
     keys = materialize(keys, "dedup-digests")
     group = [F.max("id").alias("keep_id"), F.count("*").alias("group_size")]
     hot = F.broadcast(frequent_digests(keys, counters))  # counters + 1 digests at most

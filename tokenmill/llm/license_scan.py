@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import schema_with
 from tokenmill.session import materialize
 
 SHINGLE = 5
@@ -172,7 +173,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, id_col: s
         side = materialize(side.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(n))), "templates") if n > 1 else side.withColumn("part", F.lit(0))
         parts = [[(r.license_id, r.text) for r in side.filter(F.col("part") == i).collect()] for i in range(n)]
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = W.schema_with(docs, id_col, "id", "license_id string, containment double, first_word long, n_words long")
+    schema = schema_with(docs, id_col, "id", "license_id string, containment double, first_word long, n_words long")
     out = []
     for part in parts:
         ready = [t for t in (_template(*p) for p in part) if t is not None]

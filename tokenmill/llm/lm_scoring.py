@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import schema_with
 from tokenmill.llm.elias_fano import BigramTrie
 from tokenmill.session import materialize
 
@@ -343,5 +344,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = source.mapInArrow(_send_blocks, "block long, shard int, data binary, ids binary").unionByName(answers)
     pairs = blocks.groupBy("block").applyInArrow(_send_pairs(word_shards, pair_shards), "block long, shard int, data binary, meta binary, ids binary")
     sums = pairs.groupBy("shard").applyInArrow(_score_pairs(mass, total_mass), "block long, shard int, data binary, meta binary, ids binary")
-    schema = W.schema_with(source, "id", "id", "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = schema_with(source, "id", "id", "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return sums.groupBy("block").applyInArrow(_add_up(n or 0, total_mass), schema).withColumnRenamed("id", id_col)

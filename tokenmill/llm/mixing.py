@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.llm.frames import own_columns
 from tokenmill.session import materialize
 
 SALTS = 256
@@ -97,12 +98,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
     empty table gives an empty result.
     """
     spark = docs.sparkSession
-    new = ("size", "source_size", "target", "copies", "taken")
-    kept = [c for c in docs.columns if c not in new]
-    sizes = docs.select(F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size"), F.xxhash64(id_col, F.lit(seed)).alias("u"))
-    salt = F.pmod(F.shiftright("u", 20), F.lit(SALTS)).cast("int")
+    kept = own_columns(docs, ("size", "source_size", "target", "copies", "taken"))
+    lot, salt = F.xxhash64(id_col, F.lit(seed)), F.pmod(F.shiftright(F.xxhash64(id_col, F.lit(seed)), 20), F.lit(SALTS)).cast("int")
+    sizes = docs.select(F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size"), salt.alias("salt"))
     # one row per source, length and salt: all that the plan needs to know of the documents
-    groups = materialize(sizes.withColumn("salt", salt).groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "mix-lengths")
+    groups = materialize(sizes.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "mix-lengths")
     totals = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()
     totals = sorted(totals, key=lambda r: (r.source is None, r.source or ""))
     targets = fair_targets([r.words for r in totals], [weights[i % len(weights)] for i in range(len(totals))], max_repeats)
@@ -111,10 +111,10 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
         whole = min(max_repeats, int(target // r.words)) if r.words else 0
         budget = 0 if whole == max_repeats or not r.words else max(0, round(target) - whole * r.words)
         rows.append((i, r.source, r.words, target, whole, budget))
-    sources = spark.createDataFrame(rows, "no int, source string, source_size long, target double, whole int, budget long")
+    sources = spark.createDataFrame(rows, "no int, from_source string, source_size long, target double, whole int, budget long")
     if len(rows) <= BROADCAST_SOURCES:  # one short row per source
         sources = F.broadcast(sources)
-    groups = groups.join(sources, groups["source"].eqNullSafe(sources["source"])).drop("source")
+    groups = groups.join(sources, groups["source"].eqNullSafe(F.col("from_source"))).drop("source", "from_source")
     plan = (groups.filter("size > 0").groupBy("no", "budget", "size").agg(F.sum("n").alias("n"))
             .groupBy("no").applyInPandas(_plan, "no int, budget long, size long, n long, take long").select("no", "size", "take"))
     before = Window.partitionBy("no", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,22 +122,24 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
              .withColumn("quota", F.greatest(F.lit(0), F.least("n", F.col("take") - F.coalesce(F.sum("n").over(before), F.lit(0)))))
              .select("no", "size", "salt", "quota"))
     quota = materialize(quota, "mix-quota")
-    out = docs.select(*kept, count_words(F.col(text_col)).alias("size"), F.xxhash64(id_col, F.lit(seed)).alias("u"))
-    out = out.withColumn("salt", salt)
-    out = out.join(sources.withColumnRenamed("source", "__source"), out[source_col].eqNullSafe(F.col("__source")))
-    out = out.join(quota, ["no", "size", "salt"], "left")
-    rank = F.row_number().over(Window.partitionBy("no", "size", "salt").orderBy("u", id_col))
-    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(
-        F.col("whole") + (F.col("__rank") <= F.coalesce("quota", F.lit(0))).cast("int"))
-    return out.withColumn("__rank", rank).select(
-        *kept, "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    own = {c: f"__mix_{c}" for c in ("no", "size", "salt", "quota", "from_source", "source_size", "target", "whole", "budget")}
+    out = docs.select(*kept, F.col(source_col).alias("__mix_source"), count_words(F.col(text_col)).alias(own["size"]), lot.alias("__mix_lot"),
+                      F.col(id_col).alias("__mix_id"), salt.alias(own["salt"]))
+    out = out.join(sources.withColumnsRenamed(own), F.col("__mix_source").eqNullSafe(F.col("__mix_from_source")))
+    group = [own[c] for c in ("no", "size", "salt")]
+    out = out.join(quota.withColumnsRenamed(own), group, "left")
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("__mix_lot", "__mix_id"))
+    copies = F.when(F.col("__mix_size") == 0, F.lit(0)).otherwise(
+        F.col("__mix_whole") + (F.col("__mix_rank") <= F.coalesce("__mix_quota", F.lit(0))).cast("int"))
+    return out.withColumn("__mix_rank", rank).select(
+        *kept, F.col("__mix_size").alias("size"), F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"),
+        copies.alias("copies"), (F.col("__mix_size") * copies).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text", source_col: str = "source", seed: int = 23) -> DataFrame:
     """The mix itself: the documents' own columns, each row as often as it is taken."""
-    kept = [f"`{c}`" for c in docs.columns]
-    row = F.struct(*[F.col(c) for c in kept])
-    names = {k: options.pop(k, k[:-4] if k != "id_col" else "doc_id") for k in ("id_col", "text_col", "source_col")}
-    plain = docs.select(row.alias("__row"), *[F.col(names[k]).alias(k) for k in names])
-    out = mix_sources(plain, id_col="id_col", text_col="text_col", source_col="source_col", **options)
-    return out.filter("copies > 0").select("__row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("__row.*")
+    rows = docs.select(F.struct(*own_columns(docs)).alias("__row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.col(source_col).alias("source"))
+    out = mix_sources(rows, weights, max_repeats, "id", "text", "source", seed).filter("copies > 0")
+    return out.select("__row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("__row.*")

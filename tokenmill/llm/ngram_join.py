@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import own_columns, schema_with
 from tokenmill.llm.components import connected_components
 from tokenmill.session import materialize
 
@@ -183,7 +184,7 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
     cells = docs.mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
     answers = cells.groupBy("shard").applyInArrow(look_up, "block long, counts binary, meta binary")
     return answers.groupBy("block").applyInArrow(
-        decide, W.schema_with(docs, "id", "id", "d1 long, d2 long, n long, possible boolean"))
+        decide, schema_with(docs, "id", "id", "d1 long, d2 long, n long, possible boolean"))
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
@@ -328,7 +329,7 @@ def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Documents without words all stay.
     """
     digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    names = [c for c in docs.columns]
+    names = own_columns(docs)
     found = ngram_components(docs.select(F.struct(F.col(id_col).alias("i"), digest.alias("h")).alias("row"), F.col(text_col).alias("text")),
                              "row", "text", percent, k)
     keep = found.filter(F.col("row") == F.col("component_id")).groupBy("row").agg(F.max("n_shingles").alias("n"))

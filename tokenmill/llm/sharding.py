@@ -22,6 +22,7 @@ import bisect
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.llm.frames import own_columns
 from tokenmill.llm.ranges import with_range
 from tokenmill.session import materialize
 
@@ -131,7 +132,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     key = [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.xxhash64(F.col(id_col))]
     keys = materialize(docs.select(key[0].alias("h"), key[1].alias("g"), text_size(F.col(text_col)).alias("size")), "shard-keys")
     whole = keys.agg(F.sum("size").alias("size"), F.count("*").alias("n")).first()
-    kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    kept = own_columns(docs, ("size", "shard", "slot"))
     if not whole["n"]:
         none = F.lit(None)
         return docs.select(*kept, none.cast("long").alias("size"), none.cast("int").alias("shard"), none.cast("long").alias("slot"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import schema_with
 
 MEMO_WORDS = 1 << 20  # entries held by a task; when full it is begun again, which costs time only
 
@@ -106,7 +107,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
     """
     rest = "n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
     rest += ", prefix_bytes array<long>, prefix_tokens array<long>" if with_prefixes else ""
-    schema = W.schema_with(docs, id_col, "id", rest)
+    schema = schema_with(docs, id_col, "id", rest)
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .mapInArrow(_count(tokenizer, limit, with_prefixes), schema)
     return out.withColumnRenamed("id", id_col)

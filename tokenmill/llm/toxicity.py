@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenmill.llm import words as W
+from tokenmill.llm.frames import own_columns, schema_with
 from tokenmill.session import materialize
 
 MAX_TRAIN = 30_000
@@ -213,12 +214,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                folds: int = 5, max_train: int = MAX_TRAIN, seed: int = 11) -> DataFrame:
     """The documents that :func:`score_toxicity` does not reject, all columns kept."""
-    scored = _scored(docs, labels, id_col, text_col, label_col, folds, max_train, seed, docs.columns)
+    scored = _scored(docs, labels, id_col, text_col, label_col, folds, max_train, seed, own_columns(docs))
     return scored.filter("predicted = 0").select("row.*")
 
 
 def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, max_train: int, seed: int,
-            carried: list[str]) -> DataFrame:
+            carried: list[Column]) -> DataFrame:
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("label is not null and id is not null")
     given = given.filter(crc_fold(F.col("id"), folds) != 0).groupBy("id").agg(F.max(F.col("label").cast("double")).alias("label"))
     given = materialize(given, "toxic-labels")
@@ -232,9 +233,9 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     lexicon = _learn_lexicon(rows.filter("not calibrate"), bad, good)
     base = (bad + 1) / (bad + good + 2)
     if carried:
-        source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in carried]).alias("row"))
+        source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*carried).alias("row"))
     with_row = ["row"] if carried else []
-    schema = W.schema_with(source, "id", "id", "features array<double>")
+    schema = schema_with(source, "id", "id", "features array<double>")
     if carried:
         schema = T.StructType([schema["id"], T.StructField("row", source.schema["row"].dataType), schema["features"]])
     scored = source.mapInArrow(_with_features(lexicon, ["id", *with_row]), schema)

@@ -14,8 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 PIECE = 1 << 18
 U64 = np.uint64
@@ -181,8 +179,3 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 4 << 20, max_rows:
         end = min(max(end, at + 1), at + max_rows, n)
         yield batch.slice(at, end - at)
         at = end
-
-
-def schema_with(df: DataFrame, column: str, name: str, rest: str) -> T.StructType:
-    """A schema of ``name``, typed as ``column`` of ``df`` down to the nullability of its parts, and ``rest`` (DDL)."""
-    return T.StructType([T.StructField(name, df.schema[column].dataType), *T.StructType.fromDDL(rest).fields])
