@@ -188,9 +188,10 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
-    """(cid, d1, d2, n, prefix, tokens) of documents with a shared token in their rarest-first prefix.
+    """(cid, d1, d2, n, alone, prefix, tokens) of documents with a shared token in their rarest-first prefix.
 
-    ``prefix`` holds these shared tokens; ``tokens`` the whole set in hash order.
+    ``prefix`` holds these shared tokens, rarest first, after ``alone`` tokens
+    that no other document has; ``tokens`` the whole set in hash order.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, meta, tokens, bounds in _blocks(batches, k):
@@ -235,18 +236,24 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
         out = [meta[c].take(take) for c in ("d1", "d2", "n")]
         prefix = as_lists(tokens[chosen], cut).take(take).cast(pa.list_(pa.int64()))
         whole = as_lists(tokens, bounds).take(take).cast(pa.list_(pa.int64()))
-        return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "prefix": prefix, "tokens": whole})
+        alone = np.bincount(owner[freq == 1], minlength=len(n))[docs_in]
+        return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole})
 
     packed = materialize(docs.mapInArrow(pack, "block long, meta binary, tokens binary"), "ngram-blocks")
     cells = packed.select("block", "tokens").mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
     answers = cells.groupBy("shard").applyInArrow(look_up, "block long, shard int, meta binary, tokens binary")
     chosen = packed.select("block", F.lit(-1).alias("shard"), "meta", "tokens").unionByName(answers).groupBy("block") \
-        .applyInArrow(choose, "d1 long, d2 long, n long, prefix array<long>, tokens array<long>")
+        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>")
     return materialize(chosen.withColumn("cid", F.monotonically_increasing_id()), "ngram-prefixes")
 
 
-def _similar(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _may_link(na: Column, ia: Column, nb: Column, ib: Column, percent: int) -> Column:
+    """Whether sets of these sizes, whose first common token is at these places, can have the similarity.
+
+    No token before the first common one is common, so the rest bounds the overlap.
+    """
+    common = F.least(na - ia, nb - ib)
+    return common * 100 >= (na + nb - common) * percent
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -265,11 +272,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def link_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the link graph over the rows of :func:`rare_prefixes`."""
-    entries = materialize(sets.select("cid", "n", F.explode("prefix").alias("token")), "ngram-entries")
-    pivot = entries.groupBy("token").agg(F.min(F.struct("cid", "n")).alias("p"), F.count("*").alias("c")).filter("c > 1")
-    pairs = entries.join(pivot.select("token", F.col("p.cid").alias("a"), F.col("p.n").alias("na")), "token")
-    pairs = pairs.filter((F.col("cid") != F.col("a")) & _similar(F.col("na"), F.col("n"), percent))
-    pairs = pairs.select("a", F.col("cid").alias("b")).distinct()
+    entries = sets.select("cid", "n", "alone", F.posexplode("prefix").alias("at", "token"))
+    entries = materialize(entries.withColumn("at", F.col("at") + F.col("alone")), "ngram-entries")
+    # the pivot is the document with the fewest tokens of its own: the likeliest to be near all others
+    pivot = entries.groupBy("token").agg(F.min(F.struct("alone", "cid", "n", "at")).alias("p"), F.count("*").alias("c")).filter("c > 1")
+    pairs = entries.join(pivot.select("token", F.col("p.cid").alias("a"), F.col("p.n").alias("na"), F.col("p.at").alias("ia")), "token")
+    pairs = pairs.filter((F.col("cid") != F.col("a")) & _may_link(F.col("na"), F.col("ia"), F.col("n"), F.col("at"), percent))
+    pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
     checked = materialize(_verify(pairs, sets, percent), "ngram-checked")
     while True:
         roots = connected_components(checked.filter("linked").select("a", "b"))
@@ -278,9 +287,9 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
         parts = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
         mixed = parts.groupBy("token").agg(F.max(F.struct("c", "root")).alias("big"), F.count("*").alias("parts")).filter("parts > 1")
         open_ = placed.join(mixed.select("token", F.col("big.root").alias("big")), "token")
-        x = open_.filter("root <> big").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        x = open_.filter("root <> big").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ix"), F.col("root").alias("rx"))
         pairs = open_.join(x, "token").filter((F.col("root") != F.col("rx")) & ((F.col("root") == F.col("big")) | (F.col("cid") < F.col("x")))
-                                              & _similar(F.col("n"), F.col("nx"), percent))
+                                              & _may_link(F.col("n"), F.col("at"), F.col("nx"), F.col("ix"), percent))
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
         pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         more = materialize(_verify(pairs, sets, percent), "ngram-checked")
