@@ -51,7 +51,7 @@ def fair_targets(sizes: list[int], weights: list[float], max_repeats: int) -> li
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, exact: int = EXACT_BUDGET) -> np.ndarray:
-    """How many documents of each length to take, so that their words come to ``budget`` or just below."""
+    """How many documents of each length to take, so that their words come nearest to ``budget``."""
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
@@ -66,15 +66,19 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, exact: int
         left -= more * int(lengths[i])
     if left <= 0:
         return take
-    mask, reached, steps = (1 << (left + 1)) - 1, 1, []
+    over = int(lengths[counts > take].min())  # the shortest document left: sums may pass the budget by less
+    mask, reached, steps = (1 << (left + over)) - 1, 1, []
     for i in order[::-1]:  # short documents reach every sum soonest
-        spare, pack = min(int(counts[i] - take[i]), left // int(lengths[i])), 1
+        spare, pack = min(int(counts[i] - take[i]), (left + over - 1) // int(lengths[i])), 1
         while spare > 0 and not reached >> left & 1:
             n = min(pack, spare)
             steps.append((i, n, reached))
             reached |= reached << (n * int(lengths[i])) & mask
             spare, pack = spare - n, pack * 2
-    goal = reached.bit_length() - 1  # the largest sum that can be reached
+    below, above = (reached & (1 << (left + 1)) - 1).bit_length() - 1, reached >> left + 1
+    goal = below  # the sum that comes nearest, of two the smaller
+    if above and (above & -above).bit_length() < left - below:
+        goal = left + (above & -above).bit_length()
     for i, n, before in reversed(steps):
         if not before >> goal & 1:
             take[i] += n
