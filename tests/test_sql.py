@@ -20,7 +20,7 @@ def test_sql_functions_match_dataframe_api(spark):
         "SELECT doc_id, tm_strip(text) s, tm_normalize(text) n, tm_fingerprint(text) f, tm_pretokens(text) p, "
         "tm_bpe_encode(text) e, tm_bpe_decode(tm_bpe_encode(text)) d FROM tm_docs"
     )
-    want = X.encode_documents(docs, model, add_eot_between_docs=False).select(
+    want = X.encode_documents(docs, model).select(
         "doc_id", strip_ws("text").alias("s"), normalize_ws("text").alias("n"), fingerprint("text").alias("f"),
         pretokens(F.col("text")).alias("p"), F.col("ids").alias("e"), F.col("text").alias("d"),
     )

@@ -27,6 +27,9 @@ TOP_P_EPS = 1e-12
 #   WS_PRETOK: what the `regex` module's `\s` matches in the pretokenizer
 WS_STRIP = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]"
 WS_PRETOK = r"[\t-\r \x{85}\p{Z}]"
+# The characters of WS_STRIP one by one, for trimming without a regex.
+WS_CHARS = "".join(chr(c) for c in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 _WS_BODY = r"\t-\r \x{85}\p{Z}"
 
 # The GPT-2 pattern rewritten for java.util.regex: `\s` → WS_PRETOK, `\S` → its

@@ -39,6 +39,12 @@ def utf8_byte_ids(c: Column | str) -> Column:
     return code_units_to_ids(latin1_word(c))
 
 
+def char_id(ch: str) -> int:
+    """The id that a character of a word string stands for."""
+    cp = ord(ch)
+    return cp - SURROGATE_SHIFT if cp >= SURROGATE_START + SURROGATE_SHIFT else cp
+
+
 def id_char(token_id: int) -> str:
     """The character standing for ``token_id`` in a word string."""
     if token_id < 0:

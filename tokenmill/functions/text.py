@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenmill.constants import GPT2_PATTERN_JAVA, GPT2_PATTERN_PY, WS_STRIP
+from tokenmill.constants import GPT2_PATTERN_JAVA, GPT2_PATTERN_PY, WS_CHARS, WS_STRIP
 
 
 def _col(c: Column | str) -> Column:
@@ -16,14 +16,21 @@ def _col(c: Column | str) -> Column:
 def strip_ws(c: Column | str) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace.
 
-    Spark's ``trim`` only removes U+0020, so it is never used for this.
+    The characters are named: Spark's plain ``trim`` only removes U+0020, and a
+    regex anchored at the end would be tried anew at every inner space, which
+    takes quadratic time on a long run of them.
     """
-    return F.regexp_replace(_col(c), rf"\A{WS_STRIP}+|{WS_STRIP}+\z", "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
+
+
+def rstrip_ws(c: Column | str) -> Column:
+    """Python ``str.rstrip()``."""
+    return F.rtrim(_col(c), F.lit(WS_CHARS))
 
 
 def normalize_ws(c: Column | str) -> Column:
-    """Strip, then collapse every whitespace run to one space."""
-    return F.regexp_replace(strip_ws(c), rf"{WS_STRIP}+", " ")
+    """Collapse every whitespace run to one space, then trim the space at either end."""
+    return F.trim(F.regexp_replace(_col(c), rf"{WS_STRIP}+", " "))
 
 
 def fingerprint(c: Column | str) -> Column:

@@ -32,16 +32,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB, SURROGATE_SHIFT, SURROGATE_START
-from tokenmill.functions.ids import id_char, latin1_word, let
+from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB
+from tokenmill.functions.ids import char_id, id_char, latin1_word, let
 from tokenmill.session import default_parallelism, materialize, num_partitions
 
 
-def _char_id(ch: str) -> int:
-    cp = ord(ch)
-    return cp - SURROGATE_SHIFT if cp >= SURROGATE_START + SURROGATE_SHIFT else cp
-
-
 @dataclass
 class BpeModel:
     """Trained (or loaded) tokenizer: the merge list in rank order."""
@@ -255,7 +250,7 @@ def bpe_train(
         )
         if not top:
             break
-        ranked = [(_char_id(r["pair"][0]), _char_id(r["pair"][1]), int(r["cnt"])) for r in top]
+        ranked = [(char_id(r["pair"][0]), char_id(r["pair"][1]), int(r["cnt"])) for r in top]
         batch = choose_batch(ranked, len(top) < fetch_k, num_merges - len(merges))
         w = F.col("w")
         for a, b, _ in batch:

@@ -15,6 +15,7 @@ on the driver — no non-equi join.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -86,8 +87,14 @@ def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
 
 
 def delimiter_offsets(layout: DataFrame, order_cols: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``pos``: byte offset of every delimiter start in the virtual file."""
+    """``pos``: byte offset of every delimiter start in the virtual file.
+
+    The texts of a raw file were cut at its delimiter, so none is inside them;
+    a text of the writer's layout may hold the document marker.
+    """
     after_text = layout.filter(F.col("sep") > 0).select((F.col("start") + F.col("nbytes") + F.col("delim_at")).alias("pos"))
+    if "sep_text" in layout.columns:
+        return after_text
     quoted = "\\Q" + EOT + "\\E"
     inner = layout.filter(F.col("text").contains(EOT)).select(
         *order_cols, "start", F.posexplode(F.split("text", quoted, -1)).alias("j", "part")
@@ -113,18 +120,21 @@ def chunk_boundaries(layout: DataFrame, num_chunks: int, order_cols: Sequence[st
         int(r["b"]): int(r["m"])
         for r in delims.groupBy(F.floor(F.col("pos") / step).cast("bigint").alias("b")).agg(F.min("pos").alias("m")).collect()
     }
-    bounds = [i * step for i in range(num_chunks + 1)]
-    bounds[-1] = size
-    for i in range(1, num_chunks):
-        guess = bounds[i]
-        cands = [m for b, m in per_bucket.items() if b >= i and m >= guess]
-        bounds[i] = min(cands) if cands else size
-    return sorted(set(bounds))
+    firsts = sorted(per_bucket.values())  # the first delimiter of each bucket, and guesses are where buckets begin
+    inner = [firsts[at] if (at := bisect.bisect_left(firsts, i * step)) < len(firsts) else size for i in range(1, num_chunks)]
+    return sorted({0, *inner, size})
 
 
 def _chunk_of(pos: Column, bounds: list[int]) -> Column:
-    inner = F.array(*[F.lit(b).cast("bigint") for b in bounds[1:-1]]) if len(bounds) > 2 else F.array().cast("array<bigint>")
-    return F.size(F.filter(inner, lambda b: b <= pos)).cast("bigint")
+    """Number of inner boundaries at or below ``pos``: a binary search in the constant list."""
+    inner = bounds[1:-1]
+    if not inner:
+        return F.lit(0).cast("bigint")
+    values = F.lit(inner).cast("array<bigint>")
+    steps = F.lit([1 << k for k in reversed(range(len(inner).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(inner)) & (F.get(values, at + step - 1) <= pos), at + step).otherwise(at))
+    return found.cast("bigint")
 
 
 def _text_pieces(layout: DataFrame, bounds: list[int]) -> DataFrame:
@@ -148,7 +158,7 @@ def corpus_chunks(layout: DataFrame, bounds: list[int]) -> DataFrame:
     """
     spark = layout.sparkSession
     pieces = _text_pieces(layout, bounds)
-    sub = F.substring(F.encode("text", "UTF-8"), (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
+    sub = F.substring(F.col("text").cast("binary"), (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
     extra = pieces.groupBy("chunk_id").agg(
         F.sum((F.col("hi") - F.col("lo")) - F.length(utf8_decode(sub, "ignore"))).cast("bigint").alias("_extra")
     )
@@ -166,14 +176,23 @@ def corpus_chunks(layout: DataFrame, bounds: list[int]) -> DataFrame:
 def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200) -> DataFrame:
     """``chunk_id, preview``: first ``preview_chars`` characters, newlines shown as ``\\n``.
 
-    Only the pieces inside each chunk's first ``4 * preview_chars`` bytes are
-    read (a UTF-8 character has at most 4 bytes), so the work per chunk is
-    bounded no matter how large the chunk is.
+    The pieces inside each chunk's first ``4 * preview_chars`` bytes are read
+    first (a UTF-8 character has at most 4 bytes).  Bytes that are not UTF-8
+    yield no character; while some chunk then has too few, eight times as many
+    bytes are read, up to whole chunks.
     """
-    head = HEAD_BYTES_PER_CHAR * preview_chars
+    head, longest = HEAD_BYTES_PER_CHAR * preview_chars, max(b - a for a, b in zip(bounds, bounds[1:]))
+    while True:
+        shown = _preview(layout, bounds, preview_chars, head)
+        if head >= longest or shown.filter((F.col("n") < preview_chars) & (F.col("read") >= head)).isEmpty():
+            return shown.select("chunk_id", "preview")
+        head *= 8
+
+
+def _preview(layout: DataFrame, bounds: list[int], preview_chars: int, head: int) -> DataFrame:
     b = F.array(*[F.lit(x).cast("bigint") for x in bounds])
     sep_text = F.col("sep_text") if "sep_text" in layout.columns else F.lit(DOC_SUFFIX)
-    sep = F.encode(F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")), "UTF-8")
+    sep = F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")).cast("binary")
     u_lo = F.col("start")
     u_hi = F.col("start") + F.col("nbytes") + F.col("sep")
 
@@ -185,7 +204,7 @@ def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200
     span = F.sequence(_chunk_of(u_lo, bounds), _chunk_of(u_hi - 1, bounds))
     heads = F.filter(span, lambda c: u_lo < w_hi(c))
     units = layout.filter(u_hi > u_lo).select(
-        u_lo.alias("u_lo"), F.concat(F.encode("text", "UTF-8"), sep).alias("bytes"), F.explode(heads).alias("chunk_id")
+        u_lo.alias("u_lo"), F.concat(F.col("text").cast("binary"), sep).alias("bytes"), F.explode(heads).alias("chunk_id")
     )
     lo = F.greatest(F.col("u_lo"), F.element_at(b, (F.col("chunk_id") + 1).cast("int")))
     hi = F.least(F.col("u_lo") + F.octet_length("bytes"), w_hi(F.col("chunk_id")))
@@ -197,9 +216,8 @@ def chunk_preview(layout: DataFrame, bounds: list[int], preview_chars: int = 200
     grouped = parts.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("lo", "b"))).alias("_p"))
     raw = F.aggregate("_p", F.encode(F.lit(""), "UTF-8"), lambda a, x: F.concat(a, x["b"]))
     text = utf8_decode(raw, "ignore")
-    return grouped.select(
-        "chunk_id", F.replace(F.substring(text, 1, preview_chars), F.lit("\n"), F.lit("\\n")).alias("preview")
-    )
+    shown = grouped.select("chunk_id", F.octet_length(raw).alias("read"), F.substring(text, 1, preview_chars).alias("t"))
+    return shown.select("chunk_id", "read", F.length("t").alias("n"), F.replace("t", F.lit("\n"), F.lit("\\n")).alias("preview"))
 
 
 def chunk_pieces(layout: DataFrame, bounds: list[int]) -> DataFrame:
@@ -210,13 +228,13 @@ def chunk_pieces(layout: DataFrame, bounds: list[int]) -> DataFrame:
     bytes of a chunk gives exactly ``file[start:end]``.
     """
     sep_text = F.col("sep_text") if "sep_text" in layout.columns else F.lit(DOC_SUFFIX)
-    sep = F.encode(F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")), "UTF-8")
+    sep = F.when(F.col("sep") > 0, sep_text).otherwise(F.lit("")).cast("binary")
     u_lo = F.col("start")
     u_hi = F.col("start") + F.col("nbytes") + F.col("sep")
     b = F.array(*[F.lit(x).cast("bigint") for x in bounds])
     units = layout.filter(u_hi > u_lo).select(
         u_lo.alias("u_lo"),
-        F.concat(F.encode("text", "UTF-8"), sep).alias("bytes"),
+        F.concat(F.col("text").cast("binary"), sep).alias("bytes"),
         F.explode(F.sequence(_chunk_of(u_lo, bounds), _chunk_of(u_hi - 1, bounds))).alias("chunk_id"),
     )
     lo = F.greatest(F.col("u_lo"), F.element_at(b, (F.col("chunk_id") + 1).cast("int")))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.constants import EOT, WS_STRIP
-from tokenmill.functions.text import normalize_ws, fingerprint, strip_ws
+from tokenmill.constants import EOT
+from tokenmill.functions.text import fingerprint, normalize_ws, rstrip_ws, strip_ws
 
 
 def clean_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -63,11 +61,6 @@ def strip_trailing_eot(df: DataFrame, ids_col: str, text_col: str, eot_id: int,
     ends_eot = F.element_at(F.col(ids_col), -1) == F.lit(eot_id)
     tail = F.lit(EOT)
     trimmed = F.expr(f"substring({text_col}, 1, length({text_col}) - {len(EOT)})")
-    rstripped = F.regexp_replace(trimmed, rf"{WS_STRIP}+\z", "")
+    rstripped = rstrip_ws(trimmed)
     cond = F.coalesce(ends_eot, F.lit(False)) & F.col(text_col).endswith(tail)
     return df.withColumn(out_col, F.when(cond, rstripped).otherwise(F.col(text_col)))
-
-
-def with_order_key(df: DataFrame, cols: Sequence[str], out_col: str = "order_key") -> DataFrame:
-    """Pack an ordering into one struct column (compared field by field)."""
-    return df.withColumn(out_col, F.struct(*[F.col(c) for c in cols]))

@@ -6,9 +6,6 @@ array — so nothing shuffles and a row's cost is O(V log V) at most.  The
 nucleus cut needs an exclusive prefix sum over sorted probabilities; since the
 kept items form a prefix of that order, one ``aggregate`` counts how many to
 keep instead of materialising the running sums.
-
-Long-form inputs ``(g, item, score)`` are turned into arrays by
-``to_array_form`` (one group = one position, bounded by the vocabulary).
 """
 
 from __future__ import annotations
@@ -20,15 +17,6 @@ from tokenmill.constants import MIN_TEMPERATURE, TOP_P_EPS
 from tokenmill.functions.ids import let
 
 
-def to_array_form(df: DataFrame, group_col: str = "g", item_col: str = "item", score_col: str = "score") -> DataFrame:
-    """``g, logits`` with ``logits[item]`` = score; items must be 0..V-1 per group."""
-    agg = df.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct(item_col, score_col))).alias("_s"))
-    return agg.select(group_col, F.transform("_s", lambda s: s[score_col].cast("double")).alias("logits"))
-
-
-NEG_INF = float("-inf")
-
-
 def softmax_col(logits: Column, temperature: float = 1.0) -> Column:
     """Temperature softmax of an array, ``T = max(T, 1e-6)``.
 

@@ -175,7 +175,7 @@ def q_merge_word(spark, sf):
     w = latin1_word(F.col("pretoken"))
     if top:
         pair = top[0]["pair"]
-        w = B.merge_word(w, B._char_id(pair[0]), B._char_id(pair[1]), 256)
+        w = B.merge_word(w, B.char_id(pair[0]), B.char_id(pair[1]), 256)
     return wf.select("pretoken", ids_to_string(code_units_to_ids(w)).alias("ids"))
 
 
