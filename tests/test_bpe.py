@@ -112,3 +112,30 @@ def test_resume_from_state_dir(spark, tmp_path):
     assert first.merges == once.merges[:12]
     assert resumed.merges == once.merges
     assert resumed.rounds > first.rounds
+
+
+def test_state_belongs_to_its_words(spark, tmp_dir):
+    one, two = _wf(spark, [("abab", 3), ("ba", 1)]), _wf(spark, [("xyxy", 3)])
+    first = B.bpe_train(one, 258, state_dir=f"{tmp_dir}/state")
+    assert B.bpe_train(one, 259, state_dir=f"{tmp_dir}/state").merges[:1] == first.merges
+    with pytest.raises(ValueError, match="other words"):
+        B.bpe_train(two, 258, state_dir=f"{tmp_dir}/state")
+
+
+def test_scratch_tables_are_removed(spark):
+    import glob
+
+    from tokenmill.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/bpe-words-*"))
+    B.bpe_train(_wf(spark, [("abcabd", 3), ("bcd", 2), ("abab", 1)]), 262)
+    assert set(glob.glob(f"{folder}/bpe-words-*")) == before
+
+
+def test_many_merges_in_one_round(spark):
+    """More independent pairs than one plan replaces; equal to one merge at a time."""
+    words = [(chr(0x21 + i) + chr(0x21 + i + 1), 1000 - i) for i in range(0, 90, 2)]
+    words += [(chr(0xC0 + i) + "~", 500 - i) for i in range(30)]
+    model = B.bpe_train(_wf(spark, words), 256 + 100 + 1)
+    assert model.merges == train([(tuple(w.encode()), f) for w, f in words], 100)

@@ -4,6 +4,7 @@ import glob
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tokenmill.operators import bpe as B
 from tokenmill.sources import corpus as IO
@@ -14,7 +15,7 @@ from tokenmill.sources import tokenizer_io as TIO
 def test_write_corpus_format_and_dry_run(spark, tmp_dir):
     df = spark.createDataFrame([(0, "a"), (1, "é b")], "doc_id long, text string")
     rep = IO.write_corpus(df, f"{tmp_dir}/c", order_cols=["doc_id"]).collect()[0]
-    data = b"".join(open(p, "rb").read() for p in sorted(glob.glob(f"{tmp_dir}/c/part-*")))
+    data = b"".join(open(p, "rb").read() for p in sorted(glob.glob(f"{tmp_dir}/c/run-*/part-*")))
     assert data == "a\n\n<|endoftext|>\n\né b\n\n<|endoftext|>\n\n".encode()
     assert rep.docs == 2 and rep.bytes == len(data)
     IO.write_corpus(df, f"{tmp_dir}/dry", dry_run=True).collect()
@@ -63,7 +64,70 @@ def test_tokens_cached_rebuilds_on_mismatch(spark, tmp_dir):
     meta = dict(source_path="x", source_size_bytes=1, vocab_size=257, eot_token_id=256, block_size=4)
     _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, **meta)
     assert not reused
-    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, expect={"vocab_size": 257}, **meta)
+    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, **meta)
     assert reused
-    _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, expect={"vocab_size": 999}, **meta)
-    assert not reused and len(calls) == 2
+    for key, value in (("vocab_size", 999), ("source_size_bytes", 2), ("block_size", 1), ("halo", 1), ("merges_sha256", "other"), ("source_path", "y")):
+        before = len(calls)
+        meta = {**meta, key: value}
+        _, reused = TC.tokens_cached(spark, f"{tmp_dir}/c", build, **meta)
+        assert not reused and len(calls) == before + 1
+    TC._write_meta(spark, f"{tmp_dir}/c", [])  # as a writer leaves it that died among the blocks
+    with pytest.raises(ValueError):
+        TC.read_token_cache(spark, f"{tmp_dir}/c")
+    assert not TC.tokens_cached(spark, f"{tmp_dir}/c", build, **meta)[1]
+
+
+def test_corpus_cache_follows_source_and_tokenizer(spark, tmp_dir):
+    from tokenmill.plans.tokenizer_jobs import corpus_token_cache
+
+    def write(texts):
+        IO.write_corpus(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), f"{tmp_dir}/src", order_cols=["doc_id"])
+
+    def ids(model, **options):
+        blocks = corpus_token_cache(spark, f"{tmp_dir}/src", model, f"{tmp_dir}/cache", **options)
+        return [list(r.ids) for r in blocks.orderBy("block_id").collect()]
+
+    one = B.BpeModel(merges=[(97, 98)], vocab_size=258, eot_id=257)
+    two = B.BpeModel(merges=[(98, 97)], vocab_size=258, eot_id=257)
+    write(["abab", "b"])
+    assert ids(one) == [[256, 256, 257, 98, 257]]
+    assert ids(two) == [[97, 256, 98, 257, 98, 257]]
+    assert ids(two, block_size=2) == [[97, 256], [98, 257], [98, 257]]
+    write(["ba", "bb"])
+    assert ids(two, block_size=2) == [[256, 257], [98, 98], [257]]
+
+
+def test_append_keeps_the_order_of_writing(spark, tmp_dir):
+    path = f"{tmp_dir}/c"
+    texts = [f"text {i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for k, mode in enumerate(["overwrite", "append", "append"]):
+            report = IO.write_corpus(df.withColumn("text", F.concat(F.lit(f"{k} "), "text")), path, order_cols=["doc_id"], mode=mode).first()
+            assert report.docs == 40
+        rows = IO.with_sequence(IO.read_corpus(spark, path)).orderBy("doc_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert [r.text for r in rows] == [f"{k} {t}" for k in range(3) for t in texts]
+    assert len(glob.glob(f"{path}/run-000002/part-*")) > 1
+    IO.write_corpus(df, path, order_cols=["doc_id"])
+    assert IO.read_corpus(spark, path).count() == 40
+
+
+def test_file_keys_sort_by_number(spark):
+    names = ["/c/run-000002/part-00001-a", "/c/run-000010/part-00000-a", "/c/run-000002/part-100000-a", "/c/run-000002/part-99999-a", "/c/run-1000000/part-00000-z"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r.n for r in df.orderBy(IO.file_key(F.col("n"))).collect()]
+    assert got == [names[i] for i in (0, 3, 2, 1, 4)]
+
+
+def test_clean_corpus_job(spark, tmp_dir):
+    texts = ["b", "a", " b", "c", "a  ", "b"]
+    IO.write_corpus(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), f"{tmp_dir}/in", order_cols=["doc_id"])
+    dry = IO.clean_corpus(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", dry_run=True).first()
+    assert (dry.docs_read, dry.docs_written, dry.duplicates) == (6, 3, 3) and not glob.glob(f"{tmp_dir}/out/*")
+    report = IO.clean_corpus(spark, f"{tmp_dir}/in").first()
+    assert report.asDict() == dry.asDict()
+    rows = IO.with_sequence(IO.read_corpus(spark, f"{tmp_dir}/in")).orderBy("doc_seq").collect()
+    assert [r.text for r in rows] == ["b", "a", "c"]

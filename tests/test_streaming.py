@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tokenmill.operators import bpe as B
 from tokenmill.sources import corpus as IO
 from tokenmill.streaming import ops as ST
 
@@ -44,3 +45,17 @@ def test_bounded_state_dedupe(spark, tmp_dir):
     ST.run_available_now(stream, sink, ck)
     out = spark.read.parquet(sink)
     assert out.count() == 2 and sorted(r.fp for r in out.collect()) == sorted({r.fp for r in out.collect()})
+
+
+def test_stream_encode_strips_keeps_empties_and_tails(spark):
+    model = B.BpeModel(merges=[(97, 98)], vocab_size=258, eot_id=257)
+    rows = [(0, " ab ", False), (1, "", False), (2, None, None), (3, " b", True), (4, " ", True)]
+    df = spark.createDataFrame(rows, "i int, text string, tail boolean")
+    got = {r.i: list(r.ids) for r in ST.stream_encode(df, model, tail_col="tail").collect()}
+    assert got == {0: [256, 257], 1: [257], 2: [257], 3: [98]}
+
+
+def test_local_duplicates_per_batch(spark):
+    df = spark.createDataFrame([(i, f"k{i % 7}") for i in range(500)], "i long, k string").coalesce(1)
+    kept = ST.drop_local_duplicates(df, "k").collect()
+    assert {r.i for r in kept} >= set(range(7)) and len(kept) <= 7 * 1 + 7

@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 
 from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB
 from tokenmill.functions.ids import char_id, id_char, latin1_word, let
-from tokenmill.session import default_parallelism, materialize, num_partitions
+from tokenmill.session import default_parallelism, delete_scratch, materialize, path_exists, scratch_path
+
+MERGES_PER_PLAN = 64
 
 
 @dataclass
@@ -92,14 +94,14 @@ def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     from tokenmill.operators.ordered import global_rank
 
     # One pass over the (possibly expensive) upstream plan; everything below
-    # reads this written copy of the distinct words.  Small word tables are
-    # spread first so every round uses all cores.
-    table = word_table(word_freq)
-    parallelism = default_parallelism(word_freq.sparkSession)
-    have = num_partitions(table)
-    if have is not None and have < parallelism:
-        table = table.repartition(parallelism, "w")
-    table = materialize(table, "bpe-words0")
+    # reads this written copy of the distinct words.  A table written in fewer
+    # files than there are cores is small, and spread so every round uses all.
+    spark = word_freq.sparkSession
+    table, path = _written(word_table(word_freq), "bpe-words0")
+    parallelism = default_parallelism(spark)
+    if len(table.inputFiles()) < parallelism:
+        table, _ = _written(table.repartition(parallelism, "w"), "bpe-words0")
+        delete_scratch(spark, path)
     st = table.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.length("w")).alias("m"),
@@ -126,6 +128,20 @@ def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     return materialize(packed, "bpe-words0"), ib
 
 
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df``, written to a scratch table, and that table's path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _digest(word_freq: DataFrame) -> str:
+    """What a training state belongs to: the words, their counts and places."""
+    row = F.xxhash64(*[F.col(c) for c in ("pretoken", "freq", "first_doc", "first_pos")])
+    r = word_freq.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()
+    return ":".join(map(str, r))
+
+
 def word_pair_stats(words: DataFrame, packed: bool = False) -> DataFrame:
     """Presence-weighted pair counts of word strings: ``pair, cnt, first``.
 
@@ -175,16 +191,19 @@ def choose_batch(ranked: list[tuple[int, int, int]], fetched_all: bool, room: in
 
 def validate_sizes(vocab_size: int, eot_id: int) -> None:
     if eot_id != vocab_size - 1:
-        raise ValueError("eot_token_id must be vocab_size - 1")
+        raise ValueError(f"the marker's id is the last of the vocabulary, {vocab_size - 1}, not {eot_id}")
     if vocab_size < MIN_TRAIN_VOCAB:
-        raise ValueError("vocab_size must be at least 258 (256 bytes + >=1 merge + EOT)")
+        raise ValueError(f"a vocabulary of {vocab_size} has no room for a merge; the smallest is {MIN_TRAIN_VOCAB}")
 
 
-def _latest_state(spark: SparkSession, state_dir: str) -> tuple[int, DataFrame, list[tuple[int, int]], int | None] | None:
+def _latest_state(spark: SparkSession, state_dir: str, digest: str) -> tuple[int, DataFrame, list[tuple[int, int]], int | None] | None:
     """Last completed round under ``state_dir``: (round, words, merges, key bits)."""
-    from tokenmill.sources.token_cache import _exists
-
-    if not _exists(spark, f"{state_dir}/merges"):
+    if not path_exists(spark, f"{state_dir}/input"):
+        spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.parquet(f"{state_dir}/input")
+    begun = spark.read.parquet(f"{state_dir}/input").first()[0]
+    if begun != digest:
+        raise ValueError(f"the training state in {state_dir} belongs to other words")
+    if not path_exists(spark, f"{state_dir}/merges"):
         return None
     done = spark.read.parquet(f"{state_dir}/merges")
     last = done.agg(F.max("round")).collect()[0][0]
@@ -228,19 +247,24 @@ def bpe_train(
     With ``state_dir`` (a shared folder) every round's word table and merge
     list are kept there, and a new call with the same ``state_dir`` resumes
     from the last completed round — after a driver failure, or to continue to
-    a larger vocabulary.
+    a larger vocabulary.  The state records which words it was made from, and a
+    call with other words raises.  Scratch tables that no later round reads are
+    removed.
     """
     spark = word_freq.sparkSession
     eot_id = vocab_size - 1 if eot_id is None else eot_id
     validate_sizes(vocab_size, eot_id)
     num_merges = eot_id - BYTE_VOCAB
-    state = _latest_state(spark, state_dir) if state_dir else None
+    if state_dir:
+        word_freq, _ = _written(word_freq, "bpe-input")  # read for the digest and for the words
+    state = _latest_state(spark, state_dir, _digest(word_freq)) if state_dir else None
     if state is not None:
         rounds, words, merges, bits = state
         merges = merges[:num_merges]
     else:
         words, bits = ranked_word_table(word_freq)  # written once, spread over all cores
         merges, rounds = [], 0
+    old: list[str] = []
     while len(merges) < num_merges:
         top = (
             word_pair_stats(words, packed=bits is not None)
@@ -253,17 +277,26 @@ def bpe_train(
         ranked = [(char_id(r["pair"][0]), char_id(r["pair"][1]), int(r["cnt"])) for r in top]
         batch = choose_batch(ranked, len(top) < fetch_k, num_merges - len(merges))
         w = F.col("w")
-        for a, b, _ in batch:
+        for k, (a, b, _) in enumerate(batch):
             new_id = BYTE_VOCAB + len(merges)
             merges.append((a, b))
             w = merge_word(w, a, b, new_id)
+            if (k + 1) % MERGES_PER_PLAN == 0 and k + 1 < len(batch):  # long chains of replacements plan slowly
+                words, path = _written(words.withColumn("w", w), "bpe-words")
+                old.append(path)
+                w = F.col("w")
         words = words.withColumn("w", w).filter(F.length("w") >= 2)
         rounds += 1
         if state_dir:
             words = _save_state(spark, state_dir, rounds, words, merges, bits)
         elif rounds % checkpoint_every == 0:
             # Cut lineage: later rounds re-read this table, not the replace chain.
-            words = materialize(words, "bpe-words")
+            words, path = _written(words, "bpe-words")
+            old.append(path)
+        while len(old) > 1:  # tables before the last one are read no more
+            delete_scratch(spark, old.pop(0))
+    for path in old:
+        delete_scratch(spark, path)
     return BpeModel(merges=merges, vocab_size=vocab_size, eot_id=eot_id, rounds=rounds)
 
 

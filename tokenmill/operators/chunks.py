@@ -54,15 +54,15 @@ def _place(sized: DataFrame, order_cols: Sequence[str]) -> DataFrame:
 
 
 def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
-    """Layout of an arbitrary delimiter-separated file: segments as they are.
+    """Layout of delimiter-separated files, one behind the other: segments as they are.
 
-    Each segment is followed by the delimiter except the last one, unless the
-    file itself ends with the delimiter (checked against the file length).
+    Each segment is followed by the delimiter, but for the last one of a file
+    that does not itself end with the delimiter (as its length tells).
     """
-    from tokenmill.sources.corpus import ORDER_COLS, with_sequence
+    from tokenmill.sources.corpus import ORDER_COLS, file_key, with_sequence
 
-    raw = spark.read.option("lineSep", delimiter).text(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
+    raw = spark.read.option("lineSep", delimiter).option("recursiveFileLookup", "true").text(path).select(
+        file_key(F.col("_metadata.file_path")).alias("file_key"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
@@ -70,17 +70,14 @@ def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
     )
     seq = with_sequence(raw, ORDER_COLS, "doc_seq")
     dlen = len(delimiter.encode("utf-8"))
-    stats = seq.agg(
-        F.max("doc_seq").alias("last"), F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")
-    ).collect()[0]
-    total = int(seq.select("file_path", "file_size").distinct().agg(F.sum("file_size")).collect()[0][0] or 0)
-    trailing = total == int(stats["b"] or 0) + int(stats["n"]) * dlen
-    sep = F.when((F.col("doc_seq") < stats["last"]) | F.lit(trailing), F.lit(dlen)).otherwise(F.lit(0))
-    sized = seq.select(
+    files = seq.groupBy("file_key").agg(
+        F.max("doc_seq").alias("last"), (F.sum(F.octet_length("text") + dlen) > F.max("file_size")).alias("open"))
+    open_ends = files.filter("open").select(F.col("last").alias("doc_seq"), F.lit(True).alias("open"))
+    sized = seq.join(open_ends, "doc_seq", "left").select(
         "doc_seq",
         "text",
         F.octet_length("text").cast("bigint").alias("nbytes"),
-        sep.cast("bigint").alias("sep"),
+        F.when(F.col("open"), F.lit(0)).otherwise(F.lit(dlen)).cast("bigint").alias("sep"),
         F.lit(0).cast("bigint").alias("delim_at"),
     )
     return _place(sized, ["doc_seq"]).withColumn("sep_text", F.lit(delimiter))

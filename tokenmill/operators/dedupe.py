@@ -1,9 +1,10 @@
 """Exact deduplication and ingest reports.
 
-Survivor choice always uses an explicit order key, never arrival order:
-``min_by(row, order_key)`` per fingerprint.  ``min_by`` is a declarative
-aggregate, so Spark combines map-side before the shuffle and a fingerprint
-shared by a third of all rows costs one row per partition, not a hot task.
+Survivor choice always uses an explicit order key, never arrival order: the
+smallest key per fingerprint, and the row that has it.  Spark combines the keys
+map-side, so a fingerprint shared by a third of all rows costs one row per
+partition in the aggregate; the rows then meet their keys on (fingerprint, key),
+which spreads such a group.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.constants import DOC_SUFFIX
-from tokenmill.functions.text import fingerprint
+from tokenmill.functions.text import fingerprint, strip_ws
 from tokenmill.operators.clean import clean_documents
 
 
@@ -29,12 +30,14 @@ def dedupe_exact(
     The kept text is the row's own (stripped) text, not the normal form.
     """
     with_fp = df.withColumn(fp_col, fingerprint(F.col(text_col)))
-    payload = [c for c in with_fp.columns if c != fp_col]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    survivors = with_fp.groupBy(fp_col).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_row")
-    )
-    return survivors.select(*[F.col(f"_row.{c}").alias(c) for c in payload], F.col(fp_col))
+    order = [F.col(c) for c in order_cols]
+    # keys only: the texts do not pass through the aggregate's buffers
+    first = with_fp.groupBy(fp_col).agg(F.min(F.struct(*order)).alias("_first"))
+    keep = first.select(F.col(fp_col).alias("_fp"), *[F.col(f"_first.{c}").alias(f"_key_{i}") for i, c in enumerate(order_cols)])
+    same = F.col(fp_col) == F.col("_fp")
+    for i, c in enumerate(order):
+        same = same & c.eqNullSafe(F.col(f"_key_{i}"))
+    return with_fp.join(keep, same, "left_semi")
 
 
 def dedupe_merged(
@@ -109,37 +112,24 @@ def ingest_report(
     deduping; the first row by ``order_cols`` survives) and output_bytes: the
     UTF-8 bytes written, each kept document followed by the corpus separator.
     """
-    from tokenmill.functions.text import strip_ws
-
     suffix_bytes = len(DOC_SUFFIX.encode("utf-8"))
     rows = df.select(
         *[F.col(c) for c in order_cols],
         strip_ws(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"),
     )
-    non_empty = rows.filter(F.length("_t") > 0)
-    if dedupe:
-        order = F.struct(*[F.col(c) for c in order_cols])
-        kept_rows = non_empty.groupBy(fingerprint(F.col("_t")).alias("_fp")).agg(
-            F.min_by(F.octet_length("_t"), order).alias("_b")
-        )
-    else:
-        kept_rows = non_empty.select(F.octet_length("_t").alias("_b"))
-    kept = kept_rows.agg(
-        F.count(F.lit(1)).alias("kept"),
-        F.sum(F.col("_b") + suffix_bytes).alias("output_bytes"),
-    )
-    counts = rows.agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(F.length("_t") > 0).alias("non_empty"),
-        F.count_if(F.length("_t") == 0).alias("blank"),
-    )
-    # Two single-row aggregates become one row by union + max (no join).
-    cols = ["rows_read", "non_empty", "blank", "kept", "output_bytes"]
-
-    def widen(df):
-        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("bigint").alias(c) for c in cols])
-
-    out = widen(counts).unionByName(widen(kept)).agg(*[F.max(c).alias(c) for c in cols])
+    # one pass: a row per fingerprint (null for blank rows), then one total
+    blank = F.length("_t") == 0
+    size = F.octet_length("_t") + suffix_bytes
+    keyed = rows.select(*order_cols, F.when(~blank, fingerprint(F.col("_t"))).alias("_fp"), size.cast("bigint").alias("_b"))
+    order = F.struct(*[F.col(c) for c in order_cols])
+    groups = keyed.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(order.alias("k"), F.col("_b"))).alias("_first"), F.sum("_b").alias("_all"))
+    real, n = F.col("_fp").isNotNull(), F.col("_n")
+    kept = F.when(real, F.lit(1) if dedupe else n)
+    written = F.when(real, F.col("_first._b") if dedupe else F.col("_all"))
+    out = groups.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows_read"), F.coalesce(F.sum(F.when(real, n)), F.lit(0)).alias("non_empty"),
+        F.coalesce(F.sum(F.when(~real, n)), F.lit(0)).alias("blank"), F.coalesce(F.sum(kept), F.lit(0)).alias("kept"),
+        F.sum(written).alias("output_bytes"))
     return out.select(
         "rows_read",
         "non_empty",

@@ -133,6 +133,6 @@ def corpus_token_stats(docs: DataFrame, text_col: str = "text", ids_col: str | N
     if ids_col:
         aggs += [
             F.sum(F.size(ids_col)).cast("bigint").alias("tokens"),
-            F.max(F.array_max(ids_col)).alias("max_id"),
+            F.max(F.array_max(ids_col)).cast("bigint").alias("max_id"),
         ]
     return docs.agg(*aggs)

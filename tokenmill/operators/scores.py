@@ -17,6 +17,9 @@ from tokenmill.constants import MIN_TEMPERATURE, TOP_P_EPS
 from tokenmill.functions.ids import let
 
 
+NEG_INF = float("-inf")
+
+
 def softmax_col(logits: Column, temperature: float = 1.0) -> Column:
     """Temperature softmax of an array, ``T = max(T, 1e-6)``.
 
@@ -125,7 +128,12 @@ def cross_entropy(df: DataFrame, logits_col: str, target_col: str, out_col: str
 
 def eval_loss(df: DataFrame, logits_col: str, target_col: str, batch_col: str) -> DataFrame:
     """Mean cross-entropy within each batch, then the mean of batch means (0.0 if none)."""
-    per_batch = cross_entropy(df, logits_col, target_col, "_ce").groupBy(batch_col).agg(F.avg("_ce").alias("_m"))
+    return mean_of_batches(cross_entropy(df, logits_col, target_col, "_ce"), "_ce", batch_col)
+
+
+def mean_of_batches(df: DataFrame, loss_col: str, batch_col: str) -> DataFrame:
+    """``loss, n_batches`` from the losses of single rows."""
+    per_batch = df.groupBy(batch_col).agg(F.avg(loss_col).alias("_m"))
     return per_batch.agg(
         F.coalesce(F.avg("_m"), F.lit(0.0)).alias("loss"),
         F.count(F.lit(1)).alias("n_batches"),

@@ -366,6 +366,19 @@ def io_sql() -> dict[str, str]:
         "write_corpus": f"SELECT count(*)::BIGINT AS docs, sum(strlen(text) + 17)::BIGINT AS bytes FROM {CLEAN_DOCS_F}",
         "read_corpus": f"""SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS doc_seq,
             {strip_sql("regexp_replace(text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS text FROM {CLEAN_DOCS_F}""",
+        "append_corpus": f"""SELECT (row_number() OVER (ORDER BY NOT coalesce(d.lang = 'en', false), c.doc_id) - 1)::BIGINT AS doc_seq,
+            {strip_sql("regexp_replace(c.text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS text
+            FROM {CLEAN_DOCS_F} c JOIN documents d USING (doc_id)""",
+        "clean_corpus": f"""WITH c AS (SELECT doc_id,
+              {fp_sql("regexp_replace(text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS fp FROM {CLEAN_DOCS_F})
+            SELECT (row_number() OVER (ORDER BY d) - 1)::BIGINT AS doc_seq, fp FROM (SELECT min(doc_id) AS d, fp FROM c GROUP BY fp)""",
+        "raw_chunks": more_sql()["corpus_chunks"],
+        "trained_roundtrip": f"SELECT doc_id, text FROM {CLEAN_DOCS_F}",
+        "token_totals": f"""SELECT count(*)::BIGINT AS docs, sum(strlen(text))::BIGINT AS bytes, sum(len({pretok_sql('text')}))::BIGINT AS pretokens,
+            sum({n_ids_sql('e')})::BIGINT AS tokens,
+            max(list_max(list_transform(string_split({ids_str_sql('e')}, ' '), lambda x: x::BIGINT)))::BIGINT AS max_id, 'uint16' AS width
+            FROM (SELECT text, {enc_text_sql('text')} AS e FROM {CLEAN_DOCS_F})""",
+        "cache_windows": windows_sql()["window_examples"],
         "bpe_train_corpus": bpe["bpe_train"],
         "write_tokenizer": bpe["bpe_train"],
         "read_tokenizer": bpe["bpe_vocab"],

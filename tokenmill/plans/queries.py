@@ -25,7 +25,7 @@ from tokenmill.operators import scores as S
 from tokenmill.operators import windows as W
 from tokenmill.operators.ordered import global_rank
 from tokenmill.plans.tokenizer_jobs import bpe_train_corpus
-from tokenmill.session import scratch_path
+from tokenmill.session import materialize, scratch_path
 from tokenmill.sources import corpus as IO
 from tokenmill.sources import token_cache as TC
 from tokenmill.sources import tokenizer_io as TIO
@@ -296,8 +296,6 @@ def _stream_docs(spark, sf, table="documents"):
 
 
 def _examples(spark, sf, table="documents", num_samples=None, seed=SEED):
-    from tokenmill.session import materialize
-
     enc, keys = _stream_docs(spark, sf, table)
     enc = materialize(enc.select(*keys, "ids"), "stream")
     return W.training_examples(enc, keys, CONTEXT, num_samples, seed)
@@ -331,8 +329,6 @@ def q_batch_examples(spark, sf):
 
 
 def q_holdout_examples(spark, sf):
-    from tokenmill.session import materialize
-
     train_ids, train_keys = _stream_docs(spark, sf, "documents")
     val_ids, val_keys = _stream_docs(spark, sf, "conversations")
     train, val = W.holdout_examples(
@@ -396,12 +392,12 @@ def q_greedy_choice(spark, sf):
 
 
 def q_eval_loss(spark, sf):
-    rows = _logits(spark, sf)
+    # the loss of each row first, so that its place in the order joins one number
+    rows = materialize(S.cross_entropy(_logits(spark, sf), "logits", "label").select("vec_id", "ce"), "losses")
     ranks = global_rank(rows, ["vec_id"], "_r")
-    n = rows.count()
-    full = (n // BATCH) * BATCH
+    full = (rows.count() // BATCH) * BATCH
     batched = rows.join(ranks, "vec_id").filter(F.col("_r") < full).withColumn("batch_id", F.floor(F.col("_r") / BATCH))
-    out = S.eval_loss(batched, "logits", "label", "batch_id")
+    out = S.mean_of_batches(batched, "ce", "batch_id")
     return out.select(F.round("loss", 6).alias("loss"), F.col("n_batches").cast("bigint").alias("n_batches"))
 
 
@@ -439,11 +435,10 @@ def q_dedupe_resume(spark, sf):
 # ---- corpus chunking over the written-corpus layout ------------------------------------------
 
 NUM_CHUNKS = 8
+ROUNDTRIP_MERGES = 200
 
 
 def _layout(spark, sf):
-    from tokenmill.session import materialize
-
     return materialize(K.file_layout(_clean(spark, sf)), "layout")
 
 
@@ -481,8 +476,50 @@ def _written_corpus(spark, sf):
 
 
 def q_write_corpus(spark, sf):
+    """Counts taken from the files that were written."""
+    path = _written_corpus(spark, sf)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    docs = IO.read_corpus(spark, path, strip=False, keep_empty=True).filter(~F.col("text").rlike(r"\A\s*\z"))
+    return files.agg(F.sum("length").alias("bytes")).crossJoin(docs.agg(F.count(F.lit(1)).alias("docs"))).select("docs", "bytes")
+
+
+def q_append_corpus(spark, sf):
+    """English documents, then the others in a second run; read back in the order of writing."""
+    path = scratch_path(spark, "corpus")
+    earlier, later = _resume_split(spark, sf)
+    IO.write_corpus(C.clean_documents(earlier), path, order_cols=["doc_id"])
+    IO.write_corpus(C.clean_documents(later), path, order_cols=["doc_id"], mode="append")
+    return IO.with_sequence(IO.read_corpus(spark, path)).select("doc_seq", "text")
+
+
+def q_clean_corpus(spark, sf):
+    """A corpus file deduplicated in file order, written again and read back."""
+    path = scratch_path(spark, "corpus")
+    IO.clean_corpus(spark, _written_corpus(spark, sf), path)
+    return IO.with_sequence(IO.read_corpus(spark, path)).select("doc_seq", fingerprint(F.col("text")).alias("fp"))
+
+
+def q_raw_chunks(spark, sf):
+    """Chunks of a written file, cut at its own delimiters."""
     path = scratch_path(spark, "corpus")
-    return IO.write_corpus(_clean(spark, sf), path, order_cols=["doc_id"])
+    IO.write_corpus(_clean(spark, sf), path, order_cols=["doc_id"])
+    lay = materialize(K.raw_file_layout(spark, path), "layout")
+    return K.corpus_chunks(lay, K.chunk_boundaries(lay, NUM_CHUNKS, ("doc_seq",)))
+
+
+def q_trained_roundtrip(spark, sf):
+    """Train on the documents, encode them with the result, decode again."""
+    model = B.bpe_train(_word_freq(spark, sf), 256 + ROUNDTRIP_MERGES + 1)
+    docs = materialize(X.encode_documents(_clean(spark, sf), model), "encoded")
+    return X.decode_tokens(docs, model, "ids", "text").select("doc_id", "text")
+
+
+def q_token_totals(spark, sf):
+    """Documents, bytes, pretokens, tokens and the largest id, with the width that the vocabulary asks for."""
+    model = fixed_model()
+    docs = materialize(X.encode_documents(_clean(spark, sf), model).select("text", "ids"), "encoded")
+    width = X.check_token_width(docs, vocab_size=model.vocab_size).select("width")
+    return P.corpus_token_stats(docs, "text", "ids").crossJoin(width)
 
 
 def q_read_corpus(spark, sf):
@@ -516,10 +553,11 @@ def _cache_blocks(spark, sf):
     return W.token_blocks(enc.select(*keys, "ids"), keys)
 
 
-def _cache_meta():
+def _cache_meta(spark, sf):
     m = byte_model()
-    return dict(source_path="documents", source_size_bytes=None, vocab_size=m.vocab_size,
-                eot_token_id=m.eot_id, block_size=W.DEFAULT_BLOCK)
+    path = f"{sf.rstrip('/')}/documents.parquet"
+    return dict(source_path=path, source_size_bytes=TC.source_size(spark, path), vocab_size=m.vocab_size, eot_token_id=m.eot_id,
+                merges_sha256=TC.merges_digest(m.merges), block_size=W.DEFAULT_BLOCK, halo=0)
 
 
 def _block_summary(blocks):
@@ -532,7 +570,7 @@ def _block_summary(blocks):
 
 def q_write_token_cache(spark, sf):
     path = scratch_path(spark, "token-cache")
-    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta())
+    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta(spark, sf))
     _, meta = TC.read_token_cache(spark, path)
     return spark.createDataFrame(
         [(meta["vocab_size"], meta["eot_token_id"], meta["n_tokens"], meta["block_size"])],
@@ -542,23 +580,36 @@ def q_write_token_cache(spark, sf):
 
 def q_read_token_cache(spark, sf):
     path = scratch_path(spark, "token-cache")
-    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta())
+    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta(spark, sf))
     blocks, _ = TC.read_token_cache(spark, path)
     return _block_summary(blocks)
 
 
 def q_tokens_cached(spark, sf):
     path = scratch_path(spark, "token-cache")
-    meta = _cache_meta()
-    expect = {"vocab_size": meta["vocab_size"], "eot_token_id": meta["eot_token_id"]}
-    TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), expect=expect, **meta)
-    blocks, reused = TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), expect=expect, **meta)
+    meta = _cache_meta(spark, sf)
+    TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), **meta)
+    blocks, reused = TC.tokens_cached(spark, path, lambda: _cache_blocks(spark, sf), **meta)
     return _block_summary(blocks).withColumn("reused", F.lit(reused))
 
 
+def q_cache_windows(spark, sf):
+    """Training windows from a token cache whose blocks carry no halo."""
+    path = scratch_path(spark, "token-cache")
+    TC.write_token_cache(_cache_blocks(spark, sf), path, **_cache_meta(spark, sf))
+    examples, _ = TC.cached_examples(spark, path, CONTEXT, None, SEED)
+    return W.window_checksums(examples)
+
+
 _REGISTRY_IO = {
     "write_corpus": q_write_corpus,
     "read_corpus": q_read_corpus,
+    "append_corpus": q_append_corpus,
+    "clean_corpus": q_clean_corpus,
+    "raw_chunks": q_raw_chunks,
+    "trained_roundtrip": q_trained_roundtrip,
+    "token_totals": q_token_totals,
+    "cache_windows": q_cache_windows,
     "bpe_train_corpus": q_bpe_train_corpus,
     "write_tokenizer": q_write_tokenizer,
     "read_tokenizer": q_read_tokenizer,

@@ -58,8 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             return conf_dir
         sc.setCheckpointDir(conf_dir)
         return sc._jsc.sc().getCheckpointDir().get()
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="tokenmill-ckpt-", dir="/tmp")
     if sc is None:
@@ -77,12 +77,38 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def num_partitions(df: DataFrame) -> int | None:
+    """Partitions of a plain scan; for a plan with exchanges this would run its stages."""
     try:
         return df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001
         return None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle: probe with a read
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table of our own; without a JVM handle it is left to the folder's owner."""
+    if not path.startswith(checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError("only scratch tables are removed")
+    try:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    except Exception:  # noqa: BLE001
+        return
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

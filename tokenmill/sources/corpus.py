@@ -10,14 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.constants import DOC_SUFFIX, EOT
 from tokenmill.functions.text import strip_ws, utf8_decode
 from tokenmill.operators.ordered import global_rank
+from tokenmill.session import materialize, path_exists
 
-ORDER_COLS = ("file_path", "block_start", "row_id")
+ORDER_COLS = ("file_key", "block_start", "row_id")
+MANIFEST = "_runs"  # hidden from readers of the texts
+
+
+def file_key(path: Column) -> Column:
+    """A file's place in the corpus as a sortable text: the digits of run and part numbers filled up."""
+    padded = F.regexp_replace(path, r"/run-(\d+)/", "/run-000000000000000$1/")
+    padded = F.regexp_replace(padded, r"/run-0*(\d{16})/", "/run-$1/")
+    padded = F.regexp_replace(padded, r"/part-(\d+)", "/part-000000000000000$1")
+    return F.regexp_replace(padded, r"/part-0*(\d{16})", "/part-$1")
 
 
 def read_corpus(
@@ -29,16 +39,16 @@ def read_corpus(
     keep_empty: bool = False,
     strip: bool = True,
 ) -> DataFrame:
-    """One row per document: ``file_path, block_start, row_id, text``.
+    """One row per document: ``file_key, block_start, row_id, text``.
 
-    ``(file_path, block_start, row_id)`` orders documents as they appear in
-    the files.  Text-mode newline handling (``\\r\\n`` and ``\\r`` → ``\\n``) and
+    ``(file_key, block_start, row_id)`` orders documents as they appear in
+    the files, and files by run and part number.  Text-mode newline handling (``\\r\\n`` and ``\\r`` → ``\\n``) and
     the UTF-8 error policy are applied; documents are stripped and empty ones
     dropped unless ``keep_empty``.
     """
-    raw = spark.read.option("lineSep", delimiter).text(path)
+    raw = spark.read.option("lineSep", delimiter).option("recursiveFileLookup", "true").text(path)
     df = raw.select(
-        F.col("_metadata.file_path").alias("file_path"),
+        file_key(F.col("_metadata.file_path")).alias("file_key"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
         F.col("value").cast("binary").alias("_raw"),
@@ -53,9 +63,21 @@ def read_corpus(
 
 
 def with_sequence(df: DataFrame, order_cols: Sequence[str] = ORDER_COLS, out_col: str = "doc_seq") -> DataFrame:
-    """Add a dense 0-based document number in file order (distributed rank)."""
-    ranks = global_rank(df, order_cols, out_col)
-    return df.join(ranks, list(order_cols))
+    """Add a dense 0-based document number in file order (distributed rank).
+
+    The rows are written once, with their keys, before they are ranked: a row's
+    key depends on how its file was split, and two scans may split differently.
+    """
+    rows = materialize(df, "corpus-rows")
+    ranks = global_rank(rows, order_cols, out_col)
+    return rows.join(ranks, list(order_cols))
+
+
+def _next_run(spark: SparkSession, path: str) -> int:
+    """Number of the next run: one behind the last that the manifest lists."""
+    manifest = f"{path.rstrip('/')}/{MANIFEST}"
+    last = spark.read.parquet(manifest).agg(F.max("run")).first()[0] if path_exists(spark, manifest) else None
+    return 0 if last is None else int(last) + 1
 
 
 def write_corpus(
@@ -67,22 +89,47 @@ def write_corpus(
     mode: str = "overwrite",
     dry_run: bool = False,
 ) -> DataFrame:
-    """Write ``text + "\\n\\n<|endoftext|>\\n\\n"`` per document; return a report.
-
-    ``mode="append"`` continues a run.  With ``order_cols`` the output is
-    range-sorted, so part files concatenate in document order.  A dry run
-    writes nothing.  The one-row report has ``docs`` and ``bytes``.
+    """Write ``text + "\n\n<|endoftext|>\n\n"`` per document; return a report.
+
+    Each call writes a folder ``run-NNNNNN`` of its own; ``mode="append"``
+    continues with the next number, ``"overwrite"`` empties the corpus first.
+    With ``order_cols`` a run is range-sorted.  Readers order by run, then part
+    number, so documents come back in the order in which they were written.  A
+    manifest row ends the run.  A dry run writes nothing.  The one-row report,
+    gathered while writing, has ``docs`` and ``bytes``.
     """
-    out = df.select(F.col(text_col).alias("value"), *(order_cols or []))
+    spark = df.sparkSession
+    suffix = len(DOC_SUFFIX.encode("utf-8"))
+    out = df.select(F.col(text_col).alias("value"), *[c for c in order_cols or [] if c != "value"])
+    counts = [F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.octet_length("value") + suffix), F.lit(0)).cast("bigint").alias("bytes")]
+    if dry_run:
+        return out.agg(*counts)
     if order_cols:
         out = out.orderBy(*order_cols)
-    if not dry_run:
-        out.select("value").write.mode(mode).option("lineSep", DOC_SUFFIX).text(path)
-    suffix = len(DOC_SUFFIX.encode("utf-8"))
-    return df.agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.coalesce(F.sum(F.octet_length(text_col) + suffix), F.lit(0)).cast("bigint").alias("bytes"),
-    )
+    if mode == "overwrite":
+        spark.createDataFrame([], "value string").write.mode("overwrite").text(path)
+    run = _next_run(spark, path)
+    seen = Observation()
+    out.observe(seen, *counts).select("value").write.mode("overwrite").option("lineSep", DOC_SUFFIX).text(f"{path.rstrip('/')}/run-{run:06d}")
+    report = spark.createDataFrame([(seen.get["docs"], seen.get["bytes"])], "docs bigint, bytes bigint")
+    report.withColumn("run", F.lit(run)).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{MANIFEST}")
+    return report
+
+
+def clean_corpus(spark: SparkSession, source: str, target: str | None = None, *, dry_run: bool = False) -> DataFrame:
+    """Read a corpus, drop later copies of equal documents (in file order), write it; return the report.
+
+    The report has ``docs_read``, ``docs_written``, ``duplicates`` and
+    ``bytes_written``; a dry run only counts.
+    """
+    from tokenmill.operators.dedupe import dedupe_exact
+
+    docs = materialize(with_sequence(read_corpus(spark, source)).select("doc_seq", "text"), "corpus-clean")
+    kept = dedupe_exact(docs, ["doc_seq"])
+    report = write_corpus(kept, target or source, order_cols=["doc_seq"], dry_run=dry_run)
+    read = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return report.select(F.lit(read).cast("bigint").alias("docs_read"), F.col("docs").alias("docs_written"),
+                         (F.lit(read) - F.col("docs")).cast("bigint").alias("duplicates"), F.col("bytes").alias("bytes_written"))
 
 
-__all__ = ["read_corpus", "write_corpus", "with_sequence", "ORDER_COLS"]
+__all__ = ["read_corpus", "write_corpus", "clean_corpus", "with_sequence", "file_key", "ORDER_COLS"]

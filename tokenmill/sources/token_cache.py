@@ -1,31 +1,44 @@
 """Token cache: the encoded stream as Parquet blocks plus a metadata row.
 
 Layout under ``path``: ``blocks`` (``block_id BIGINT, ids ARRAY<INT>``) and
-``meta`` (one row: ``source_path, source_size_bytes, vocab_size,
-eot_token_id, n_tokens, block_size``).  A bare table with a single ``ids``
-column is accepted on read as well; anything else is an error.
+``meta``, one row that identifies what the blocks were made from: source path
+and size, vocabulary, EOT id, digest of the merge list, block size and halo.
+The row is taken away before blocks are written and put back after them, so a
+half-written cache has none and is not used.  A bare table with a single
+``ids`` column is accepted on read as well; anything else is an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.operators.ordered import global_rank
+from tokenmill.operators.windows import sample_windows, window_examples, with_halo
+from tokenmill.session import materialize, path_exists
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle: probe with a read
-        try:
-            spark.read.parquet(path).schema
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+META = ("source_path string, source_size_bytes bigint, vocab_size int, eot_token_id int, merges_sha256 string, "
+        "block_size int, halo int, n_tokens bigint")
+#: What has to agree for a cache to be used again.
+IDENTITY = ("source_path", "source_size_bytes", "vocab_size", "eot_token_id", "merges_sha256", "block_size", "halo")
+
+
+def source_size(spark: SparkSession, path: str) -> int:
+    """Bytes of the source's files; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return int(files.agg(F.sum("length")).first()[0] or 0)
+
+
+def merges_digest(merges: Sequence[tuple[int, int]]) -> str:
+    return hashlib.sha256(json.dumps([list(m) for m in merges]).encode()).hexdigest()
+
+
+def _write_meta(spark: SparkSession, base: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, META).coalesce(1).write.mode("overwrite").parquet(f"{base}/meta")
 
 
 def write_token_cache(
@@ -37,30 +50,38 @@ def write_token_cache(
     vocab_size: int,
     eot_token_id: int,
     block_size: int,
+    halo: int = 0,
+    merges_sha256: str | None = None,
 ) -> None:
     spark = blocks.sparkSession
     base = path.rstrip("/")
+    _write_meta(spark, base, [])
     blocks.select("block_id", "ids").write.mode("overwrite").parquet(f"{base}/blocks")
-    written = spark.read.parquet(f"{base}/blocks")
-    n = written.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).collect()[0][0]
-    meta = spark.createDataFrame(
-        [(source_path, source_size_bytes, vocab_size, eot_token_id, int(n), block_size)],
-        "source_path string, source_size_bytes bigint, vocab_size int, eot_token_id int, n_tokens bigint, block_size int",
-    )
-    meta.coalesce(1).write.mode("overwrite").parquet(f"{base}/meta")
+    own = F.least(F.size("ids"), F.lit(block_size))
+    n = spark.read.parquet(f"{base}/blocks").agg(F.coalesce(F.sum(own), F.lit(0))).first()[0]
+    _write_meta(spark, base, [(source_path, source_size_bytes, vocab_size, eot_token_id, merges_sha256, block_size, halo, int(n))])
+
+
+def read_meta(spark: SparkSession, path: str) -> dict | None:
+    """The metadata of a complete cache, else None."""
+    meta = f"{path.rstrip('/')}/meta"
+    row = spark.read.schema(META).parquet(meta).first() if path_exists(spark, meta) else None
+    return row.asDict() if row else None
 
 
 def read_token_cache(spark: SparkSession, path: str) -> tuple[DataFrame, dict | None]:
-    """``(blocks, meta)``; ``meta`` is None for a bare ``ids`` table."""
+    """``(blocks, meta)``; ``meta`` is None for a bare ``ids`` table, whose rows are numbered 0, 1, ... in file order."""
     base = path.rstrip("/")
-    if _exists(spark, f"{base}/blocks"):
-        blocks = spark.read.parquet(f"{base}/blocks")
-        meta = spark.read.parquet(f"{base}/meta").collect()[0].asDict() if _exists(spark, f"{base}/meta") else None
-        return blocks, meta
+    if path_exists(spark, f"{base}/blocks"):
+        meta = read_meta(spark, base)
+        if meta is None:
+            raise ValueError(f"the token cache at {path} was not written to its end")
+        return spark.read.parquet(f"{base}/blocks"), meta
     df = spark.read.parquet(base)
     if df.columns == ["ids"]:
-        return df.select(F.monotonically_increasing_id().alias("block_id"), "ids"), None
-    raise ValueError(f"Unsupported token-id cache format at {path}")
+        rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), "ids"), "cache-rows")
+        return rows.join(global_rank(rows, ["_row"], "block_id"), "_row").select("block_id", "ids"), None
+    raise ValueError(f"no token cache was found at {path}: neither blocks nor a table of ids")
 
 
 def tokens_cached(
@@ -69,20 +90,36 @@ def tokens_cached(
     build: Callable[[], DataFrame],
     *,
     rebuild: bool = False,
-    expect: dict | None = None,
     **meta,
 ) -> tuple[DataFrame, bool]:
-    """Reuse the cache unless asked to rebuild or its metadata disagrees.
+    """Use the cache if every recorded item of its identity agrees with ``meta``, else build it anew.
 
-    ``build()`` returns the blocks; ``meta`` is written alongside.  Unlike
-    the reference, recorded ``vocab_size`` / ``eot_token_id`` / source size
-    are compared with ``expect`` and a mismatch rebuilds.  Returns
-    ``(blocks, reused)``.
+    ``build()`` returns the blocks; ``meta`` goes to :func:`write_token_cache`.
+    Returns ``(blocks, reused)``.
     """
-    if not rebuild and _exists(spark, f"{path.rstrip('/')}/blocks"):
-        blocks, got = read_token_cache(spark, path)
-        if not expect or (got is not None and all(got.get(k) == v for k, v in expect.items())):
-            return blocks, True
+    wanted = {"halo": 0, "merges_sha256": None, **meta}
+    if not rebuild:
+        got = read_meta(spark, path)
+        if got is not None and all(got[k] == wanted[k] for k in IDENTITY):
+            return read_token_cache(spark, path)[0], True
     write_token_cache(build(), path, **meta)
-    blocks, _ = read_token_cache(spark, path)
-    return blocks, False
+    return read_token_cache(spark, path)[0], False
+
+
+def cached_examples(
+    spark: SparkSession, path: str, context_length: int, num_samples: int | None = None, seed: int = 42
+) -> tuple[DataFrame, int]:
+    """``(examples, num_samples)``: training windows straight from a token cache.
+
+    A cache whose blocks carry no halo, or a shorter one than the context, is
+    given one first: the head of each block goes to the block before.
+    """
+    blocks, meta = read_token_cache(spark, path)
+    if meta is None:
+        raise ValueError("windows need the stream's length and block size, which a bare table of ids does not have")
+    size = meta["block_size"]
+    if meta["halo"] < context_length:
+        blocks = with_halo(blocks, context_length, size)
+    windows = sample_windows(spark, meta["n_tokens"], context_length, num_samples, seed)
+    k = num_samples if num_samples is not None else meta["n_tokens"] - context_length - 1
+    return window_examples(windows, blocks, context_length, size, num_samples=k), k

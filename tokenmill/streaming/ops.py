@@ -34,7 +34,7 @@ def stream_corpus(
     spark: SparkSession, path: str, *, delimiter: str = EOT, errors: str = "replace", max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Documents of EOT-delimited text files as they arrive: ``file_path, text`` (raw)."""
-    reader = spark.readStream.option("lineSep", delimiter)
+    reader = spark.readStream.option("lineSep", delimiter).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(path)
@@ -59,34 +59,22 @@ def stream_clean(stream: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def drop_local_duplicates(df: DataFrame, key_col: str) -> DataFrame:
-    """Keep the first row of each key *within each partition* (no shuffle).
+    """Keep the first row of each key *within each Arrow batch* (no shuffle, no memory between batches).
 
     A map-side combine for streaming dedupe: ``dropDuplicates`` shuffles every
     copy of a key to one task, so a document copied into a third of a batch
-    would land in one task.  Dropping local repeats first leaves at most one
-    copy per key per partition.  Works on Arrow batches; the text is never
-    converted to Python objects.  Memory: the keys of one partition.
+    would land in one task.  Dropping a batch's repeats first leaves at most one
+    copy per key and batch; the state store drops the rest.
     """
     import pyarrow as pa
-    import pyarrow.compute as pc
-
-    schema = df.schema
 
     def first_per_key(batches):
-        seen: set = set()
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            keys = batch.column(batch.schema.get_field_index(key_col))
-            idx = pa.array(range(batch.num_rows), pa.int64())
-            firsts = pa.table({"k": keys, "i": idx}).group_by("k").aggregate([("i", "min")])
-            fresh = pc.invert(pc.is_in(firsts.column("k"), value_set=pa.array(list(seen), keys.type)))
-            firsts = firsts.filter(fresh)
-            seen.update(firsts.column("k").to_pylist())
-            keep = pc.is_in(idx, value_set=firsts.column("i_min").combine_chunks())
-            yield batch.filter(keep)
+            keys = pa.table({"k": batch.column(batch.schema.get_field_index(key_col)), "i": pa.array(range(batch.num_rows), pa.int64())})
+            first = keys.group_by("k").aggregate([("i", "min")]).column("i_min")
+            yield batch.take(first.combine_chunks().sort())
 
-    return df.mapInArrow(first_per_key, schema)
+    return df.mapInArrow(first_per_key, df.schema)
 
 
 def stream_dedupe(
@@ -117,10 +105,18 @@ def stream_dedupe(
     return local.withWatermark(time_col, ttl).dropDuplicatesWithinWatermark([fp_col])
 
 
-def stream_encode(stream: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """Streaming-encoder semantics: each stripped document's ids, then one EOT id."""
+def stream_encode(stream: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids", *, tail_col: str | None = None) -> DataFrame:
+    """Streaming-encoder semantics: each document is stripped and encoded, then one EOT id.
+
+    A null or blank document is one EOT id.  With ``tail_col`` (boolean), text
+    that no delimiter ends gets none, and a blank tail is no document.
+    """
+    text = strip_ws(F.coalesce(F.col(text_col), F.lit("")))
+    tail = F.coalesce(F.col(tail_col), F.lit(False)) if tail_col else F.lit(False)
+    kept = stream.withColumn(text_col, text).filter(~tail | (F.length(text_col) > 0))
     ids = encode_text(F.col(text_col), model, add_eot_between_docs=False)
-    return stream.withColumn(out_col, F.concat(ids, F.array(F.lit(model.eot_id))))
+    eot = F.when(tail, F.array().cast("array<int>")).otherwise(F.array(F.lit(model.eot_id)))
+    return kept.withColumn(out_col, F.concat(ids, eot))
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint_path: str, fmt: str = "parquet") -> dict:
