@@ -35,10 +35,10 @@ from tokenmill.llm.elias_fano import BigramTrie
 from tokenmill.session import materialize
 
 U64 = np.uint64
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BLOCK_ROWS = 60_000
 WORDS_PER_SHARD = 1 << 21
-PAIRS_PER_SHARD = 1 << 21
+PAIRS_PER_SHARD = 1 << 20
 MAX_SHARDS = 1 << 16
 PART = 1 << 20  # occurrences of a context above which it is cut into parts
 BUCKETS = 1024  # of successor hashes; parts are runs of buckets
