@@ -42,13 +42,20 @@ def main() -> None:
     def docs():
         return C.clean_documents(read_documents(spark, sf_dir))
 
+    trained = []
+
+    def train():
+        trained.append(B.bpe_train(P.pretoken_counts(docs()), 256 + 150 + 1))
+        return trained[-1]
+
     plans = {
         "flagship_dedupe_pretoken_counts": lambda: run(Q.q_flagship(spark, sf_dir)),
         "dedupe_exact": lambda: run(D.dedupe_exact(docs())),
         "pretoken_counts": lambda: run(P.pretoken_counts(docs())),
         "pair_stats_top": lambda: run(P.top_pair(P.pair_stats(P.pretoken_bytes(P.pretoken_counts(docs()))), 3)),
-        "bpe_train_150_merges": lambda: B.bpe_train(P.pretoken_counts(docs()), 256 + 150 + 1),
+        "bpe_train_150_merges": train,
         "encode_documents": lambda: run(X.encode_documents(docs(), Q.fixed_model())),
+        "encode_trained_150_merges": lambda: run(X.encode_documents(docs(), trained[-1] if trained else train())),
         "encode_decode_roundtrip": lambda: run(X.decode_tokens(X.encode_documents(docs(), Q.fixed_model()), Q.fixed_model())),
         "window_examples": lambda: run(Q._examples(spark, sf_dir)[0]),
         "top_p_filter": lambda: run(Q.q_top_p_filter(spark, sf_dir)),

@@ -17,7 +17,8 @@ KEYS = [
     "pretokenize", "pretoken_counts", "pair_stats", "top_pair", "bpe_train", "bpe_vocab",
     "encode_documents", "encode_corpus", "decode_tokens", "split_on_eot", "token_offsets",
     "window_examples", "top_p_filter", "eval_loss", "dedupe_merged", "chunk_boundaries",
-    "corpus_chunks", "chunk_preview", "read_corpus", "stream_dedupe",
+    "corpus_chunks", "chunk_preview", "read_corpus", "stream_dedupe", "write_corpus", "append_corpus", "clean_corpus",
+    "raw_chunks", "token_totals", "cache_windows", "tokens_cached", "strip_trailing_eot", "check_token_width", "stream_encode",
 ]
 
 
