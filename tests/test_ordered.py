@@ -33,3 +33,16 @@ def test_skip_rows_filters_past_the_nth_key(spark):
         assert got == sorted((a, b) for a in range(6) for b in range(30))[max(n, 0):]
     single = spark.range(100).withColumnRenamed("id", "doc_id")
     assert sorted(r.doc_id for r in skip_rows(single, 40).collect()) == list(range(40, 100))
+
+
+def test_large_buckets_are_dealt_again(spark, monkeypatch):
+    from tokenmill.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 50)
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS k", "id % 5 AS v")
+    rows = ordered.prefix_offsets(df, ["k"], "v", "o").orderBy("k").collect()
+    run = 0
+    for r in rows:
+        assert r.o == run
+        run += r.v
+    assert ordered.key_at_rank(df, ["k"], 321) == (321,)

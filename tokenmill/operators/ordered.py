@@ -4,7 +4,8 @@
 Instead:
 
 1. range-partition the narrow ``(key, value)`` projection into N buckets
-   (``spark.sql.shuffle.partitions``, coalesced by AQE for small inputs) and
+   (``spark.sql.shuffle.partitions``, coalesced by AQE for small inputs, more
+   where these would be too large) and
    record each row's bucket; write that to the shared checkpoint folder so the
    bucket assignment is fixed (a retry reads files, it does not re-sample);
 2. total per bucket (N rows to the driver — bounded by N, not by the data);
@@ -15,11 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.session import materialize
 
+ROWS_PER_BUCKET = 20_000_000  # rows of a range that one task sorts
+
 
 def prefix_offsets(
     df: DataFrame,
@@ -35,12 +38,7 @@ def prefix_offsets(
     """
     keys = [F.col(c) for c in key_cols]
     narrow = df.select(*keys, F.col(value_col).cast("bigint").alias(value_col))
-    # Without an explicit count AQE may coalesce *adjacent* range partitions,
-    # which keeps buckets contiguous in key order and avoids thousands of tiny
-    # buckets for small inputs.
-    ranged = narrow.repartitionByRange(buckets, *keys) if buckets else narrow.repartitionByRange(*keys)
-    staged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "prefix")
-    totals = staged.groupBy("_bucket").agg(F.sum(value_col).alias("_total")).collect()
+    staged, totals = _bucketed(narrow, keys, F.sum(value_col), buckets)
     base, rows = 0, []
     for r in sorted(totals, key=lambda r: r["_bucket"]):
         rows.append((int(r["_bucket"]), base))
@@ -55,6 +53,25 @@ def prefix_offsets(
     )
 
 
+def _bucketed(narrow: DataFrame, keys: Sequence[Column], total: Column, buckets: int | None) -> tuple[DataFrame, list]:
+    """``narrow``, written in key ranges (``_bucket``), and a row per range: ``_bucket``, ``_total``, ``_rows``.
+
+    Without an explicit count AQE may coalesce *adjacent* range partitions,
+    which keeps buckets contiguous in key order and avoids thousands of tiny
+    buckets for small inputs.  If the session's partitions make buckets that are
+    too large to sort, the written rows are dealt out again, by their number.
+    """
+    def deal(df: DataFrame, n: int | None) -> tuple[DataFrame, list]:
+        ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+        staged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "prefix")
+        return staged, staged.groupBy("_bucket").agg(total.alias("_total"), F.count(F.lit(1)).alias("_rows")).collect()
+
+    staged, totals = deal(narrow, buckets)
+    if buckets is None and any(r["_rows"] > ROWS_PER_BUCKET for r in totals):
+        staged, totals = deal(staged.drop("_bucket"), 2 * sum(r["_rows"] for r in totals) // ROWS_PER_BUCKET + 1)
+    return staged, totals
+
+
 def global_rank(df: DataFrame, key_cols: Sequence[str], out_col: str = "rank", *, buckets: int | None = None) -> DataFrame:
     """``key_cols..., rank`` with 0-based rank in key order (distributed)."""
     ones = df.select(*[F.col(c) for c in key_cols], F.lit(1).alias("_one"))
@@ -69,9 +86,8 @@ def key_at_rank(df: DataFrame, key_cols: Sequence[str], rank: int, *, buckets: i
     """
     keys = [F.col(c) for c in key_cols]
     narrow = df.select(*keys)
-    ranged = narrow.repartitionByRange(buckets, *keys) if buckets else narrow.repartitionByRange(*keys)
-    staged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "rank")
-    totals = sorted((int(r["_bucket"]), int(r["count"])) for r in staged.groupBy("_bucket").count().collect())
+    staged, found = _bucketed(narrow, keys, F.count(F.lit(1)), buckets)
+    totals = sorted((int(r["_bucket"]), int(r["_total"])) for r in found)
     base = 0
     for bucket, count in totals:
         if rank < base + count:
