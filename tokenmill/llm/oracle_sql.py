@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+#: Words without ASCII punctuation, white space and controls; words between ASCII white space.
+_WORD, _SPACED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+"
 
 URL_FILTERS = f"""
 WITH parts AS (
@@ -30,5 +32,40 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n
 """
 
 
+DECONTAMINATION = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORD}') AS w FROM benchmark),
+win AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS gram FROM (
+  SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+occ AS MATERIALIZED (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS gram FROM (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS MATERIALIZED (SELECT doc_id, i, n, item_id FROM occ JOIN win USING (n, gram)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+NGRAM_JACCARD = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_SPACED}') AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS gram FROM (
+  SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT doc_id, y FROM reach JOIN both_ways ON other = x)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op2_url_filters": URL_FILTERS, "op6_exact_dedup": EXACT_DEDUP}
+    return {
+        "op2_url_filters": URL_FILTERS,
+        "op6_exact_dedup": EXACT_DEDUP,
+        "op7_benchmark_decontamination": DECONTAMINATION,
+        "op10_ngram_jaccard": NGRAM_JACCARD,
+    }

@@ -243,7 +243,7 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         score = F.lit(base)
     else:
         train = rows.mapInArrow(_with_features(lexicon, ["label", "calibrate"]), "label double, calibrate boolean, features array<double>")
-        train = materialize(train.withColumn("features", F.col("features")), "toxic-features").withColumn("features", array_to_vector("features"))
+        train = materialize(train, "toxic-features").withColumn("features", array_to_vector("features"))
         fit = train.filter("not calibrate").withColumn("weight", F.when(F.col("label") > 0, good / bad).otherwise(1.0))
         trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=seed, weightCol="weight", cacheNodeIds=False).fit(fit)
         scored = trees.transform(scored.withColumn("features", array_to_vector("features")))

@@ -103,7 +103,7 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = Tr
     """Tokenise a whole Arrow column of texts; without ``fold_case`` words that differ in case differ."""
     data, offsets = text_bytes(column)
     starts_all, ends_all, hash_all = [], [], []
-    at, carry = 0, None  # carry: hash sum, and its length, of a word that a piece without separators left open
+    at = 0
     edge = np.unique(offsets)
     for end in _piece_cuts(data, separators):
         piece = LOWER[data[at:end]] if fold_case else data[at:end]
@@ -123,8 +123,8 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = Tr
         sums[0] = 0
         np.cumsum(_BYTE_VALUES[piece] * _POW[:n], out=sums[1:])
         h = (sums[e] - sums[s]) * _INV[s]
-        open_before = carry is not None and at not in (edge[lo:lo + 1].tolist() if lo < hi else [])
-        if open_before and len(s) and s[0] == 0 and starts_all and len(starts_all[-1]) and ends_all[-1][-1] == at:
+        new_text = lo < hi and edge[lo] == at
+        if len(s) and s[0] == 0 and not new_text and ends_all and ends_all[-1][-1] == at:
             # the last word of the piece before goes on here: append the parts' hashes
             length = int(ends_all[-1][-1] - starts_all[-1][-1])
             shift = U64(pow(_BASE, length, 1 << 64))
@@ -135,7 +135,6 @@ def words(column: pa.Array, separators: np.ndarray = SPACE, fold_case: bool = Tr
             starts_all.append(s + at)
             ends_all.append(e + at)
             hash_all.append(h)
-        carry = True
         at = end
     join = (lambda xs, t: np.concatenate(xs) if xs else np.empty(0, t))
     starts, ends, hashes = join(starts_all, np.int64), join(ends_all, np.int64), join(hash_all, U64)
