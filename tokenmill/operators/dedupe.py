@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.constants import DOC_SUFFIX
@@ -29,15 +29,12 @@ def dedupe_exact(
 
     The kept text is the row's own (stripped) text, not the normal form.
     """
-    with_fp = df.withColumn(fp_col, fingerprint(F.col(text_col)))
-    order = [F.col(c) for c in order_cols]
+    keyed = df.withColumn(fp_col, fingerprint(F.col(text_col))).withColumn("_key", F.struct(*[F.col(c) for c in order_cols]))
     # keys only: the texts do not pass through the aggregate's buffers
-    first = with_fp.groupBy(fp_col).agg(F.min(F.struct(*order)).alias("_first"))
-    keep = first.select(F.col(fp_col).alias("_fp"), *[F.col(f"_first.{c}").alias(f"_key_{i}") for i, c in enumerate(order_cols)])
-    same = F.col(fp_col) == F.col("_fp")
-    for i, c in enumerate(order):
-        same = same & c.eqNullSafe(F.col(f"_key_{i}"))
-    return with_fp.join(keep, same, "left_semi")
+    first = keyed.groupBy(fp_col).agg(F.min("_key").alias("_key"))
+    same_key = Window.partitionBy(fp_col, "_key").orderBy(F.lit(0))  # copies with one key: any one of them
+    kept = keyed.join(first, [fp_col, "_key"], "left_semi").withColumn("_nth", F.row_number().over(same_key))
+    return kept.filter("_nth = 1").select(*df.columns, fp_col)
 
 
 def dedupe_merged(
