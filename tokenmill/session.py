@@ -8,6 +8,7 @@ create a temporary folder and register it.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -33,9 +34,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    importable_in_workers(spark)
     return spark
 
 
+def importable_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+
+    The folder goes to the workers' PYTHONPATH; a cluster without that folder
+    gets the package by ``--py-files`` as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
