@@ -14,7 +14,7 @@ from tokenmill.llm.mixing import mixed_documents
 from tokenmill.llm.ngram_join import unique_documents
 from tokenmill.llm.sharding import shard_documents
 from tokenmill.llm.toxicity import drop_toxic
-from tokenmill.session import materialize
+from tokenmill.session import importable_in_workers, materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable_in_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
