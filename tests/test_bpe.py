@@ -139,3 +139,12 @@ def test_many_merges_in_one_round(spark):
     words += [(chr(0xC0 + i) + "~", 500 - i) for i in range(30)]
     model = B.bpe_train(_wf(spark, words), 256 + 100 + 1)
     assert model.merges == train([(tuple(w.encode()), f) for w, f in words], 100)
+
+
+def test_rank_keys_with_shared_first_places(spark):
+    """Places too wide to pack, two words at one place: each word is counted once."""
+    rows = [("abab", 3, 2 ** 61, 2 ** 40), ("cdcd", 3, 2 ** 61, 2 ** 40), ("ab", 1, -(2 ** 61), 0)]
+    wf = spark.createDataFrame(rows, "pretoken string, freq long, first_doc long, first_pos long")
+    table, bits = B.ranked_word_table(wf)
+    assert bits is not None and table.count() == 3
+    assert B.bpe_train(wf, 260).merges == [(97, 98), (256, 256), (99, 100)]

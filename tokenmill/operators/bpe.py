@@ -121,8 +121,9 @@ def ranked_word_table(word_freq: DataFrame) -> tuple[DataFrame, int | None]:
     if n.bit_length() + ib > 62:
         return table, None
     keyed = table.select("w", "freq", F.col("first.d").alias("_d"), F.col("first.p").alias("_p"))
-    ranks = global_rank(keyed, ["_d", "_p"], "_r")
-    packed = keyed.join(ranks, ["_d", "_p"]).select(
+    # words are distinct, so no key repeats even where first places do
+    ranks = global_rank(keyed, ["_d", "_p", "w"], "_r")
+    packed = keyed.join(ranks, ["_d", "_p", "w"]).select(
         "w", "freq", F.shiftleft(F.col("_r"), ib).cast("bigint").alias("first")
     )
     return materialize(packed, "bpe-words0"), ib

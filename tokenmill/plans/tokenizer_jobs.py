@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tokenmill.constants import COMPACT_ID_LIMIT
 from tokenmill.operators import bpe as B
-from tokenmill.operators.clean import split_on_eot
 from tokenmill.operators.codec import compact_ids, encode_text
 from tokenmill.operators.pretokenize import pretoken_counts
 from tokenmill.operators.windows import token_blocks
@@ -19,9 +18,8 @@ from tokenmill.sources.tokenizer_io import write_tokenizer
 
 def word_freq_from_corpus(spark: SparkSession, corpus_path: str) -> DataFrame:
     """Corpus file → documents in file order → word frequencies."""
-    docs = with_sequence(read_corpus(spark, corpus_path))
-    docs = split_on_eot(docs, "text")  # a no-op unless a document carries the delimiter
-    return pretoken_counts(docs.select("doc_seq", "seg", "text").withColumnRenamed("doc_seq", "doc_id"), "text", "doc_id")
+    docs = with_sequence(read_corpus(spark, corpus_path))  # the reader cuts at every marker
+    return pretoken_counts(docs.select(F.col("doc_seq").alias("doc_id"), "text"), "text", "doc_id")
 
 
 def bpe_train_corpus(
