@@ -60,34 +60,48 @@ def train(words, num_merges):
     goes first; of equals, the one that stands first in the corpus.
     """
     chains = [(Chain(ids), freq) for ids, freq in words]
-    holders: dict = {}
+    holders: dict = {}  # pair -> word -> places; places are original ones, so their order is that of the pairs
+    weight: dict = {}
+
+    def add(pair, w, i):
+        places = holders.setdefault(pair, {}).setdefault(w, set())
+        if not places:
+            weight[pair] = weight.get(pair, 0) + chains[w][1]
+        places.add(i)
+
+    def drop(pair, w, i):
+        places = holders.get(pair, {}).get(w)
+        if places is None or i not in places:
+            return
+        places.remove(i)
+        if not places:
+            del holders[pair][w]
+            weight[pair] -= chains[w][1]
+            if not holders[pair]:
+                del holders[pair], weight[pair]
+
     for w, (chain, _) in enumerate(chains):
         for i in chain.places():
-            holders.setdefault(chain.pair(i), set()).add((w, i))
-    holders.pop(None, None)
+            if pair := chain.pair(i):
+                add(pair, w, i)
     merges = []
     while len(merges) < num_merges and holders:
-        def weight(pair):
-            return -sum(chains[w][1] for w in {w for w, _ in holders[pair]})
-
-        # places are original ones: within a word their order is that of the pairs
-        best = min(holders, key=lambda p: (weight(p), min(holders[p])))
+        most = max(weight.values())
+        best = min((p for p in weight if weight[p] == most), key=lambda p: (w := min(holders[p]), min(holders[p][w])))
         new_id = 256 + len(merges)
         merges.append(best)
-        for w, i in sorted(holders.pop(best)):
+        places = holders.pop(best)
+        del weight[best]
+        for w in sorted(places):
             chain = chains[w][0]
-            if not chain.alive(i) or chain.pair(i) != best:
-                continue
-            around = [k for k in (chain.left[i], chain.right[i]) if k >= 0]
-            for k in around:
-                old = chain.pair(k)
-                if old in holders:
-                    holders[old].discard((w, k))
-                    if not holders[old]:
-                        del holders[old]
-            chain.join(i, new_id)
-            for k in (chain.left[i], i):
-                new = chain.pair(k) if k >= 0 else None
-                if new:
-                    holders.setdefault(new, set()).add((w, k))
+            for i in sorted(places[w]):
+                if not chain.alive(i) or chain.pair(i) != best:
+                    continue
+                for k in (chain.left[i], chain.right[i]):
+                    if k >= 0 and (old := chain.pair(k)):
+                        drop(old, w, k)
+                chain.join(i, new_id)
+                for k in (chain.left[i], i):
+                    if k >= 0 and (new := chain.pair(k)):
+                        add(new, w, k)
     return merges
