@@ -2,12 +2,12 @@
 
 A monotone sequence of n numbers below u keeps the low ``log2(u / n)`` bits of
 each as they are and the rest as a unary bit vector of about 2n bits.  A level
-is a handful of flat arrays; it can be written to a file and mapped back.
+is a handful of flat arrays, written to a file and mapped back.
 """
 
 from __future__ import annotations
 
-import tempfile
+import os
 from dataclasses import dataclass
 
 import numpy as np
@@ -94,10 +94,10 @@ class EliasFano:
         return [self.low, self.high, self.directory]
 
 
-def map_to_file(arrays: list[np.ndarray]) -> list[np.ndarray]:
-    """The arrays, written to an unnamed temporary file and mapped read-only from it."""
+def map_levels(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """The arrays, written to a file in memory and mapped read-only from it; no folder is used."""
     out = []
-    with tempfile.TemporaryFile() as file:
+    with os.fdopen(os.memfd_create("levels"), "w+b") as file:
         for a in arrays:
             file.seek(0, 2)
             begin = -(-file.tell() // 64) * 64
@@ -129,7 +129,7 @@ class BigramTrie:
         last = successors[pointers[1:] - 1].astype(U64) if len(counts) else np.empty(0, U64)
         base = np.concatenate([[U64(0)], np.cumsum(last + U64(1), dtype=U64)])[:-1] if len(counts) else last
         levels = [EliasFano.of(contexts), EliasFano.of(pointers), EliasFano.of(successors.astype(U64) + np.repeat(base, counts))]
-        mapped = map_to_file([*(a for level in levels for a in level.arrays()), quantise(log10), quantise(back_off)])
+        mapped = map_levels([*(a for level in levels for a in level.arrays()), quantise(log10), quantise(back_off)])
         for i, level in enumerate(levels):
             level.low, level.high, level.directory = mapped[3 * i:3 * i + 3]
         self.contexts, self.pointers, self.successors = levels

@@ -12,7 +12,7 @@ documents; a block and a shard exchange one packed row in each direction.
 3. A pair shard counts its training pairs, smooths them by absolute discounting
    into the word level, and builds its trie: contexts, monotone pointers,
    context-relative successors, probabilities in 16 bits, all mapped from a
-   file.  Every distinct pair is then searched in the trie, and the shard
+   file in memory that ends with the task.  Every distinct pair is then searched in the trie, and the shard
    returns one sum per document, which are added up per block.
 
 The trie grows with the corpus and is never in one place.  Nothing is cut off:
