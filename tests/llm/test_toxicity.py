@@ -6,6 +6,7 @@ from llm_cases import SF_SMALL, clashing_docs, edge_docs, make_docs, no_docs  #
 
 import __spark_entry__ as E
 from tokenmill.llm import toxicity as X
+from tokenmill.llm import toxicity_features as XF
 from tokenmill.llm import words as W
 
 INSULTS = ["blarg", "fnord", "grumpf", "snark", "twerp"]
@@ -58,10 +59,10 @@ def test_query_on_whole_tables(spark):
 
 
 def test_features_of_marks_and_look_alikes():
-    lexicon = X.Lexicon({"word": W.np.sort(W.words(pa.array(["fnord blarg"])).hashes), "stem4": W.np.empty(0, W.U64), "stem5": W.np.empty(0, W.U64)})
-    x = X.features(pa.array(["you fnord", "F.N.0.R.D", "A LOUD!!! blarg", None, "", "plain text here"]), lexicon)
-    at = {name: i for i, name in enumerate(X.FEATURES)}
-    assert x.shape == (6, len(X.FEATURES)) and W.np.isfinite(x).all()
+    lexicon = XF.Lexicon({"word": W.np.sort(W.words(pa.array(["fnord blarg"])).hashes), "stem4": W.np.empty(0, W.U64), "stem5": W.np.empty(0, W.U64)})
+    x = XF.features(pa.array(["you fnord", "F.N.0.R.D", "A LOUD!!! blarg", None, "", "plain text here"]), lexicon)
+    at = {name: i for i, name in enumerate(XF.FEATURES)}
+    assert x.shape == (6, len(XF.FEATURES)) and W.np.isfinite(x).all()
     assert x[0, at["near_you"]] > 0 and x[2, at["near_you"]] == 0
     assert x[1, at["undone"]] == 1 and x[1, at["word"]] == 0
     assert x[2, at["shouts"]] > 0 and x[2, at["capital_words"]] > 0
