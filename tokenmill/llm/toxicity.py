@@ -30,6 +30,8 @@ MAX_TRAIN = 30_000
 LEXICON_ENTRIES = 2_000
 LEAST_TOXIC = 4  # labelled toxic texts in which an entry must occur
 SLICE_BYTES = 1 << 20
+
+
 def _with_features(lexicon: Lexicon, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
