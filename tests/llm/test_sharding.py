@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -51,6 +52,28 @@ def test_a_group_of_copies_is_cut_by_id_and_reruns_agree(spark):
     assert sum(len(s) > 1 for t, s in shards_of.items() if not t.startswith("hot")) == 0
 
 
+def test_shard_ends_follow_the_sizes_exactly_at_many_ranges(spark):
+    rng = random.Random(3)
+    sizes = [int(rng.lognormvariate(5, 1.2)) + 1 for _ in range(4000)]
+    df = spark.createDataFrame([(i, f"{i} ".ljust(n, "x")) for i, n in enumerate(sizes)], "doc_id long, text string")
+    keys = df.select(F.xxhash64("text").alias("h"), F.xxhash64("doc_id").alias("g"), S.text_size(F.col("text")).alias("size"))
+    rows = sorted((r.h, r.g, r.size) for r in keys.collect())
+    total, n_shards = sum(s for *_, s in rows), 24
+    bounds = [r[:2] for r in rows[10::10]]
+    expected, upto, middles = [], 0, []
+    for h, g, s in rows:
+        upto += s
+        middles.append((2 * upto - s, (h, g)))
+    for shard in range(1, n_shards):
+        expected.append(next(k for m, k in middles if m > 2 * (total * shard // n_shards)))
+    size, _ = S._measure(keys, bounds)
+    assert S._shard_ends(keys, bounds, size, n_shards) == expected
+    placed = defaultdict(int)
+    for r in S.shard_documents(df, n_shards).collect():
+        placed[r.shard] += r.size
+    assert len(placed) == n_shards and max(placed.values()) - min(placed.values()) <= max(s for *_, s in rows)
+
+
 def test_edges(spark, edge_docs, clashing_docs, no_docs):
     rows = S.shard_documents(edge_docs, 3).collect()
     assert len(rows) == edge_docs.count()

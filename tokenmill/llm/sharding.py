@@ -104,13 +104,16 @@ def _shard_ends(keys: DataFrame, bounds: list[tuple], size: list[int], n_shards:
         wanted.append((r, target - begins[r], shard))
     ranges = sorted({r for r, _, _ in wanted})
     inside = with_range(keys, [F.col("h"), F.col("g")], bounds, "range").filter(F.col("range").isin(ranges))
-    order = Window.partitionBy("range").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
+    key_order = Window.partitionBy("range").orderBy("h", "g")
+    order = key_order.rowsBetween(Window.unboundedPreceding, 0)
     cut = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(t).cast("long").alias("t"), F.lit(s).alias("s")) for r, t, s in wanted])
+    # a shard begins with the first row whose middle lies behind its target, so with the one row whose
+    # middle does while that of the row before does not
     ends = (inside.withColumn("upto", F.sum("size").over(order))
+            .withColumn("before", F.coalesce(F.lag("size").over(key_order), F.lit(0)))
             .withColumn("cut", F.explode(F.filter(cut, lambda c: (c["r"] == F.col("range"))
                                                   & (c["t"] * 2 < F.col("upto") * 2 - F.col("size"))
-                                                  & (c["t"] * 2 >= (F.col("upto") - F.col("size") * 2) * 2))))
-            .filter(F.col("upto") * 2 - F.col("size") > F.col("cut.t") * 2)
+                                                  & (c["t"] * 2 >= (F.col("upto") - F.col("size")) * 2 - F.col("before")))))
             .groupBy(F.col("cut.s").alias("s")).agg(F.min(F.struct("h", "g")).alias("k")).collect())
     found = {e["s"]: (e["k"]["h"], e["k"]["g"]) for e in ends}
     # a target behind the middle of its range's last row begins with the next range
