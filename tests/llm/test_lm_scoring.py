@@ -79,6 +79,18 @@ def test_many_shards_and_parts_of_contexts_make_a_distribution(spark, monkeypatc
     assert all(r.score < 0 for r in rows.values())
 
 
+def test_shards_and_parts_do_not_change_scores(spark, monkeypatch):
+    docs = make_docs(spark, [(i, " ".join(f"w{(i * i + j * j * j) % (7 + i % 90)}" for j in range(i % 70)), "s") for i in range(300)])
+    scores = []
+    for sizes in ({"MAX_SHARDS": 1}, {"MAX_SHARDS": 1 << 16}, {"PART": 40, "PAIRS_PER_SHARD": 200, "WORDS_PER_SHARD": 100, "BLOCK_BYTES": 4000}):
+        for name, value in sizes.items():
+            monkeypatch.setattr(L, name, value)
+        scores.append({r.doc_id: r.score for r in L.score_documents(docs).collect()})
+    one, *others = scores
+    for other in others:
+        assert all(abs(other[i] - s) <= 1e-5 * abs(s) + 1e-6 for i, s in one.items())
+
+
 def test_probabilities_of_a_context_add_up_to_one():
     """Over all words, parts included, a pair shard's probabilities of a context sum to one."""
     rng = np.random.default_rng(5)

@@ -8,9 +8,12 @@ documents; a block and a shard exchange one packed row in each direction.
 2. A block, now knowing its words' counts, sends its distinct word pairs to pair
    shards, with the documents they occur in.  A context belongs to one shard; a
    context of more than ``PART`` occurrences is cut into parts by its successors'
-   hashes, and a part predicts its successors weighted by the part's own counts.
-3. A pair shard counts its training pairs, smooths them by absolute discounting
-   into the word level, and builds its trie: contexts, monotone pointers,
+   hashes.
+3. A pair shard counts its training pairs and tells how many it holds once and
+   twice, and how many successors its part of each cut context has.  These are
+   added up over all shards, so that neither shards nor parts change a score.
+4. The shards, read again, smooth their pairs by absolute discounting with these
+   totals into the word level, and build their tries: contexts, monotone pointers,
    context-relative successors, probabilities in 16 bits, all mapped from a
    file in memory that ends with the task.  Every distinct pair is then searched in the trie, and the shard
    returns one sum per document, which are added up per block.
@@ -26,12 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
 from tokenmill.llm.frames import schema_with
-from tokenmill.llm.elias_fano import BigramTrie
+from tokenmill.llm.elias_fano import BigramTrie, quantise, restore
 from tokenmill.session import materialize
 
 U64 = np.uint64
@@ -130,13 +133,11 @@ def _count_words(table: pa.Table) -> pa.Table:
     total = np.bincount(each, weights=np.concatenate([c["trained"] for c in cells])).astype(np.int64)
     answer, cut = total[each], np.concatenate([[0], np.cumsum(sizes)])
     known = total > 0
-    mass = np.bincount((words >> U64(54)).astype(np.int64)[known], weights=total[known] + PRIOR, minlength=BUCKETS)
     n = table.num_rows
-    lists = pa.array([mass.tolist() if i == 0 else None for i in range(n)], pa.list_(pa.float64()))
     return pa.table({"block": table["block"], "shard": table["shard"],
                      "data": pa.array([_pack(counts=answer[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
                      "tokens": pa.array([int(total.sum()) if i == 0 else 0 for i in range(n)], pa.int64()),
-                     "types": pa.array([int(known.sum()) if i == 0 else 0 for i in range(n)], pa.int64()), "mass": lists})
+                     "types": pa.array([int(known.sum()) if i == 0 else 0 for i in range(n)], pa.int64())})
 
 
 def _send_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,9 +221,12 @@ def _send_pairs(word_shards: int, pair_shards: int):
 
 
 class PairShard:
-    """All pairs of a shard, gathered from the blocks."""
+    """All pairs of a shard, gathered from the blocks.
 
-    def __init__(self, cells: list[dict[str, np.ndarray]], bucket_mass: np.ndarray, total_mass: float) -> None:
+    ``bucket_mass`` (of ``total_mass``) is only needed to score a part of a context without its context's totals.
+    """
+
+    def __init__(self, cells: list[dict[str, np.ndarray]], bucket_mass: np.ndarray | None = None, total_mass: float = 1.0) -> None:
         column = (lambda name: np.concatenate([c[name] for c in cells]))
         contexts, sizes = column("contexts"), column("sizes")
         slot, parts, count = np.zeros(len(contexts), np.int64), np.ones(len(contexts), np.int64), np.zeros(len(contexts))
@@ -232,19 +236,21 @@ class PairShard:
         # a part of a context is a context of its own
         key = contexts + slot.astype(U64) * U64(0x9E3779B97F4A7C15)
         self.keys, first, node = np.unique(key, return_index=True, return_inverse=True)
-        width = BUCKETS // parts[first]
-        run = np.concatenate([[0.0], np.cumsum(bucket_mass)])
-        begin = slot[first] * width
-        seen = run[begin + width] - run[begin]
-        self.part_mass = np.where(parts[first] > 1, (seen + PRIOR / parts[first]) / total_mass, 1.0)
-        self.split_count = np.where(parts[first] > 1, count[first], 0.0)
+        self.contexts, self.split_count = contexts[first], np.where(parts[first] > 1, count[first], 0.0)
+        self.part_mass = np.ones(len(first))
+        if bucket_mass is not None:
+            width = BUCKETS // parts[first]
+            run = np.concatenate([[0.0], np.cumsum(bucket_mass)])
+            begin = slot[first] * width
+            seen = run[begin + width] - run[begin]
+            self.part_mass = np.where(parts[first] > 1, (seen + PRIOR / parts[first]) / total_mass, 1.0)
         node, succ = np.repeat(node, sizes), column("successors")
         times, docs = column("times").astype(np.int64), column("docs").astype(np.int64)
         base = np.cumsum([0, *(len(c["held"]) for c in cells)])
         entries = [int(c["times"].sum(dtype=np.int64)) for c in cells]
         docs = docs + np.repeat(base[:-1], entries)
         train = ~column("held").astype(bool)
-        order = np.lexsort((succ, node))
+        order = np.argsort(node.astype(U64) << U64(32) | succ)
         node, succ, level = node[order], succ[order], column("levels")[order]
         new = np.ones(len(node), bool)
         new[1:] = (node[1:] != node[:-1]) | (succ[1:] != succ[:-1])
@@ -254,23 +260,35 @@ class PairShard:
         self.node, self.succ, self.level = node[new], succ[new], level[new]
         self.count = np.bincount(self.pair_of, weights=train[docs], minlength=int(new.sum()))
 
-    def score(self, total_mass: float) -> np.ndarray:
-        """log10 probability of each distinct pair, looked up in the trie of the training pairs."""
+    def totals(self) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """Training pairs that occur once and twice; contexts of the parts held, and their distinct successors."""
+        kinds = np.bincount(self.node[self.count > 0], minlength=len(self.keys))
+        cut = np.flatnonzero(self.split_count > 0)
+        return int((self.count == 1).sum()), int((self.count == 2).sum()), self.contexts[cut], kinds[cut]
+
+    def score(self, total_mass: float, once_twice: tuple[int, int] | None = None, whole: dict[int, int] | None = None) -> np.ndarray:
+        """log10 probability of each distinct pair, looked up in the trie of the training pairs.
+
+        ``once_twice`` are those totals over all shards, ``whole`` the distinct successors of each cut context in all its parts.
+        """
         seen = self.count > 0
         lower = np.log10((count_at(self.level) + PRIOR) / total_mass)
         n = len(self.keys)
         in_part = np.bincount(self.node, weights=self.count, minlength=n)
         kinds = np.bincount(self.node[seen], minlength=n)
-        once, twice = int((self.count == 1).sum()), int((self.count == 2).sum())
+        once, twice = once_twice or self.totals()[:2]
         discount = min(0.98, max(0.3, once / max(1, once + 2 * twice)))
-        weight = np.where(self.split_count > 0, (in_part + self.part_mass) / (self.split_count + 1), 1.0)
-        back = np.where(in_part > 0, discount * kinds / np.maximum(in_part, 1), 1.0) * weight / self.part_mass
+        in_all, all_kinds = np.where(self.split_count > 0, self.split_count, in_part), kinds / self.part_mass
+        if whole is not None:
+            cut = np.flatnonzero(self.split_count > 0)
+            all_kinds[cut] = [whole[c] for c in self.contexts[cut].tolist()]
+        back = np.where(in_all > 0, discount * all_kinds / np.maximum(in_all, 1), 1.0)
         node = self.node[seen]
-        direct = (self.count[seen] - discount) / in_part[node] * weight[node] + back[node] * 10.0 ** lower[seen]
+        direct = (self.count[seen] - discount) / in_all[node] + back[node] * 10.0 ** lower[seen]
         used = np.flatnonzero(kinds)
         trie = BigramTrie(self.keys[used], kinds[used], self.succ[seen], np.log10(direct), np.log10(back[used]))
         at = trie.nodes(self.keys)  # contexts without a training pair are not in the trie
-        out = np.log10(np.maximum(back[self.node], 1e-300)) + lower
+        out = restore(quantise(np.log10(np.maximum(back, 1e-300))))[self.node] + lower
         inside = at[self.node] >= 0
         out[inside] = trie.log10(at[self.node[inside]], self.succ[inside], lower[inside])
         return out
@@ -280,14 +298,29 @@ class PairShard:
         return [total[a:b] for a, b in zip(self.n_docs, self.n_docs[1:], strict=False)]
 
 
-def _score_pairs(bucket_mass: np.ndarray, total_mass: float):
-    def run(table: pa.Table) -> pa.Table:
+def _count_pairs(table: pa.Table) -> pa.Table:
+    """What a shard adds to the totals: a row without a context, and one for each of its parts of contexts."""
+    cells = [_unpack(d) for d in table["data"].to_pylist() if d is not None]
+    shard = table["shard"][0].as_py()
+    once, twice, contexts, kinds = PairShard(cells).totals() if cells else (0, 0, np.empty(0, U64), np.empty(0, np.int64))
+    n = len(contexts)
+    return pa.table({"shard": pa.array([shard] * (n + 1), pa.int32()), "context": pa.array([None, *contexts.view(np.int64).tolist()], pa.int64()),
+                     "once": pa.array([once] + [0] * n, pa.int64()), "twice": pa.array([twice] + [0] * n, pa.int64()),
+                     "kinds": pa.array([0, *kinds.tolist()], pa.int64())})
+
+
+def _score_pairs(total_mass: float):
+    def run(table: pa.Table, totals: pa.Table) -> pa.Table:
         data = table["data"].to_pylist()
         rows = [i for i, d in enumerate(data) if d is not None]
         sums: list[bytes | None] = [None] * len(data)
         if rows:
-            shard = PairShard([_unpack(data[i]) for i in rows], bucket_mass, total_mass)
-            for i, s in zip(rows, shard.sums(shard.score(total_mass)), strict=True):
+            known = totals.to_pylist()
+            once, twice = next((r["once"], r["twice"]) for r in known if r["context"] is None)
+            whole = {r["context"] % (1 << 64): r["kinds"] for r in known if r["context"] is not None}
+            shard = PairShard([_unpack(data[i]) for i in rows])
+            scores = shard.score(total_mass, (once, twice), whole)
+            for i, s in zip(rows, shard.sums(scores), strict=True):
                 sums[i] = _pack(sums=s.astype(np.float32))
         return pa.table({"block": table["block"], "shard": table["shard"], "data": pa.array(sums, pa.binary()),
                          "meta": table["meta"], "ids": table["ids"]})
@@ -333,16 +366,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pair_shards = int(min(MAX_SHARDS, max(16, size // 6 // PAIRS_PER_SHARD)))
     cells = source.mapInArrow(_send_words(word_shards), "block long, shard int, data binary")
     counted = cells.groupBy("shard").applyInArrow(
-        _count_words, "block long, shard int, data binary, tokens long, types long, mass array<double>")
+        _count_words, "block long, shard int, data binary, tokens long, types long")
     counted = materialize(counted, "lm-words")
     n, v = counted.agg(F.sum("tokens"), F.sum("types")).first()
-    mass = np.zeros(BUCKETS)
-    for r in counted.filter("mass is not null").select(F.posexplode("mass")).groupBy("pos").agg(F.sum("col").alias("m")).collect():
-        mass[r.pos] = r.m
     total_mass = (n or 0) + PRIOR * ((v or 0) + 1)
     answers = counted.select("block", "shard", "data", F.lit(None).cast("binary").alias("ids"))
     blocks = source.mapInArrow(_send_blocks, "block long, shard int, data binary, ids binary").unionByName(answers)
     pairs = blocks.groupBy("block").applyInArrow(_send_pairs(word_shards, pair_shards), "block long, shard int, data binary, meta binary, ids binary")
-    sums = pairs.groupBy("shard").applyInArrow(_score_pairs(mass, total_mass), "block long, shard int, data binary, meta binary, ids binary")
+    # both readings of the shards are in one plan, so that the exchange of the pairs is done once
+    totals = pairs.groupBy("shard").applyInArrow(_count_pairs, "shard int, context long, once long, twice long, kinds long")
+    context = Window.partitionBy("context")
+    totals = totals.select("shard", "context", *[F.sum(c).over(context).alias(c) for c in ("once", "twice", "kinds")])
+    sums = pairs.groupBy("shard").cogroup(totals.groupBy("shard")).applyInArrow(
+        _score_pairs(total_mass), "block long, shard int, data binary, meta binary, ids binary")
     schema = schema_with(source, "id", "id", "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return sums.groupBy("block").applyInArrow(_add_up(n or 0, total_mass), schema).withColumnRenamed("id", id_col)
