@@ -69,6 +69,16 @@ def test_families_around_the_threshold(spark, seed, monkeypatch):
     assert found(docs) == brute([r[:2] for r in rows])
 
 
+def test_very_long_copies_in_one_shard(spark, monkeypatch):
+    """More matched tokens of a document in one shard than 16 bits hold; the copies lie in blocks of their own."""
+    monkeypatch.setattr(J, "MAX_SHARDS", 1)
+    monkeypatch.setattr(J, "SLICE_ROWS", 1)
+    n = (1 << 16) * 10 // 3 + 50  # 3 tenths of these are the prefix in hash order: just above 65,536
+    text = " ".join(f"{i:x}" for i in range(n))
+    rows = [(1, text, "s"), (2, text + " end", "s"), (3, "other words than these are in it", "s")]
+    assert found(make_docs(spark, rows)) == [(1, n - 4, 1), (2, n - 3, 1), (3, 3, 3)]
+
+
 def test_query_on_whole_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in E.queries()["op10_ngram_jaccard"](spark, SF_SMALL).collect()), key=repr) == brute(docs)

@@ -168,7 +168,7 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
         hit = shared & (own != MANY)
         cut = np.searchsorted(rows[hit], np.arange(table.num_rows + 1))
         own = own[hit]
-        counts = [np.bincount(own[a:b]).astype(np.uint16).tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+        counts = [np.bincount(own[a:b]).astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:], strict=False)]
         return pa.table({"block": table["block"], "counts": pa.array(counts, pa.binary()), "meta": table["meta"]})
 
     def decide(table: pa.Table) -> pa.Table:
@@ -176,7 +176,7 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
         n = meta["n"].to_numpy()
         seen = meta["here"].to_numpy().astype(np.int64).copy()
         for counts in table["counts"].to_pylist():
-            c = np.frombuffer(counts, np.uint16)
+            c = np.frombuffer(counts, np.uint32)
             seen[:len(c)] += c
         _, need = _hash_prefix(n, percent)
         return pa.table({"id": meta["id"], "d1": meta["d1"], "d2": meta["d2"], "n": meta["n"], "possible": pa.array((n > 0) & (seen >= need))})
