@@ -42,6 +42,22 @@ def test_every_prefix_and_truncation(spark, library, monkeypatch):
         assert SPECIAL[r.doc_id].startswith(r.text) and library(r.text) <= 3
 
 
+def test_over_limit_texts_without_spaces(spark, library, monkeypatch):
+    monkeypatch.setattr(T, "LONG_PIECE", 24)
+    texts = ["日本語のテキストを、空白なしで書く。" * 6, "aGVsbG8gd29ybGQ+/x9Zk" * 9, "function(a){return!a<|endoftext|>&&'ll've}" * 4,
+             "GATTACAcatgat" * 12, "Thequickbrownfoxjumpsoverthelazydogandgoesaway" * 3, "e\u0301a" * 40, "lead " + "ΣſtﬁÅ漢" * 20]
+    docs = make_docs(spark, [(i, s, "s") for i, s in enumerate(texts)])
+    for limit in (1, 17, 40):
+        for r in T.token_counts(docs, PATH, limit).collect():
+            text = texts[r.doc_id]
+            fits = [i for i in range(len(text) + 1) if library(text[:i]) <= limit]
+            assert r.over_limit and r.fit_bytes == len(text[:fits[-1]].rstrip().encode()), (text, limit)
+        assert all(r.text for r in T.truncate_to_tokens(docs, PATH, limit).collect())
+    for r in T.token_counts(docs, PATH, 5, with_prefixes=True).collect():
+        raw = texts[r.doc_id].encode()
+        assert [library(raw[:b].decode()) for b in r.prefix_bytes] == r.prefix_tokens
+
+
 def test_edges(spark, edge_docs, clashing_docs, no_docs, library):
     for docs in (edge_docs, clashing_docs):
         got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in T.token_counts(docs, PATH).collect())
