@@ -79,6 +79,14 @@ def test_very_long_copies_in_one_shard(spark, monkeypatch):
     assert found(make_docs(spark, rows)) == [(1, n - 4, 1), (2, n - 3, 1), (3, 3, 3)]
 
 
+def test_null_id_near_copies(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(5, " ".join(words), "s"), (None, " ".join([*words, "more"]), "s"), (None, "another text of a null id", "s"), (6, "a text of its own here", "s")]
+    docs = make_docs(spark, rows)
+    assert found(docs) == brute([r[:2] for r in rows])
+    assert [r.component_id for r in J.ngram_components(docs).collect() if r.n_shingles == 57] == [5]
+
+
 def test_query_on_whole_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in E.queries()["op10_ngram_jaccard"](spark, SF_SMALL).collect()), key=repr) == brute(docs)

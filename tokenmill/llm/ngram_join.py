@@ -309,11 +309,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     name a component unless all its ids are null; other columns are ignored;
     an empty table gives none.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # a set is read again by the id and text hash of one of its rows; the struct is never null, so null ids match too
+    row = F.struct(F.col(id_col).alias("i"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    source = docs.select(row.alias("id"), F.col(text_col).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = (lambda tokens: int(min(MAX_SHARDS, max(16, tokens // ENTRIES_PER_SHARD))))
     judged = materialize(documents_with_partners(source, percent, k, shards(size // 20)), "ngram-judged")
-    classes = judged.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("least"))
+    classes = judged.filter("n > 0").groupBy("d1", "d2").agg(F.min("id.i").alias("least"))
     first = materialize(judged.filter("possible").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.max("n").alias("n")), "ngram-first")
     rest = first.agg(F.count("*").alias("rows"), F.sum("n").alias("tokens")).first()
     ids = first.select("id").distinct()
@@ -327,8 +329,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     merged = merged.join(merged.groupBy("root").agg(F.min("least").alias("component")), "root").select("d1", "d2", "component")
     alone = classes.filter("root is null").select("d1", "d2", F.col("least").alias("component"))
     out = judged.join(merged.unionByName(alone), ["d1", "d2"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id.i"))
+    return out.select(F.col("id.i").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, k: int = SHINGLE) -> DataFrame:
