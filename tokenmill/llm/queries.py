@@ -11,6 +11,7 @@ from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.license_scan import scan_licenses
 from tokenmill.llm.lm_scoring import score_documents
+from tokenmill.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import ngram_components
 from tokenmill.llm.sharding import shard_documents
@@ -78,6 +79,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str, block_levels: int = 4) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = leaf_digest([*map(F.col, fields[:-1]), F.when(tampered, lowered).otherwise(F.col("text"))])
+    found = merkle_manifest(docs, fields, "doc_id", "lang", claim, block_levels=block_levels)
+    found = found.withColumn("folded_root", fold(F.col("claim"), F.col("proof")))
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -90,4 +103,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": op8_source_mixing,
         "op9_token_counts": op9_token_counts,
         "op10_ngram_jaccard": op10_ngram_jaccard,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
