@@ -62,6 +62,25 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
 
+CHAT_FORMAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'),
+marked AS (
+  SELECT *, CASE WHEN regexp_matches(text, '<\|[A-Za-z0-9_]+\|>') OR regexp_matches(text, '<\\+\|')
+    THEN length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) ELSE length(text) END AS text_chars,
+  CASE WHEN regexp_matches(role, '[\\\n]') OR regexp_matches(role, '<\|[A-Za-z0-9_]+\|>')
+    THEN length(replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<|', '<\|')) ELSE length(role) END AS role_chars
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + role_chars + text_chars)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 def crc32(text: str) -> str:
     """Unsigned CRC-32 of an ASCII string, bit by bit."""
     byte = "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, (x & 1) * 3988292384))"
@@ -117,5 +136,6 @@ def sql() -> dict[str, str]:
         "op6_exact_dedup": EXACT_DEDUP,
         "op7_benchmark_decontamination": DECONTAMINATION,
         "op10_ngram_jaccard": NGRAM_JACCARD,
+        "op11_chat_format": CHAT_FORMAT,
         "op12_merkle_manifest": merkle_manifest(),
     }
