@@ -130,6 +130,26 @@ FROM t{last} CROSS JOIN m{last} m
 """
 
 
+PERIODIC_RUNS = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w, {crc32("doc_id::VARCHAR")} AS h FROM documents),
+part AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+planted AS MATERIALIZED (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+  list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w FROM part),
+words AS MATERIALIZED (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM planted),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, min(i) AS s, count(*) + q AS length, q FROM islands GROUP BY doc_id, q, island HAVING count(*) >= greatest(12 - q, q)),
+runs AS MATERIALIZED (SELECT doc_id, s, length, min(q) AS q FROM stretches GROUP BY doc_id, s, length),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+  arg_min(struct_pack(s, length, q), struct_pack(l := -length, s := s, q := q)) AS best FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.length AS length, best.q AS period,
+  1000 * best.length // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def sql() -> dict[str, str]:
     return {
         "op2_url_filters": URL_FILTERS,
@@ -138,4 +158,5 @@ def sql() -> dict[str, str]:
         "op10_ngram_jaccard": NGRAM_JACCARD,
         "op11_chat_format": CHAT_FORMAT,
         "op12_merkle_manifest": merkle_manifest(),
+        "op13_periodic_runs": PERIODIC_RUNS,
     }

@@ -6,9 +6,10 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.functions.ids import let
 from tokenmill.llm.chat_format import format_conversations, parse, unescape
 from tokenmill.llm.decontamination import find_contamination
 from tokenmill.llm.exact_dedup import exact_groups
@@ -18,6 +19,7 @@ from tokenmill.llm.lm_scoring import score_documents
 from tokenmill.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import ngram_components
+from tokenmill.llm.periodic_runs import periodic_runs
 from tokenmill.llm.sharding import shard_documents
 from tokenmill.llm.token_counts import token_counts
 from tokenmill.llm.toxicity import score_toxicity
@@ -139,6 +141,34 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str, block_levels: int = 4
                         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", planted_period(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def planted_period(doc_id: Column, text: Column) -> Column:
+    """The text; of every tenth document, by the CRC-32 of its id, with a tail of repeated words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def plant(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (F.floor((n - a) / (g % 8 + 3)) + 1).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), let(words, plant)).otherwise(text)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -153,4 +183,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_ngram_jaccard": op10_ngram_jaccard,
         "op11_chat_format": op11_chat_format,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_periodic_runs": op13_periodic_runs,
     }
