@@ -148,3 +148,34 @@ def test_rank_keys_with_shared_first_places(spark):
     table, bits = B.ranked_word_table(wf)
     assert bits is not None and table.count() == 3
     assert B.bpe_train(wf, 260).merges == [(97, 98), (256, 256), (99, 100)]
+
+
+def test_pairs_are_counted_once_and_a_dry_head_is_fetched_again(spark, monkeypatch):
+    wf = P.pretoken_counts(clean_documents(read_documents(spark, SF_SMALL))).cache()
+    rows = sorted(wf.collect(), key=lambda r: (r.first_doc, r.first_pos))
+    ref = train([(tuple(r.pretoken.encode()), r.freq) for r in rows], 150)
+    recount, counted = B.PairHead.recount, []
+    monkeypatch.setattr(B.PairHead, "recount", lambda self: (counted.append(1), recount(self))[1])
+    assert B.bpe_train(wf, 256 + 150 + 1).merges == ref
+    assert len(counted) == 1
+    assert B.bpe_train(wf, 256 + 150 + 1, fetch_k=12).merges == ref  # a head that runs dry, floors that rise
+    assert len(counted) > 3
+
+
+def test_many_ties(spark, monkeypatch):
+    """Ties inside words, between them, and first words that lose their pair; few are looked up at once."""
+    words = [(w, 1 + i % 2) for i, w in enumerate(["abcdefab", "xabc", "cdef", "efefcd", "abxy", "yxyxab", "qrst", "tsrq", "rstabc", "zzzz", "zzz"])]
+    ref = train([(tuple(w.encode()), f) for w, f in words], 25)
+    for looked_up in (B.LOOKED_UP, 0):
+        monkeypatch.setattr(B, "LOOKED_UP", looked_up)
+        assert B.bpe_train(_wf(spark, words), 256 + 25 + 1).merges == ref
+
+
+def test_a_tied_walk_ends_before_the_first_conflict():
+    tied = [(1, 2, 0), (3, 4, 1), (5, 6, 2), (2, 7, 2), (8, 9, 3)]
+    assert B.tied_batch(tied, True, 10) == [(1, 2), (3, 4)]  # (5, 6) begins in the word in which the conflict does
+    assert B.tied_batch(tied[:3], False, 10) == [(1, 2), (3, 4)]
+    assert B.tied_batch(tied[:3], True, 2) == [(1, 2), (3, 4)]
+    assert B.tied_batch([(1, 1, 0), (3, 4, 1)], True, 10) == [(1, 1)]
+    assert B.conflict_count([(1, 2, 9), (3, 4, 8), (2, 5, 7), (6, 6, 7)]) == 7
+    assert B.conflict_count([(1, 2, 9), (3, 4, 8)]) is None

@@ -1,42 +1,58 @@
-"""Byte-level BPE training as an iterative Spark job.
+"""Byte-level BPE training as an iterative Spark job with incremental pair counts.
 
 Words are distinct pretokens held as strings with one character per token id
 (see ``tokenmill.functions.ids``).  A merge is ``replace(w, ab, X)``, whose
 left-to-right non-overlapping semantics are those of a BPE merge.
 
-Each round runs one Spark job: pair presence counts over all words (map-side
-combined aggregate, then a bounded top-k to the driver).  From the ranked list
-the driver takes a *batch* of merges that provably equals what one-at-a-time
-training would pick:
+All pairs are counted once.  The driver keeps the *head*: every pair counted above
+a floor, at most ``2 * fetch_k`` of them, with its exact count and first word.  Merging
+changes the counts of few pairs, so a round is one job that
 
-* walk the ranked pairs, adding ``(c, d)`` until the first pair that conflicts
-  with the batch — ``c`` is the right element of a batch pair, ``d`` the left
-  element of one, ``c == d``, or the head itself is a self-pair (merged alone);
-* let ``s`` be the count of that first conflicting pair (or of the last fetched
-  pair when nothing in the fetched list conflicts, or 0 when the list holds
-  every pair); keep the head and the members with count strictly above ``s``.
+1. picks the words that hold a pair of the batch (a scan of the word column, no
+   shuffle), merges them and lists the pairs each one lost and gained;
+2. sums these changes by pair and returns those of the head's pairs and of new
+   pairs above the floor.
 
-Batch members never overlap inside a word, so merging one leaves the others'
-counts unchanged; counts of old pairs only fall; every new pair contains an
-old conflicting pair, so its count is at most ``s``.  Hence each kept member
-is still the arg-max when its turn comes.
+Counts of old pairs only fall, so no other pair can enter the head.  When the head
+runs dry, one count over all words fetches the next one: a few times in thousands of
+merges.  Words are written anew once ``PENDING_MERGES`` merges are pending.
+
+A round applies a *batch* of merges that equals what one-at-a-time training would
+pick.  Two pairs conflict if one begins with the token that the other ends with; a
+self-pair conflicts with all.  Let ``s`` be the largest count at which a pair conflicts
+with one of the same or a larger count (the floor, when the head has no conflict):
+
+* pairs counted above ``s`` never overlap inside a word, so merging one leaves the
+  others' counts unchanged; every new pair contains an old pair that conflicts with
+  the batch, so its count is at most ``s``.  All of them are merged, by rank;
+* if none is above, the pairs counted ``s`` are walked in the order of their first
+  places up to the first conflict.  A new pair that is counted ``s`` too contains a
+  conflicting pair of that count, so its first word is not before the first
+  conflict's; the head and all pairs whose first word is before that one are merged.
 
 Ranking contract: count desc, then the pair's first occurrence in corpus order
-(first word by ``(first_doc, first_pos)``, then position inside that word).
+(first word by ``(first_doc, first_pos)``, then position inside that word).  A
+pair's first word stays known until a word that lost the pair is that word; it is
+then looked up again, and only if the pair ties with another.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.constants import BYTE_VOCAB, EOT, MIN_TRAIN_VOCAB
-from tokenmill.functions.ids import char_id, id_char, latin1_word, let
+from tokenmill.functions.ids import char_id, id_char, latin1_word
 from tokenmill.session import default_parallelism, delete_scratch, materialize, path_exists, scratch_path
 
-MERGES_PER_PLAN = 64
+MERGES_PER_ROUND = 256
+PENDING_MERGES = 32
+HEAD_PAIRS = 2048
+LOOKED_UP = 64  # pairs whose first words one plan looks for
 
 
 @dataclass
@@ -71,6 +87,17 @@ def merge_word(word: Column, a: int, b: int, new_id: int) -> Column:
     return F.replace(word, F.lit(id_char(a) + id_char(b)), F.lit(id_char(new_id)))
 
 
+def merge_words(word: Column, merges: list[tuple[int, int, int]]) -> Column:
+    """Several merges, one after the other, as one expression.
+
+    The merges are data, an array constant, so that rounds with other merges run
+    code that is compiled already.
+    """
+    rows = [{"pair": id_char(a) + id_char(b), "id": id_char(new_id)} for a, b, new_id in merges]
+    constant = F.from_json(F.lit(json.dumps(rows)), "array<struct<pair: string, id: string>>")
+    return F.aggregate(constant, word, lambda w, m: F.replace(w, m["pair"], m["id"]))
+
+
 def word_table(word_freq: DataFrame) -> DataFrame:
     """``w, freq, first`` from ``pretoken, freq, first_doc, first_pos``; inert words dropped."""
     return word_freq.select(
@@ -149,18 +176,9 @@ def word_pair_stats(words: DataFrame, packed: bool = False) -> DataFrame:
     With ``packed`` words, ``first`` is a long (word rank | index in word) and
     the aggregate needs no struct buffer.
     """
-    exploded = words.select(
-        "freq",
-        "first",
-        F.posexplode(
-            let(
-                F.col("w"),
-                lambda w: F.array_distinct(
-                    F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))
-                ),
-            )
-        ).alias("idx", "pair"),
-    )
+    # a row per place; a pair counts where it stands first in its word
+    exploded = words.filter(F.length("w") >= 2).withColumn("idx", F.explode(F.sequence(F.lit(1), F.length("w") - 1)))
+    exploded = exploded.withColumn("pair", F.substring("w", F.col("idx"), F.lit(2))).filter(F.instr("w", F.col("pair")) == F.col("idx"))
     if packed:
         key = F.col("first").bitwiseOR(F.col("idx").cast("bigint"))
     else:
@@ -190,6 +208,33 @@ def choose_batch(ranked: list[tuple[int, int, int]], fetched_all: bool, room: in
     return kept[:room]
 
 
+def conflict_count(ranked: list[tuple[int, int, int]]) -> int | None:
+    """Largest count at which a pair of a list by count conflicts with one of the same or a larger count."""
+    lefts, rights = set(), set()
+    for count, group in groupby(ranked, key=lambda p: p[2]):
+        for a, b, _ in group:
+            if a == b or a in rights or b in lefts:
+                return count
+            lefts.add(a)
+            rights.add(b)
+    return None
+
+
+def tied_batch(tied: list[tuple[int, int, object]], complete: bool, room: int) -> list[tuple[int, int]]:
+    """Exact batch from pairs ``(a, b, first word)`` of one count, in the order of their first places."""
+    lefts, rights, end = set(), set(), None
+    for at, (a, b, word) in enumerate(tied):
+        if a == b or a in rights or b in lefts:
+            end = (at, word)
+            break
+        lefts.add(a)
+        rights.add(b)
+    if end is None:
+        end = (len(tied), None) if complete else (len(tied) - 1, tied[-1][2])
+    kept = [p for p in tied[:end[0]] if end[1] is None or p[2] < end[1]]
+    return [(a, b) for a, b, _ in (kept or tied[:1])[:room]]
+
+
 def validate_sizes(vocab_size: int, eot_id: int) -> None:
     if eot_id != vocab_size - 1:
         raise ValueError(f"the marker's id is the last of the vocabulary, {vocab_size - 1}, not {eot_id}")
@@ -197,35 +242,152 @@ def validate_sizes(vocab_size: int, eot_id: int) -> None:
         raise ValueError(f"a vocabulary of {vocab_size} has no room for a merge; the smallest is {MIN_TRAIN_VOCAB}")
 
 
-def _latest_state(spark: SparkSession, state_dir: str, digest: str) -> tuple[int, DataFrame, list[tuple[int, int]], int | None] | None:
-    """Last completed round under ``state_dir``: (round, words, merges, key bits)."""
+class PairHead:
+    """The words, the merges not yet written into them, and the most frequent pairs."""
+
+    def __init__(self, words: DataFrame, bits: int, fetch_k: int, kept: bool = False):
+        self.spark, self.words, self.bits, self.fetch_k = words.sparkSession, words, bits, fetch_k
+        self.kept, self.path = kept, None  # kept: the caller writes the words, and no table is removed
+        self.pending: list[tuple[int, int, int]] = []  # merges that the written words lack
+        self.counts: dict[str, int] = {}  # all pairs counted above the floor
+        self.first: dict[str, int | None] = {}  # their first words; None where to be looked up
+        self.floor = 0
+        self.tied: list[tuple[int, int, int]] = []  # if the pairs fetched have one count: in order, there may be more
+        self.recounts = 0
+
+    def current(self) -> DataFrame:
+        """The words with all merges; exploding keeps the optimiser from repeating the expression."""
+        merged = F.explode(F.array(merge_words(F.col("w"), self.pending)))
+        return self.words.select(merged.alias("w"), "freq", "first").filter(F.length("w") >= 2)
+
+    def recount(self) -> None:
+        """Fetch the head by a count over all words."""
+        top = (word_pair_stats(self.current(), packed=True)
+               .orderBy(F.col("cnt").desc(), F.col("first").asc()).limit(self.fetch_k).collect())
+        self.floor = int(top[-1]["cnt"]) if len(top) == self.fetch_k else 0
+        self.counts = {r["pair"]: int(r["cnt"]) for r in top if r["cnt"] > self.floor}
+        self.first = {r["pair"]: r["first"] >> self.bits for r in top if r["cnt"] > self.floor}
+        self.tied = [] if self.counts else [(*_ids(r["pair"]), r["first"] >> self.bits) for r in top]
+        self.recounts += 1
+
+    def next_batch(self, room: int) -> list[tuple[int, int]]:
+        """The next merges (see module doc), at most ``room``; none when no pair is left."""
+        if not self.counts:
+            self.recount()
+        if self.tied:
+            return tied_batch(self.tied, False, room)
+        ranked = [(*_ids(p), c) for p, c in sorted(self.counts.items(), key=lambda x: -x[1])]
+        if not ranked:
+            return []
+        bound = conflict_count(ranked)
+        above = [p for p in ranked if p[2] > (self.floor if bound is None else bound)]
+        if above:
+            last = above[:room][-1][2]
+            ordered = self._ordered([p for p in above if p[2] >= last])
+            return self.next_batch(room) if ordered is None else [(a, b) for a, b, _ in ordered[:room]]
+        ordered = self._ordered([p for p in ranked if p[2] == bound])
+        return self.next_batch(room) if ordered is None else tied_batch(ordered, True, room)
+
+    def _ordered(self, pairs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]] | None:
+        """(a, b, first word) by count and first place; None after a recount, which knows all first words."""
+        groups = [[id_char(a) + id_char(b) for a, b, _ in g] for _, g in groupby(pairs, key=lambda p: p[2])]
+        lost = [p for g in groups if len(g) > 1 for p in g if self.first[p] is None]
+        if len(lost) > LOOKED_UP:
+            self.recount()
+            return None
+        if lost:
+            hit = self.current().filter(_any_of("w", lost))
+            found = hit.select("first", F.explode(F.filter(F.array(*map(F.lit, lost)), lambda p: F.instr(F.col("w"), p) > 0)).alias("pair"))
+            for r in found.groupBy("pair").agg(F.min("first").alias("first")).collect():
+                self.first[r["pair"]] = r["first"] >> self.bits
+        shared = {}
+        for g in groups:
+            for word, own in groupby(sorted(g, key=lambda p: self.first[p]) if len(g) > 1 else [], key=lambda p: self.first[p]):
+                if len(list(own)) > 1:
+                    shared[word] = ""
+        if shared:
+            places = ", ".join(str(word << self.bits) for word in shared)
+            for r in self.current().filter(f"first IN ({places})").collect():
+                shared[r["first"] >> self.bits] += r["w"] + "\0\0"  # words that share a first place, one after the other
+        out = []
+        for g in groups:
+            by_place = sorted(g, key=lambda p: (self.first[p], shared[self.first[p]].find(p) if self.first[p] in shared else 0)) if len(g) > 1 else g
+            out += [(*_ids(p), self.first[p]) for p in by_place]
+        return out
+
+    def merge(self, batch: list[tuple[int, int]], first_id: int) -> None:
+        """Apply a batch and the changes it makes to the head."""
+        merges = [(a, b, first_id + k) for k, (a, b) in enumerate(batch)]
+        states = F.transform(F.array(merge_words(F.col("w"), self.pending)), lambda w: F.struct(w.alias("old"), merge_words(w, merges).alias("new")))
+        touched = self.words.select("freq", "first", F.explode(states).alias("x")).select("freq", "first", "x.old", "x.new").filter("new <> old")
+        # places of the old word count down from -1, of the new one up from 1
+        rows = touched.withColumn("i", F.explode(F.sequence(1 - F.length("old"), F.length("new") - 1))).filter("i <> 0")
+        rows = rows.withColumn("pair", F.when(F.col("i") > 0, F.substring("new", F.col("i"), F.lit(2))).otherwise(F.substring("old", -F.col("i"), F.lit(2))))
+        rows = rows.filter(F.when(F.col("i") > 0, (F.instr("new", F.col("pair")) == F.col("i")) & (F.instr("old", F.col("pair")) == 0))
+                           .otherwise((F.instr("old", F.col("pair")) == -F.col("i")) & (F.instr("new", F.col("pair")) == 0)))
+        rows = rows.groupBy("pair").agg(F.sum(F.signum("i").cast("long") * F.col("freq")).alias("delta"), F.min("first").alias("first"))
+        lefts, rights = {id_char(a) for a, _ in batch}, {id_char(b) for _, b in batch}
+        merged = {id_char(a) + id_char(b) for a, b in batch}
+        near = [p.encode().hex().upper() for p in self.counts if (p[1] in lefts or p[0] in rights) and p not in merged]
+        known = F.array_contains(F.split(F.lit(",".join(near)), ","), F.hex("pair"))
+        for r in rows.filter((F.col("delta") > F.lit(self.floor)) | known).collect():
+            pair, word = r["pair"], r["first"] >> self.bits
+            if r["delta"] > 0:
+                self.counts[pair], self.first[pair] = int(r["delta"]), word
+                continue
+            self.counts[pair] += int(r["delta"])
+            if self.first[pair] == word:
+                self.first[pair] = None
+        self.counts = {p: c for p, c in self.counts.items() if c > self.floor and p not in merged}
+        if len(self.counts) > 2 * self.fetch_k:  # keep the head short: raise the floor
+            self.floor = sorted(self.counts.values(), reverse=True)[self.fetch_k]
+            self.counts = {p: c for p, c in self.counts.items() if c > self.floor}
+        self.first = {p: self.first[p] for p in self.counts}
+        self.tied = []
+        self.pending += merges
+        if len(self.pending) >= PENDING_MERGES and not self.kept:
+            self.write()
+
+    def write(self, path: str | None = None) -> None:
+        """Write the words with all merges; tables that are read no more go."""
+        before, self.path = self.path, path or scratch_path(self.spark, "bpe-words")
+        self.current().write.mode("overwrite").parquet(self.path)
+        self.words, self.pending = self.spark.read.schema(self.words.schema).parquet(self.path), []
+        if before and not path:
+            delete_scratch(self.spark, before)
+
+
+def _ids(pair: str) -> tuple[int, int]:
+    return char_id(pair[0]), char_id(pair[1])
+
+
+def _any_of(word: str, pairs: list[str]) -> Column:
+    out = F.lit(False)
+    for pair in pairs:
+        out = out | F.col(word).contains(pair)
+    return out
+
+
+def _latest_state(spark: SparkSession, state_dir: str, digest: str) -> tuple[int, list[tuple[int, int]], int, int] | None:
+    """Last completed round under ``state_dir``: (round, merges, merges that the written words have, key bits)."""
     if not path_exists(spark, f"{state_dir}/input"):
         spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.parquet(f"{state_dir}/input")
     begun = spark.read.parquet(f"{state_dir}/input").first()[0]
     if begun != digest:
         raise ValueError(f"the training state in {state_dir} belongs to other words")
-    if not path_exists(spark, f"{state_dir}/merges"):
+    if not path_exists(spark, f"{state_dir}/rounds"):
         return None
-    done = spark.read.parquet(f"{state_dir}/merges")
-    last = done.agg(F.max("round")).collect()[0][0]
-    if last is None:
-        return None
-    rows = done.filter(F.col("round") == last).orderBy("rank").collect()
-    merges = [(int(r["a"]), int(r["b"])) for r in rows]
-    bits = rows[0]["bits"] if rows else None
-    words = spark.read.parquet(f"{state_dir}/words/round={int(last)}")
-    return int(last), words, merges, (None if bits is None or bits < 0 else int(bits))
+    done = spark.read.parquet(f"{state_dir}/rounds")
+    last = done.orderBy(F.col("round").desc()).first()
+    merges = done.select(F.explode("merges").alias("m")).distinct().orderBy("m.rank").collect()
+    return int(last["round"]), [(r["m"]["a"], r["m"]["b"]) for r in merges], int(last["written"]), int(last["bits"])
 
 
-def _save_state(spark: SparkSession, state_dir: str, rnd: int, words: DataFrame, merges, bits) -> DataFrame:
-    """Write the round's words, then its merge list (the list marks completion)."""
-    path = f"{state_dir}/words/round={rnd}"
-    words.write.mode("overwrite").parquet(path)
-    # A round always adds at least one merge, so the list is never empty here.
-    rows = [(rnd, r, a, b, -1 if bits is None else bits) for r, (a, b) in enumerate(merges)]
-    merges_df = spark.createDataFrame(rows, "round int, rank int, a int, b int, bits int")
-    merges_df.coalesce(1).write.mode("append").parquet(f"{state_dir}/merges")
-    return spark.read.parquet(path)
+def _save_round(spark: SparkSession, state_dir: str, rnd: int, merges: list[tuple[int, int]], new: int, written: int, bits: int) -> None:
+    """Record a round; the row, which comes last, marks completion."""
+    own = [(r, *merges[r]) for r in range(len(merges) - new, len(merges))]
+    row = spark.createDataFrame([(rnd, own, written, bits)], "round int, merges array<struct<rank: int, a: int, b: int>>, written int, bits int")
+    row.coalesce(1).write.mode("append").parquet(f"{state_dir}/rounds")
 
 
 def bpe_train(
@@ -233,24 +395,20 @@ def bpe_train(
     vocab_size: int,
     eot_id: int | None = None,
     *,
-    fetch_k: int = 256,
-    checkpoint_every: int = 1,
+    fetch_k: int = HEAD_PAIRS,
     state_dir: str | None = None,
 ) -> BpeModel:
     """Train merges on a word-frequency table (``pretoken_counts`` output).
 
-    Stops early when no pair is left.  Lineage is cut every
-    ``checkpoint_every`` rounds (default: every round) by writing the merged
-    word table to the shared checkpoint folder: replaying a chain of
-    ``replace`` projections costs more than writing the (distinct-word) table,
-    and a failed task never re-runs more than one round.
-
-    With ``state_dir`` (a shared folder) every round's word table and merge
-    list are kept there, and a new call with the same ``state_dir`` resumes
-    from the last completed round — after a driver failure, or to continue to
-    a larger vocabulary.  The state records which words it was made from, and a
-    call with other words raises.  Scratch tables that no later round reads are
-    removed.
+    Stops early when no pair is left.  The words are written to the shared
+    checkpoint folder whenever ``PENDING_MERGES`` merges wait to be applied, so
+    lineage stays short and a failed task re-runs its part of one scan.
+
+    With ``state_dir`` (a shared folder) the written words and every round's merges
+    are kept there, and a new call with the same ``state_dir`` resumes from the last
+    completed round — after a driver failure, or to continue to a larger
+    vocabulary.  The state records which words it was made from, and a call with
+    other words raises.  Scratch tables that no later round reads are removed.
     """
     spark = word_freq.sparkSession
     eot_id = vocab_size - 1 if eot_id is None else eot_id
@@ -260,45 +418,35 @@ def bpe_train(
         word_freq, _ = _written(word_freq, "bpe-input")  # read for the digest and for the words
     state = _latest_state(spark, state_dir, _digest(word_freq)) if state_dir else None
     if state is not None:
-        rounds, words, merges, bits = state
-        merges = merges[:num_merges]
+        rounds, merges, written, bits = state
+        schema = "w string, freq long, first long"
+        head = PairHead(spark.read.schema(schema).parquet(f"{state_dir}/words/merges={written}"), bits, fetch_k, True)
+        head.pending = [(a, b, BYTE_VOCAB + r) for r, (a, b) in enumerate(merges) if r >= written]
     else:
         words, bits = ranked_word_table(word_freq)  # written once, spread over all cores
-        merges, rounds = [], 0
-    old: list[str] = []
+        rounds, merges, written = 0, [], 0
+        if bits is None and not words.isEmpty():
+            raise ValueError("too many words to rank their first places in 62 bits")
+        head = PairHead(words, bits or 0, fetch_k, bool(state_dir))
+        if bits is None:
+            num_merges = 0  # no word has a pair
+        if state_dir:
+            head.write(f"{state_dir}/words/merges=0")
     while len(merges) < num_merges:
-        top = (
-            word_pair_stats(words, packed=bits is not None)
-            .orderBy(F.col("cnt").desc(), F.col("first").asc())
-            .limit(fetch_k)
-            .collect()
-        )
-        if not top:
+        batch = head.next_batch(min(MERGES_PER_ROUND, num_merges - len(merges)))
+        if not batch:
             break
-        ranked = [(char_id(r["pair"][0]), char_id(r["pair"][1]), int(r["cnt"])) for r in top]
-        batch = choose_batch(ranked, len(top) < fetch_k, num_merges - len(merges))
-        w = F.col("w")
-        for k, (a, b, _) in enumerate(batch):
-            new_id = BYTE_VOCAB + len(merges)
-            merges.append((a, b))
-            w = merge_word(w, a, b, new_id)
-            if (k + 1) % MERGES_PER_PLAN == 0 and k + 1 < len(batch):  # long chains of replacements plan slowly
-                words, path = _written(words.withColumn("w", w), "bpe-words")
-                old.append(path)
-                w = F.col("w")
-        words = words.withColumn("w", w).filter(F.length("w") >= 2)
+        head.merge(batch, BYTE_VOCAB + len(merges))
+        merges += batch
         rounds += 1
         if state_dir:
-            words = _save_state(spark, state_dir, rounds, words, merges, bits)
-        elif rounds % checkpoint_every == 0:
-            # Cut lineage: later rounds re-read this table, not the replace chain.
-            words, path = _written(words, "bpe-words")
-            old.append(path)
-        while len(old) > 1:  # tables before the last one are read no more
-            delete_scratch(spark, old.pop(0))
-    for path in old:
-        delete_scratch(spark, path)
-    return BpeModel(merges=merges, vocab_size=vocab_size, eot_id=eot_id, rounds=rounds)
+            if len(head.pending) >= PENDING_MERGES:
+                written = len(merges)
+                head.write(f"{state_dir}/words/merges={written}")
+            _save_round(spark, state_dir, rounds, merges, len(batch), written, head.bits)
+    if head.path and not state_dir:
+        delete_scratch(spark, head.path)
+    return BpeModel(merges=merges[:num_merges], vocab_size=vocab_size, eot_id=eot_id, rounds=rounds)
 
 
 def bpe_vocab(model: BpeModel, spark: SparkSession) -> DataFrame:
