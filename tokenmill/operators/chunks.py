@@ -59,9 +59,9 @@ def raw_file_layout(spark, path: str, delimiter: str = EOT) -> DataFrame:
     Each segment is followed by the delimiter, but for the last one of a file
     that does not itself end with the delimiter (as its length tells).
     """
-    from tokenmill.sources.corpus import ORDER_COLS, file_key, with_sequence
+    from tokenmill.sources.corpus import ORDER_COLS, file_key, segments, with_sequence
 
-    raw = spark.read.option("lineSep", delimiter).option("recursiveFileLookup", "true").text(path).select(
+    raw = segments(spark, path, delimiter).select(
         file_key(F.col("_metadata.file_path")).alias("file_key"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block_start"),

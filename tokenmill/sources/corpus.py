@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tokenmill.constants import DOC_SUFFIX, EOT
 from tokenmill.functions.text import strip_ws, utf8_decode
 from tokenmill.operators.ordered import global_rank
-from tokenmill.session import materialize, path_exists
+from tokenmill.session import materialize
+from tokenmill.sources.commits import commit_run, drop_replaced, next_run, run_path, snapshot_paths
 
 ORDER_COLS = ("file_key", "block_start", "row_id")
-MANIFEST = "_runs"  # hidden from readers of the texts
 
 
 def file_key(path: Column) -> Column:
@@ -30,6 +30,16 @@ def file_key(path: Column) -> Column:
     return F.regexp_replace(padded, r"/part-0*(\d{16})", "/part-$1")
 
 
+def segments(spark: SparkSession, path: str, delimiter: str = EOT) -> DataFrame:
+    """The corpus' files, cut at the delimiter: ``value`` and Spark's ``_metadata``."""
+    paths = snapshot_paths(spark, path)
+    reader = spark.read.option("lineSep", delimiter).option("recursiveFileLookup", "true")
+    if paths:
+        return reader.text(paths)
+    meta = "struct<file_path: string, file_size: bigint, file_block_start: bigint>"
+    return spark.createDataFrame([], f"value string, _metadata {meta}")
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -44,9 +54,10 @@ def read_corpus(
     ``(file_key, block_start, row_id)`` orders documents as they appear in
     the files, and files by run and part number.  Text-mode newline handling (``\\r\\n`` and ``\\r`` → ``\\n``) and
     the UTF-8 error policy are applied; documents are stripped and empty ones
-    dropped unless ``keep_empty``.
+    dropped unless ``keep_empty``.  Of a folder that ``write_corpus`` made, the
+    runs of its last committed snapshot are read.
     """
-    raw = spark.read.option("lineSep", delimiter).option("recursiveFileLookup", "true").text(path)
+    raw = segments(spark, path, delimiter)
     df = raw.select(
         file_key(F.col("_metadata.file_path")).alias("file_key"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -73,13 +84,6 @@ def with_sequence(df: DataFrame, order_cols: Sequence[str] = ORDER_COLS, out_col
     return rows.join(ranks, list(order_cols))
 
 
-def _next_run(spark: SparkSession, path: str) -> int:
-    """Number of the next run: one behind the last that the manifest lists."""
-    manifest = f"{path.rstrip('/')}/{MANIFEST}"
-    last = spark.read.parquet(manifest).agg(F.max("run")).first()[0] if path_exists(spark, manifest) else None
-    return 0 if last is None else int(last) + 1
-
-
 def write_corpus(
     df: DataFrame,
     path: str,
@@ -91,13 +95,17 @@ def write_corpus(
 ) -> DataFrame:
     """Write ``text + "\n\n<|endoftext|>\n\n"`` per document; return a report.
 
-    Each call writes a folder ``run-NNNNNN`` of its own; ``mode="append"``
-    continues with the next number, ``"overwrite"`` empties the corpus first.
-    With ``order_cols`` a run is range-sorted.  Readers order by run, then part
-    number, so documents come back in the order in which they were written.  A
-    manifest row ends the run.  A dry run writes nothing.  The one-row report,
-    gathered while writing, has ``docs`` and ``bytes``.
+    Each call writes a folder ``run-NNNNNN`` of its own and commits it with a row of
+    the log (see ``commits``): readers see the corpus without the run or with
+    all of it.  ``mode="append"`` adds the run, ``"overwrite"`` makes it the whole
+    corpus and then removes the runs that it replaced.  A writer that dies leaves
+    the last snapshot as it was.  With ``order_cols`` a run is range-sorted.  Readers
+    order by run, then part number, so documents come back in the order in which
+    they were written.  A dry run writes nothing.  The one-row report, gathered
+    while writing, has ``docs`` and ``bytes``.
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"a corpus is written by overwrite or append, not {mode}")
     spark = df.sparkSession
     suffix = len(DOC_SUFFIX.encode("utf-8"))
     out = df.select(F.col(text_col).alias("value"), *[c for c in order_cols or [] if c != "value"])
@@ -106,13 +114,13 @@ def write_corpus(
         return out.agg(*counts)
     if order_cols:
         out = out.orderBy(*order_cols)
-    if mode == "overwrite":
-        spark.createDataFrame([], "value string").write.mode("overwrite").text(path)
-    run = _next_run(spark, path)
+    run = next_run(spark, path)
     seen = Observation()
-    out.observe(seen, *counts).select("value").write.mode("overwrite").option("lineSep", DOC_SUFFIX).text(f"{path.rstrip('/')}/run-{run:06d}")
+    out.observe(seen, *counts).select("value").write.mode("error").option("lineSep", DOC_SUFFIX).text(run_path(path, run))
     report = spark.createDataFrame([(seen.get["docs"], seen.get["bytes"])], "docs bigint, bytes bigint")
-    report.withColumn("run", F.lit(run)).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{MANIFEST}")
+    commit_run(spark, path, run, mode, report)
+    if mode == "overwrite":
+        drop_replaced(spark, path)
     return report
 
 
@@ -120,7 +128,8 @@ def clean_corpus(spark: SparkSession, source: str, target: str | None = None, *,
     """Read a corpus, drop later copies of equal documents (in file order), write it; return the report.
 
     The report has ``docs_read``, ``docs_written``, ``duplicates`` and
-    ``bytes_written``; a dry run only counts.
+    ``bytes_written``; a dry run only counts.  In place (no ``target``) the old
+    texts stay the corpus until the new ones are committed.
     """
     from tokenmill.operators.dedupe import dedupe_exact
 

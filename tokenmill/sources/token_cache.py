@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tokenmill.operators.ordered import global_rank
 from tokenmill.operators.windows import sample_windows, window_examples, with_halo
 from tokenmill.session import materialize, path_exists
+from tokenmill.sources.commits import snapshot_paths
 
 META = ("source_path string, source_size_bytes bigint, vocab_size int, eot_token_id int, merges_sha256 string, "
         "block_size int, halo int, n_tokens bigint")
@@ -28,8 +29,11 @@ IDENTITY = ("source_path", "source_size_bytes", "vocab_size", "eot_token_id", "m
 
 
 def source_size(spark: SparkSession, path: str) -> int:
-    """Bytes of the source's files; their contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    """Bytes of the source's files (of a corpus: its snapshot's); their contents are not read."""
+    paths = snapshot_paths(spark, path)
+    if not paths:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     return int(files.agg(F.sum("length")).first()[0] or 0)
 
 
