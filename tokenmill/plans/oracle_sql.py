@@ -391,6 +391,12 @@ def io_sql() -> dict[str, str]:
 
 def stream_sql() -> dict[str, str]:
     return {
+        "stream_token_cache": f"""WITH docs AS (SELECT NOT coalesce(d.lang = 'en', false) AS late, c.doc_id,
+              {enc_text_sql('c.text')} || '<{FIXED_EOT}>' AS e FROM {CLEAN_DOCS_F} c JOIN documents d USING (doc_id)),
+            ids AS (SELECT late, doc_id, unnest(string_split({ids_str_sql('e')}, ' '))::BIGINT AS id,
+              generate_subscripts(string_split({ids_str_sql('e')}, ' '), 1) AS place FROM docs),
+            placed AS (SELECT id, row_number() OVER (ORDER BY late, doc_id, place) - 1 AS n FROM ids)
+            SELECT n // 4096 AS block_id, count(*) AS n_tokens, sum(id * (n % 4096 + 1))::BIGINT AS checksum FROM placed GROUP BY 1""",
         "stream_corpus": f"SELECT text FROM {CLEAN_DOCS_F}",
         "stream_clean": f"SELECT doc_id, text FROM {CLEAN_DOCS_F}",
         "stream_dedupe": f"SELECT DISTINCT {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}",

@@ -31,6 +31,7 @@ from tokenmill.sources import token_cache as TC
 from tokenmill.sources import tokenizer_io as TIO
 from tokenmill.sources.tables import read_documents, read_table, skip_rows
 from tokenmill.streaming import ops as ST
+from tokenmill.streaming import token_sink as TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -682,7 +683,20 @@ def q_stream_encode(spark, sf):
     )
 
 
+def q_stream_token_cache(spark, sf):
+    """Token blocks of a corpus that arrives in two runs, encoded by two runs of one stream."""
+    src, cache, ck = scratch_path(spark, "in"), scratch_path(spark, "cache"), scratch_path(spark, "ckpt")
+    for part, mode in zip(_resume_split(spark, sf), ("overwrite", "append"), strict=True):
+        IO.write_corpus(C.clean_documents(part), src, order_cols=["doc_id"], mode=mode)
+        TS.stream_token_cache(spark, src, fixed_model(), cache, ck)
+    blocks, _ = TS.read_stream_cache(spark, cache)
+    weighted = F.transform("ids", lambda x, i: x.cast("bigint") * (i + 1))
+    return blocks.select("block_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                         F.aggregate(weighted, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("checksum"))
+
+
 _REGISTRY_STREAM = {
+    "stream_token_cache": q_stream_token_cache,
     "stream_corpus": q_stream_corpus,
     "stream_clean": q_stream_clean,
     "stream_dedupe": q_stream_dedupe,
