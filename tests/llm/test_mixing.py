@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import SF_SMALL, clashing_docs, edge_docs, make_docs, no_docs  # noqa: F401
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tokenmill.llm import mixing as M
@@ -87,3 +88,53 @@ def test_edges(spark, edge_docs, clashing_docs, no_docs):
     assert mixed.columns == clashing_docs.columns
     assert mixed.count() == sum(r.copies for r in M.mix_sources(edge_docs).collect())
     assert M.mix_sources(no_docs).count() == 0 == M.mixed_documents(no_docs).count()
+
+
+def bands(lengths, counts, take):
+    """Share of the documents taken in each of ten bands of lengths with equally many documents."""
+    at = np.minimum(9, (np.cumsum(counts) - counts) * 10 // counts.sum())
+    return np.array([take[at == b].sum() / counts[at == b].sum() for b in range(10)])
+
+
+@pytest.mark.parametrize("share", [0.3, 0.456, 0.54, 0.9])
+def test_share_is_flat_over_lengths_and_the_choice_differs_by_seed(share):
+    sizes = np.random.default_rng(1).lognormal(6.3, 1.1, 20_000).astype(np.int64) + 1
+    lengths, counts = np.unique(sizes, return_counts=True)
+    budget, chosen = int(share * sizes.sum()), []
+    for seed in (1, 2, 3):
+        take = M.fit_budget(lengths, counts, budget, seed=seed)
+        assert int((lengths * take).sum()) == budget
+        assert np.abs(bands(lengths, counts, take) - share).max() < 0.03
+        rare = counts == 1  # a length of one document is taken as often as others
+        assert abs(take[rare].mean() - share) < 0.06
+        chosen.append(take)
+    assert all((a != b).mean() > 0.1 for a, b in itertools.combinations(chosen, 2))
+
+
+def test_share_is_flat_in_small_sources():
+    rng, out = np.random.default_rng(3), []
+    for seed in range(60):
+        lengths, counts = np.unique(rng.lognormal(6, 1, 120).astype(np.int64) + 1, return_counts=True)
+        out.append(bands(lengths, counts, M.fit_budget(lengths, counts, int(0.4 * (lengths * counts).sum()), seed=seed)))
+    assert np.abs(np.mean(out, axis=0) - 0.4).max() < 0.08
+
+
+def test_reruns_agree_on_rows_that_share_their_ids(spark):
+    rows = [(None if i % 2 else 7, f"{'word ' * (i % 5 + 1)}{i}", ["a", "b", None][i % 3]) for i in range(1500)]
+    docs = make_docs(spark, rows).withColumn("extra", F.sha2("text", 256))
+    one = M.mixed_documents(docs.repartition(3)).collect()
+    two = M.mixed_documents(docs.repartition(8, "extra").sortWithinPartitions(F.desc("text"))).collect()
+    assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, two), key=repr)
+    other = M.mixed_documents(docs, seed=24).collect()
+    assert sorted(map(tuple, one), key=repr) != sorted(map(tuple, other), key=repr)
+
+
+def test_the_pipeline_stage_is_fair_on_the_small_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = M.mix_sources(docs, max_repeats=3).collect()
+    for source in {r.source for r in rows}:
+        own = sorted((r for r in rows if r.source == source and r.size), key=lambda r: r.size)
+        least = min(r.copies for r in own)
+        half = len(own) // 2
+        more = [np.mean([r.copies > least for r in part]) for part in (own[:half], own[half:])] if half > 5 else [0, 0]
+        assert abs(more[0] - more[1]) < 0.6
