@@ -107,10 +107,9 @@ def _fill(lengths: np.ndarray, counts: np.ndarray, base: np.ndarray, budget: int
         left -= more * int(lengths[i])
     if left <= 0 or not (counts > take).any():
         return take
-    over = int(lengths[counts > take].min())  # the shortest document left: sums may pass the budget by less
-    mask, reached, steps = (1 << (left + over)) - 1, 1, []
+    mask, reached, steps = (1 << 2 * left) - 1, 1, []  # a sum twice as large is no nearer than none
     for i in order:
-        spare, pack = min(int(counts[i] - take[i]), (left + over - 1) // int(lengths[i])), 1
+        spare, pack = min(int(counts[i] - take[i]), (2 * left - 1) // int(lengths[i])), 1
         while spare > 0 and not reached >> left & 1:
             n = min(pack, spare)
             steps.append((i, n, reached))
