@@ -369,6 +369,10 @@ def io_sql() -> dict[str, str]:
         "append_corpus": f"""SELECT (row_number() OVER (ORDER BY NOT coalesce(d.lang = 'en', false), c.doc_id) - 1)::BIGINT AS doc_seq,
             {strip_sql("regexp_replace(c.text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS text
             FROM {CLEAN_DOCS_F} c JOIN documents d USING (doc_id)""",
+        "append_deduped": f"""WITH c AS (SELECT NOT coalesce(d.lang = 'en', false) AS late, c.doc_id, c.text, {fp_sql('c.text')} AS fp
+              FROM {CLEAN_DOCS_F} c JOIN documents d USING (doc_id)),
+            kept AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY fp ORDER BY late, doc_id) = 1)
+            SELECT row_number() OVER (ORDER BY late, doc_id) - 1 AS doc_seq, text, fp FROM kept""",
         "clean_corpus": f"""WITH c AS (SELECT doc_id,
               {fp_sql("regexp_replace(text, chr(13) || chr(10) || '?', chr(10), 'g')")} AS fp FROM {CLEAN_DOCS_F})
             SELECT (row_number() OVER (ORDER BY d) - 1)::BIGINT AS doc_seq, fp FROM (SELECT min(doc_id) AS d, fp FROM c GROUP BY fp)""",

@@ -27,6 +27,7 @@ from tokenmill.operators.ordered import global_rank
 from tokenmill.plans.tokenizer_jobs import bpe_train_corpus
 from tokenmill.session import materialize, scratch_path
 from tokenmill.sources import corpus as IO
+from tokenmill.sources import fingerprints as FP
 from tokenmill.sources import token_cache as TC
 from tokenmill.sources import tokenizer_io as TIO
 from tokenmill.sources.tables import read_documents, read_table, skip_rows
@@ -493,6 +494,14 @@ def q_append_corpus(spark, sf):
     return IO.with_sequence(IO.read_corpus(spark, path)).select("doc_seq", "text")
 
 
+def q_append_deduped(spark, sf):
+    """English documents, then the others, each appended without what the corpus has; the corpus read back."""
+    path = scratch_path(spark, "corpus")
+    for part in _resume_split(spark, sf):
+        FP.append_deduped(part, path)
+    return IO.with_sequence(IO.read_corpus(spark, path)).select("doc_seq", "text", fingerprint(F.col("text")).alias("fp"))
+
+
 def q_clean_corpus(spark, sf):
     """A corpus file deduplicated in file order, written again and read back."""
     path = scratch_path(spark, "corpus")
@@ -606,6 +615,7 @@ _REGISTRY_IO = {
     "write_corpus": q_write_corpus,
     "read_corpus": q_read_corpus,
     "append_corpus": q_append_corpus,
+    "append_deduped": q_append_deduped,
     "clean_corpus": q_clean_corpus,
     "raw_chunks": q_raw_chunks,
     "trained_roundtrip": q_trained_roundtrip,
