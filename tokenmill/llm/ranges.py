@@ -40,3 +40,14 @@ def with_range(df: DataFrame, key: Sequence[Column], bounds: Sequence[tuple], ou
 
     held = F.array(F.struct(*[c.alias(n) for c, n in zip(key, names, strict=True)]))
     return df.withColumn(out, F.get(F.transform(held, search), 0))
+
+
+def among(df: DataFrame, key: Sequence[Column], chosen: Sequence[tuple], out: str) -> DataFrame:
+    """Add ``out``: whether the row's key is one of the sorted ``chosen`` keys (their number must be bounded)."""
+    if not chosen:
+        return df.withColumn(out, F.lit(False))
+    found = with_range(df, key, chosen, out)
+    same = F.lit(True)
+    for part, values in zip(key, zip(*chosen, strict=True), strict=True):
+        same = same & part.eqNullSafe(F.get(_literal(values), F.col(out) - 1))
+    return found.withColumn(out, same)
