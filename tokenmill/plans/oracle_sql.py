@@ -251,6 +251,7 @@ def windows_sql() -> dict[str, str]:
     T, BATCH = 32, 32
     full = "(SELECT max_start FROM n)"
     base = "WITH " + _stream_ctes(CLEAN_DOCS_F, "doc_id", T, full, 42, "").lstrip().lstrip(",")
+    few = "WITH " + _stream_ctes(CLEAN_DOCS_F, "doc_id", T, "20", 42, "").lstrip().lstrip(",")
     offs_only = "WITH " + base[5:].split("tok AS MATERIALIZED")[0].rstrip().rstrip(",")
     tr = _stream_ctes(CLEAN_DOCS_F, "doc_id", T, "160000", 42, "t_")
     va = _stream_ctes(CONV_CLEAN, "conv_id, turn", T, "1024", 43, "v_")
@@ -264,6 +265,12 @@ def windows_sql() -> dict[str, str]:
         "batch_examples": f"""{base} SELECT (sample_id // {BATCH})::BIGINT AS batch_id, count(*)::BIGINT AS n_examples,
               sum(x_sum)::BIGINT AS x_sum, min(sample_id) AS first_sample
             FROM ex WHERE sample_id < ((SELECT max_start FROM n) // {BATCH}) * {BATCH} GROUP BY 1""",
+        "packed_batches": f"""{base} SELECT (sample_id // {BATCH})::BIGINT AS batch_id, count(*)::BIGINT AS n_examples,
+              sum((sample_id % {BATCH} + 1) * x_sum)::BIGINT AS x_wsum,
+              sum((sample_id % {BATCH} + 1) * (x_sum - first_id))::BIGINT AS y_wsum
+            FROM (SELECT ex.*, tok.id AS first_id FROM ex JOIN tok ON tok.pos = ex.start)
+            WHERE sample_id < ((SELECT max_start FROM n) // {BATCH}) * {BATCH} GROUP BY 1""",
+        "cache_few_windows": f"{few} SELECT sample_id, start, x_sum, x_wsum, y_wsum FROM ex",
         "holdout_examples": f"""WITH {tr.strip()}, {va.strip()}
             SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'train' AS split FROM t_ex
             UNION ALL SELECT sample_id, start, x_sum, x_wsum, y_wsum, 'val' AS split FROM v_ex""",
@@ -337,6 +344,8 @@ def more_sql() -> dict[str, str]:
               batch AS (SELECT min(doc_id) AS doc_id, min_by(text, doc_id) AS text, fp FROM c WHERE NOT earlier GROUP BY fp)
             SELECT doc_id, text, fp FROM batch WHERE fp NOT IN (SELECT fp FROM old)""",
         "chunk_boundaries": f"WITH {layout} SELECT idx, b AS byte_offset FROM ob",
+        "seek_boundaries": f"WITH {layout} SELECT idx, b AS byte_offset FROM ob",
+        "positioned_corpus": f"WITH {layout} SELECT text, start + nbytes + 2 AS end_byte FROM layout",
         "corpus_chunks": f"""WITH {layout},
             cpos AS (SELECT b, coalesce((SELECT min(cpos) FROM delims WHERE pos = b), CASE WHEN b = 0 THEN 0 END,
                      (SELECT sum(nchars + 17) FROM layout)) AS c FROM bounds)

@@ -26,6 +26,7 @@ from tokenmill.operators import windows as W
 from tokenmill.operators.ordered import global_rank
 from tokenmill.plans.tokenizer_jobs import bpe_train_corpus
 from tokenmill.session import materialize, scratch_path
+from tokenmill.sources import byteranges as BR
 from tokenmill.sources import corpus as IO
 from tokenmill.sources import fingerprints as FP
 from tokenmill.sources import token_cache as TC
@@ -330,6 +331,19 @@ def q_batch_examples(spark, sf):
     )
 
 
+def q_packed_batches(spark, sf):
+    """Every training batch as one row of nested arrays, summed with the place of each row in it."""
+    ex, k = _examples(spark, sf)
+    packed = W.packed_batches(ex, BATCH, k)
+
+    def weighted(rows):
+        per_row = F.transform(rows, lambda r, i: F.aggregate(r, F.lit(0).cast("bigint"), lambda a, v: a + v.cast("bigint")) * (i + 1))
+        return F.aggregate(per_row, F.lit(0).cast("bigint"), lambda a, v: a + v)
+
+    return packed.select("batch_id", F.size("x").cast("bigint").alias("n_examples"), weighted(F.col("x")).alias("x_wsum"),
+                         weighted(F.transform("y", lambda r: F.slice(r, 1, CONTEXT - 1))).alias("y_wsum"))
+
+
 def q_holdout_examples(spark, sf):
     train_ids, train_keys = _stream_docs(spark, sf, "documents")
     val_ids, val_keys = _stream_docs(spark, sf, "conversations")
@@ -347,6 +361,7 @@ _REGISTRY_WINDOWS = {
     "sample_windows": q_sample_windows,
     "window_examples": q_window_examples,
     "batch_examples": q_batch_examples,
+    "packed_batches": q_packed_batches,
     "holdout_examples": q_holdout_examples,
 }
 
@@ -437,6 +452,7 @@ def q_dedupe_resume(spark, sf):
 # ---- corpus chunking over the written-corpus layout ------------------------------------------
 
 NUM_CHUNKS = 8
+FEW_WINDOWS = 20
 ROUNDTRIP_MERGES = 200
 
 
@@ -517,6 +533,17 @@ def q_raw_chunks(spark, sf):
     return K.corpus_chunks(lay, K.chunk_boundaries(lay, NUM_CHUNKS, ("doc_seq",)))
 
 
+def q_seek_boundaries(spark, sf):
+    """Boundaries of a written corpus, found by seeking to each guess."""
+    bounds, _ = BR.seek_boundaries(spark, _written_corpus(spark, sf), NUM_CHUNKS)
+    return spark.createDataFrame(list(enumerate(bounds)), "idx bigint, byte_offset bigint")
+
+
+def q_positioned_corpus(spark, sf):
+    """Documents of a written corpus with the byte at which each ends, read in ranges of a megabyte."""
+    return BR.positioned_corpus(spark, _written_corpus(spark, sf), range_bytes=1 << 20).select("text", "end_byte")
+
+
 def q_trained_roundtrip(spark, sf):
     """Train on the documents, encode them with the result, decode again."""
     model = B.bpe_train(_word_freq(spark, sf), 256 + ROUNDTRIP_MERGES + 1)
@@ -611,6 +638,14 @@ def q_cache_windows(spark, sf):
     return W.window_checksums(examples)
 
 
+def q_cache_few_windows(spark, sf):
+    """A handful of training windows; of the cache only the parts that hold them are read."""
+    path = scratch_path(spark, "token-cache")
+    TC.write_token_cache(_cache_blocks(spark, sf), path, part_blocks=4, **_cache_meta(spark, sf))
+    examples, _ = TC.cached_examples(spark, path, CONTEXT, FEW_WINDOWS, SEED)
+    return W.window_checksums(examples)
+
+
 _REGISTRY_IO = {
     "write_corpus": q_write_corpus,
     "read_corpus": q_read_corpus,
@@ -618,9 +653,12 @@ _REGISTRY_IO = {
     "append_deduped": q_append_deduped,
     "clean_corpus": q_clean_corpus,
     "raw_chunks": q_raw_chunks,
+    "seek_boundaries": q_seek_boundaries,
+    "positioned_corpus": q_positioned_corpus,
     "trained_roundtrip": q_trained_roundtrip,
     "token_totals": q_token_totals,
     "cache_windows": q_cache_windows,
+    "cache_few_windows": q_cache_few_windows,
     "bpe_train_corpus": q_bpe_train_corpus,
     "write_tokenizer": q_write_tokenizer,
     "read_tokenizer": q_read_tokenizer,

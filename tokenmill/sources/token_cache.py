@@ -1,6 +1,7 @@
 """Token cache: the encoded stream as Parquet blocks plus a metadata row.
 
-Layout under ``path``: ``blocks`` (``block_id BIGINT, ids ARRAY<INT>``) and
+Layout under ``path``: ``blocks`` (``block_id BIGINT, ids ARRAY<INT>``, in folders
+``part=N`` of ``part_blocks`` successive blocks each, sorted) and
 ``meta``, one row that identifies what the blocks were made from: source path
 and size, vocabulary, EOT id, digest of the merge list, block size and halo.
 The row is taken away before blocks are written and put back after them, so a
@@ -23,7 +24,12 @@ from tokenmill.session import materialize, path_exists
 from tokenmill.sources.commits import snapshot_paths
 
 META = ("source_path string, source_size_bytes bigint, vocab_size int, eot_token_id int, merges_sha256 string, "
-        "block_size int, halo int, n_tokens bigint")
+        "block_size int, halo int, n_tokens bigint, part_blocks bigint")
+#: Blocks in a folder: half a gigabyte of ids at the default block size.
+PART_BLOCKS = 1 << 15
+#: Parts are read one by one if the windows are fewer than the parts by this factor.
+FEW = 2
+BLOCKS = "block_id bigint, ids array<int>"
 #: What has to agree for a cache to be used again.
 IDENTITY = ("source_path", "source_size_bytes", "vocab_size", "eot_token_id", "merges_sha256", "block_size", "halo")
 
@@ -56,14 +62,22 @@ def write_token_cache(
     block_size: int,
     halo: int = 0,
     merges_sha256: str | None = None,
+    part_blocks: int = PART_BLOCKS,
 ) -> None:
+    """Write the blocks and then the row that makes them a cache.
+
+    Successive blocks share a folder whose number follows from theirs, so a reader of
+    some blocks opens the folders that hold them, without listing the others.
+    """
     spark = blocks.sparkSession
     base = path.rstrip("/")
     _write_meta(spark, base, [])
-    blocks.select("block_id", "ids").write.mode("overwrite").parquet(f"{base}/blocks")
+    parted = blocks.select("block_id", "ids", F.floor(F.col("block_id") / part_blocks).cast("bigint").alias("part"))
+    (parted.repartition("part").sortWithinPartitions("part", "block_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("part").parquet(f"{base}/blocks"))
     own = F.least(F.size("ids"), F.lit(block_size))
     n = spark.read.parquet(f"{base}/blocks").agg(F.coalesce(F.sum(own), F.lit(0))).first()[0]
-    _write_meta(spark, base, [(source_path, source_size_bytes, vocab_size, eot_token_id, merges_sha256, block_size, halo, int(n))])
+    _write_meta(spark, base, [(source_path, source_size_bytes, vocab_size, eot_token_id, merges_sha256, block_size, halo, int(n), part_blocks)])
 
 
 def read_meta(spark: SparkSession, path: str) -> dict | None:
@@ -80,7 +94,7 @@ def read_token_cache(spark: SparkSession, path: str) -> tuple[DataFrame, dict |
         meta = read_meta(spark, base)
         if meta is None:
             raise ValueError(f"the token cache at {path} was not written to its end")
-        return spark.read.parquet(f"{base}/blocks"), meta
+        return spark.read.schema(BLOCKS).parquet(f"{base}/blocks").select("block_id", "ids"), meta
     df = spark.read.parquet(base)
     if df.columns == ["ids"]:
         rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), "ids"), "cache-rows")
@@ -88,6 +102,14 @@ def read_token_cache(spark: SparkSession, path: str) -> tuple[DataFrame, dict |
     raise ValueError(f"no token cache was found at {path}: neither blocks nor a table of ids")
 
 
+def read_cached_blocks(spark: SparkSession, path: str, meta: dict, parts: Sequence[int]) -> DataFrame:
+    """The blocks of some parts; no other folder is opened or listed."""
+    base = f"{path.rstrip('/')}/blocks"
+    if not parts:
+        return spark.createDataFrame([], BLOCKS)
+    return spark.read.schema(BLOCKS).parquet(*[f"{base}/part={p}" for p in sorted(set(parts))])
+
+
 def tokens_cached(
     spark: SparkSession,
     path: str,
@@ -116,14 +138,28 @@ def cached_examples(
     """``(examples, num_samples)``: training windows straight from a token cache.
 
     A cache whose blocks carry no halo, or a shorter one than the context, is
-    given one first: the head of each block goes to the block before.
+    given one first: the head of each block goes to the block before.  Where the
+    windows are few beside the parts, only their parts are read.
     """
     blocks, meta = read_token_cache(spark, path)
     if meta is None:
         raise ValueError("windows need the stream's length and block size, which a bare table of ids does not have")
-    size = meta["block_size"]
-    if meta["halo"] < context_length:
-        blocks = with_halo(blocks, context_length, size)
+    size, per_part = meta["block_size"], meta["part_blocks"]
     windows = sample_windows(spark, meta["n_tokens"], context_length, num_samples, seed)
     k = num_samples if num_samples is not None else meta["n_tokens"] - context_length - 1
+    lacks = meta["halo"] < context_length
+    if per_part and k * FEW < meta["n_tokens"] // (size * per_part) + 1:
+        parts = _parts_of(windows, size, per_part, lacks, meta["n_tokens"])
+        blocks = read_cached_blocks(spark, path, meta, parts)
+    if lacks:
+        blocks = with_halo(blocks, context_length, size)
     return window_examples(windows, blocks, context_length, size, num_samples=k), k
+
+
+def _parts_of(windows: DataFrame, block_size: int, per_part: int, with_next: bool, n_tokens: int) -> list[int]:
+    """Parts that hold the windows' blocks, and the blocks behind them if their heads are needed; at most two a window."""
+    block = F.floor(F.col("start") / block_size)
+    last = F.lit((n_tokens - 1) // block_size)
+    held = F.array(block, F.least(block + 1, last) if with_next else block)
+    parts = windows.select(F.explode(F.transform(held, lambda b: F.floor(b / per_part).cast("bigint"))).alias("part")).distinct()
+    return [r["part"] for r in parts.collect()]
