@@ -291,6 +291,8 @@ def scores_sql() -> dict[str, str]:
         nuc AS (SELECT vec_id, item, p / (sum(p) OVER (PARTITION BY vec_id) + 1e-12) AS p FROM kept)"""
     return {
         "softmax_scores": f"WITH {sm} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM sm",
+        "softmax_long": f"WITH {sm} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM sm",
+        "top_p_long": f"WITH {nuc} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM nuc",
         "top_p_filter": f"WITH {nuc} SELECT vec_id, item::BIGINT AS item, round(p, 6) AS prob FROM nuc",
         "weighted_choice": f"""WITH {nuc},
             cum AS (SELECT vec_id, item, p, sum(p) OVER (PARTITION BY vec_id ORDER BY p DESC, item

@@ -22,6 +22,7 @@ from tokenmill.operators import codec as X
 from tokenmill.operators import dedupe as D
 from tokenmill.operators import pretokenize as P
 from tokenmill.operators import scores as S
+from tokenmill.operators import scores_long as SL
 from tokenmill.operators import windows as W
 from tokenmill.operators.ordered import global_rank
 from tokenmill.plans.tokenizer_jobs import bpe_train_corpus
@@ -398,6 +399,22 @@ def q_top_p_filter(spark, sf):
     )
 
 
+def _long_probs(spark, sf):
+    long = _logits(spark, sf).select("vec_id", F.posexplode("logits").alias("item", "score"))
+    return SL.softmax_long(long, "vec_id", "item", "score", TEMPERATURE)
+
+
+def q_softmax_long(spark, sf):
+    """The softmax of scores that stand one a row."""
+    return _long_probs(spark, sf).select("vec_id", F.col("item").cast("bigint").alias("item"), F.round("prob", 6).alias("prob"))
+
+
+def q_top_p_long(spark, sf):
+    """The nucleus cut of scores that stand one a row."""
+    cut = SL.top_p_long(_long_probs(spark, sf), "vec_id", "item", "prob", TOP_P)
+    return cut.select("vec_id", F.col("item").cast("bigint").alias("item"), F.round("prob", 6).alias("prob"))
+
+
 def q_weighted_choice(spark, sf):
     n = _nucleus(spark, sf)
     pick = S.weighted_choice(F.col("dist"), S.md5_uniform(SEED, F.col("vec_id")))
@@ -421,6 +438,8 @@ def q_eval_loss(spark, sf):
 _REGISTRY_SCORES = {
     "softmax_scores": q_softmax_scores,
     "top_p_filter": q_top_p_filter,
+    "softmax_long": q_softmax_long,
+    "top_p_long": q_top_p_long,
     "weighted_choice": q_weighted_choice,
     "greedy_choice": q_greedy_choice,
     "eval_loss": q_eval_loss,
