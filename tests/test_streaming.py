@@ -21,6 +21,21 @@ def test_resume_only_emits_new_documents(spark, tmp_dir):
     assert out == ["a b", "c"] or out == ["a  b", "c"]
 
 
+def test_a_stream_on_an_existing_corpus_emits_only_new_documents(spark, tmp_dir):
+    from tokenmill.sources import fingerprints as FP
+
+    old, src, sink, ck = (f"{tmp_dir}/{name}" for name in ("old", "in", "out", "ck"))
+    df = spark.createDataFrame([(0, "a b"), (1, "c"), (2, "a  b"), (3, "d"), (4, "d "), (5, "e")], "doc_id long, text string")
+    FP.append_deduped(df.filter("doc_id < 2"), old)
+    IO.write_corpus(df.filter("doc_id in (1, 2, 3)"), src, order_cols=["doc_id"])
+    stream = ST.stream_dedupe(ST.stream_clean(ST.stream_corpus(spark, src)), known=FP.seen_fingerprints(spark, old))
+    ST.run_available_now(stream, sink, ck)
+    assert [r.text for r in spark.read.parquet(sink).collect()] == ["d"]
+    IO.write_corpus(df.filter("doc_id in (0, 4, 5)"), src, order_cols=["doc_id"], mode="append")
+    ST.run_available_now(stream, sink, ck)
+    assert sorted(r.text for r in spark.read.parquet(sink).collect()) == ["d", "e"]
+
+
 def test_bounded_batches(spark, tmp_dir):
     src, sink, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
     df = spark.range(6).select(F.col("id").alias("doc_id"), F.concat(F.lit("doc "), F.col("id").cast("string")).alias("text"))

@@ -415,6 +415,9 @@ def stream_sql() -> dict[str, str]:
         "stream_corpus": f"SELECT text FROM {CLEAN_DOCS_F}",
         "stream_clean": f"SELECT doc_id, text FROM {CLEAN_DOCS_F}",
         "stream_dedupe": f"SELECT DISTINCT {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}",
+        "stream_known": f"""WITH c AS (SELECT {fp_sql('text')} AS fp,
+              coalesce((SELECT lang FROM documents d WHERE d.doc_id = x.doc_id) = 'en', false) AS earlier FROM {CLEAN_DOCS_F} x)
+            SELECT DISTINCT fp FROM c WHERE fp NOT IN (SELECT fp FROM c WHERE earlier)""",
         "stream_resume": f"SELECT DISTINCT {fp_sql('text')} AS fp FROM {CLEAN_DOCS_F}",
         "stream_flush": f"SELECT text FROM {CLEAN_DOCS_F}",
         "stream_encode": f"""SELECT fp, {n_ids_sql('e')}::BIGINT AS n_tokens, {ids_str_sql('e')} AS ids FROM (

@@ -731,6 +731,17 @@ def q_stream_resume(spark, sf):
     return spark.read.parquet(sink).select("fp")
 
 
+def q_stream_known(spark, sf):
+    """A stream of all documents over a corpus of some: only fingerprints that the corpus lacks come out."""
+    ST.use_rocksdb_state(spark)
+    base, sink, ck = scratch_path(spark, "corpus"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    earlier, _ = _resume_split(spark, sf)
+    FP.append_deduped(earlier, base)
+    stream = ST.stream_rows(spark, _docs_glob(sf), DOC_SCHEMA).select("doc_id", "text")
+    ST.run_available_now(ST.stream_dedupe(ST.stream_clean(stream), known=FP.seen_fingerprints(spark, base)), sink, ck)
+    return spark.read.parquet(sink).select("fp")
+
+
 def q_stream_flush(spark, sf):
     sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
     stream = ST.stream_clean(ST.stream_corpus(spark, _written_corpus(spark, sf), max_files_per_trigger=1))
@@ -768,6 +779,7 @@ _REGISTRY_STREAM = {
     "stream_clean": q_stream_clean,
     "stream_dedupe": q_stream_dedupe,
     "stream_resume": q_stream_resume,
+    "stream_known": q_stream_known,
     "stream_flush": q_stream_flush,
     "stream_encode": q_stream_encode,
 }

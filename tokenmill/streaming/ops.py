@@ -84,9 +84,15 @@ def stream_dedupe(
     *,
     ttl: str | None = None,
     time_col: str = "ingest_time",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Drop documents whose fingerprint was already seen by this query.
 
+    ``known`` (a static frame with ``fp_col``, such as ``seen_fingerprints`` of a corpus)
+    names fingerprints that were there before the stream: their documents are dropped
+    by an anti-join before the state, which holds none of them.  The frame is read
+    in every micro-batch, which an index of 32-byte rows bears and texts would not.
+
     Local repeats are dropped before the shuffle (map-side combine), then the
     state store keeps one entry per fingerprint.  Arrival order decides the
     survivor inside one stream, as in the reference.
@@ -98,6 +104,8 @@ def stream_dedupe(
     """
     with_fp = stream.withColumn(fp_col, fingerprint(F.col(text_col)))
     local = drop_local_duplicates(with_fp, fp_col)
+    if known is not None:
+        local = local.join(known.select(fp_col), fp_col, "left_anti").select(*with_fp.columns)
     if ttl is None:
         return local.dropDuplicates([fp_col])
     if time_col not in local.columns:
