@@ -41,6 +41,22 @@ def test_hot_digests_take_the_broadcast_path(spark):
     assert {r.doc_id for r in X.dedup_exact(docs).collect()} == {r.doc_id for r in X.exact_groups(docs).filter("kept").collect()}
 
 
+def test_one_row_of_each_text_stays(spark, edge_docs, clashing_docs, no_docs):
+    for docs in (edge_docs, clashing_docs, no_docs):
+        rows, given = X.dedup_exact(docs).collect(), docs.collect()
+        assert {(r.doc_id, normal(r.text)) for r in rows} == {
+            (max((g.doc_id for g in given if normal(g.text) == text and g.doc_id is not None), default=None), text)
+            for text in {normal(g.text) for g in given}}
+        assert len(rows) == len({normal(g.text) for g in given}) and all(r in given for r in rows)
+    rows = [(None, "a", 1), (None, "b", 2), (5, "B", 3), (7, "c", 4), (7, "C", 5), (7, "c", 4), (None, "Ä X", 6), (None, "Ä x", 7),
+            (8, None, 8), (9, "", 9), *[(1, "hot", i) for i in range(500)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    one, two = (sorted(map(repr, X.dedup_exact(docs.repartition(n)).collect())) for n in (3, 8))
+    assert one == two and len(one) == 6
+    kept = {(r.doc_id, normal(r.text)) for r in X.dedup_exact(docs, counters=4).collect()}
+    assert kept == {(None, "a"), (5, "b"), (7, "c"), (None, "Ä x"), (9, ""), (1, "hot")}
+
+
 def test_misra_gries_keeps_every_frequent_value():
     counts, seen = pd.Series(dtype="float64"), []
     for i in range(50):

@@ -11,6 +11,7 @@ join, whose groups are then bounded by that share.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
-from tokenmill.llm.frames import schema_with
+from tokenmill.llm.frames import column, own_columns, schema_with
 from tokenmill.session import materialize
 
 
@@ -81,6 +82,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 255) -> DataFrame:
-    """The documents that stay, all columns; needs ids that are unique and not null."""
-    stay = exact_groups(docs, id_col, text_col, counters).filter("kept").select(id_col)
-    return docs.join(stay, id_col, "left_semi")
+    """The documents that stay, all columns: of equal texts one row, that with the largest id.
+
+    A null id stays where its group has no other.  If the winning id is repeated with an
+    equal text, the row with the smallest hash of all its columns stays.
+    """
+    text = F.translate(F.coalesce(column(text_col), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    stay = exact_groups(docs, id_col, text_col, counters).filter("kept").groupBy("digest").agg(
+        F.struct(F.max(column(id_col)).alias("id")).alias("id"), F.count("*").alias("n"))  # a struct joins nulls, too
+    rows = docs.select(F.struct(*own_columns(docs)).alias("row"), F.struct(column(id_col).alias("id")).alias("id"),
+                       F.unhex(F.sha2(text, 256)).alias("digest"))
+    found = materialize(rows.join(stay, ["digest", "id"]), "dedup-stay")
+    tied = found.filter("n > 1").groupBy("digest").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return found.filter("n = 1").select("row").unionByName(tied.select("row")).select("row.*")
