@@ -19,6 +19,7 @@ KEYS = [
     "window_examples", "top_p_filter", "eval_loss", "dedupe_merged", "chunk_boundaries",
     "corpus_chunks", "chunk_preview", "read_corpus", "stream_dedupe", "write_corpus", "append_corpus", "clean_corpus",
     "raw_chunks", "token_totals", "cache_windows", "tokens_cached", "strip_trailing_eot", "check_token_width", "stream_encode",
+    "seek_boundaries", "positioned_corpus", "packed_batches", "cache_few_windows", "softmax_long", "top_p_long", "stream_known",
 ]
 
 
