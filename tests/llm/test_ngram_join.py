@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_cases import SF_SMALL, clashing_docs, edge_docs, make_docs, no_docs  # noqa: F401
 
@@ -102,6 +103,53 @@ def test_one_large_group_and_many_words(spark):
     assert found(make_docs(spark, rows)) == brute([r[:2] for r in rows])
 
 
+def shared_sentences(n, seed=5):
+    """Texts of 10 of 20 common sentences; some are another order or an edited copy of one before."""
+    rng = random.Random(seed)
+    sentences = [" ".join(f"s{s}w{w}" for w in range(40)) for s in range(20)]
+    out = []
+    for i in range(n):
+        parts = rng.sample(sentences, 10)
+        if i % 10 == 9:
+            parts = out[-1][1].split(". ")
+            rng.shuffle(parts) if i % 20 == 9 else parts.__setitem__(3, parts[3] + f" x{i}")
+        out.append((i, ". ".join(parts), "s"))
+    return out
+
+
+def test_shared_sentences_send_few_sets(spark, monkeypatch):
+    """Documents of common sentences: nearly all pairs share prefix tokens, few whole sets are sent."""
+    sent, verify = [], J._verify
+
+    def counted(pairs, sets, percent):
+        sent.append(pairs.count())
+        return verify(pairs, sets, percent)
+
+    monkeypatch.setattr(J, "_verify", counted)
+    monkeypatch.setattr(J, "PAIRS_PER_COPY", 2)  # sets in several copies
+    for n in (100, 300):
+        sent.clear()
+        rows = shared_sentences(n)
+        assert found(make_docs(spark, rows)) == brute([r[:2] for r in rows])
+        assert sum(sent) <= n  # about a tenth of the documents has a link
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95, 100])
+def test_linked_sets_agree_in_a_block_and_pass_the_range_sums(percent):
+    rng = random.Random(percent)
+    for _ in range(400):
+        n = rng.choice([1, 2, 3, 5, 9, 20, 60, 300, 1000])
+        x = {rng.getrandbits(64) for _ in range(n)}
+        y = set(rng.sample(sorted(x), n - rng.randint(0, n - n * percent // 100))) | {rng.getrandbits(64) for _ in range(rng.randint(0, n // 8))}
+        if not y or 100 * len(x & y) < percent * len(x | y):
+            continue
+        both = [np.array(sorted(s), np.uint64) for s in (x, y)]
+        keys, of, few = J.leading_blocks(np.concatenate(both), np.array([len(x), len(y)]), percent)
+        assert few.all() or set(keys[of == 0]) & set(keys[of == 1])
+        sums, cut = J.range_sums(np.concatenate(both), np.array([len(x), len(y)]))
+        assert J.least_apart(sums[:cut[1]], sums[cut[1]:]) <= len(x ^ y) <= J.most_apart(len(x), len(y), percent)
+
+
 def test_edges(spark, edge_docs, clashing_docs, no_docs):
     expected = brute([(r.doc_id, r.text) for r in edge_docs.collect()])
     assert found(edge_docs) == expected == found(clashing_docs)

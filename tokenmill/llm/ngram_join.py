@@ -3,22 +3,30 @@
 With similarity ``t`` a set of n tokens has at most n - ceil(t n) tokens outside
 any partner.  So under *every* global order of the tokens two partners share one
 of their first n - ceil(t n) + 1, and more generally the first ``l`` common
-tokens lie within the first n - ceil(t n) + l of both.  Three orders are used,
+tokens lie within the first n - ceil(t n) + l of both.  Several orders are used,
 and a pair has to pass all of them before it is verified on the whole sets:
 
 * hash order: the first tokens of every document are looked up across the whole
   table; a document stays only if enough of them occur in another document;
 * rarest first: exact document frequencies among those that stay; a document
-  stays only if a token of its prefix is shared, and only these shared prefix
-  tokens make candidates;
-* hash order from either end, checked on each candidate pair.
+  stays only if a token of its prefix is shared;
+* hash order turned so that another block of it comes first, one order a block.
+  Partners of n and m tokens differ in at most d = (n + m)(1 - t)/(1 + t) of them,
+  so under more than d orders with tokens of theirs in front at least one has
+  the same tokens in front of both.  Such a whole leading block is the key that
+  makes candidates: passages that many documents share bring together only
+  documents alike in all of a block.  A document with too few such blocks also has
+  the shared tokens of its rarest-first prefix as keys;
+* the differing tokens are bounded from below by sums of each document's tokens in
+  ranges of the hash order, a byte a range, so most candidates go before a set is sent;
+* hash order from either end and rarest first, checked on each pair that is left.
 
 Tokens travel as packed arrays, one row per block of documents and token shard,
 and a block sends each token once, so a token that every document holds costs a
 row's entry per block.  Equal sets are one document from the second step on.
 
-Candidates are not all pairs of a token's documents.  First each is compared
-with one pivot of the token; then, while a token's documents lie in several
+Candidates are not all pairs of a key's documents.  First each is compared
+with one pivot of the key; then, while a key's documents lie in several
 components, those outside its largest component are compared with the documents
 of other components.  Pairs inside a component cannot change the result.
 """
@@ -44,6 +52,7 @@ SLICE_ROWS = 4096
 ENTRIES_PER_SHARD = 1 << 20
 MAX_SHARDS = 1 << 16
 BROADCAST_IDS = 1 << 20
+PAIRS_PER_COPY = 64  # a document of more pairs is sent to them in several copies
 MANY = np.uint16(0xFFFF)  # instead of an owner: several documents of the block hold the token
 U64 = np.uint64
 
@@ -91,6 +100,71 @@ def _hash_prefix(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(n, n - common + n // 10 + 1), np.minimum(common // 10 + 1, n)
 
 
+def size_levels(most: int, percent: int) -> np.ndarray:
+    """Least set size of each level, beyond ``most`` by two; partners' levels differ by at most one."""
+    least = [1]
+    while len(least) < 3 or least[-3] <= most:
+        least.append(least[-1] * 100 // percent + 1)
+    return np.array(least)
+
+
+def most_apart(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that at most are in only one of two linked sets of these sizes."""
+    return (a + b) * (100 - percent) // (100 + percent)
+
+
+def leading_blocks(tokens: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, owners, few): a key for the tokens of each block of the hash order, of sets in that order.
+
+    The number of blocks follows from the size level, so a set has keys for its
+    level and the next, and partners meet at the larger one's level.  ``few``: sets
+    that may differ from a partner in all their blocks that hold tokens.
+    """
+    least = size_levels(int(n.max(initial=1)), percent)
+    own, owner = np.searchsorted(least, n, "right") - 1, np.repeat(np.arange(len(n)), n)
+    keys, owners, few = [], [], np.zeros(len(n), bool)
+    for level in (own, own + 1):
+        top = least[level + 1] - 1
+        apart = most_apart(top, top, percent)
+        blocks = apart + apart // 6 + np.where(apart > 0, 3, 1)
+        first = np.cumsum(blocks) - blocks
+        place = first[owner] + ((tokens >> U64(32)) * blocks[owner].astype(U64) >> U64(32)).astype(np.int64)
+        at = np.flatnonzero(np.diff(place, prepend=-1))
+        doc = owner[at]
+        sums = np.add.reduceat(W.mix(tokens ^ U64(0x9E3779B97F4A7C15)), at) if len(at) else np.empty(0, U64)
+        where = level[doc].astype(U64) << U64(48) | (place[at] - first[doc]).astype(U64)
+        keys.append(W.mix(sums + W.mix(where)))
+        owners.append(doc)
+        partner = np.minimum(n * 100 // percent, top)
+        few |= np.bincount(doc, minlength=len(n)) <= most_apart(n, partner, percent)
+    return np.concatenate(keys), np.concatenate(owners), few
+
+
+def range_sums(tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds): for each set of a hash order, sums of odd bytes of the tokens in 2^floor(log2 n) ranges."""
+    bits = np.frexp(n.astype(float))[1] - 1
+    bounds = np.concatenate([[0], np.cumsum(1 << bits)])
+    owner = np.repeat(np.arange(len(n)), n)
+    place = bounds[owner] + (tokens >> (63 - bits[owner]).astype(U64) >> U64(1)).astype(np.int64)
+    at = np.flatnonzero(np.diff(place, prepend=-1))
+    out = np.zeros(bounds[-1], np.uint8)
+    if len(at):
+        value = (W.mix(tokens ^ U64(0xD6E8FEB86659FD93)) >> U64(56) | U64(1)).astype(np.uint8)
+        out[place[at]] = np.add.reduceat(value, at, dtype=np.uint8)
+    return out, bounds
+
+
+def least_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Tokens that at least are in only one of two sets with these range sums."""
+    while len(x) > len(y):
+        x = x[0::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[0::2] + y[1::2]
+    d = x - y
+    # an even difference that is not 0 takes two tokens, since the bytes are odd
+    return 2 * int(np.count_nonzero(d)) - int(np.count_nonzero(d & np.uint8(1)))
+
+
 def _heads(lengths: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Positions of the first ``lengths`` elements of each run."""
     total = np.cumsum(lengths)
@@ -188,10 +262,11 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
-    """(cid, d1, d2, n, alone, prefix, tokens) of documents with a shared token in their rarest-first prefix.
+    """(cid, d1, d2, n, alone, prefix, tokens, keys, few, sums) of documents with a shared token in their rarest-first prefix.
 
     ``prefix`` holds these shared tokens, rarest first, after ``alone`` tokens
-    that no other document has; ``tokens`` the whole set in hash order.
+    that no other document has; ``tokens`` the whole set in hash order; ``keys``
+    and ``few`` follow :func:`leading_blocks`, ``sums`` :func:`range_sums`.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, meta, tokens, bounds in _blocks(batches, k):
@@ -237,62 +312,96 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
         prefix = as_lists(tokens[chosen], cut).take(take).cast(pa.list_(pa.int64()))
         whole = as_lists(tokens, bounds).take(take).cast(pa.list_(pa.int64()))
         alone = np.bincount(owner[freq == 1], minlength=len(n))[docs_in]
-        return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole})
+        kept = tokens[np.isin(owner, docs_in)]
+        keys, of, few = leading_blocks(kept, n[docs_in], percent)
+        order = np.argsort(of, kind="stable")
+        keys = as_lists(keys[order], np.searchsorted(of[order], np.arange(len(docs_in) + 1))).cast(pa.list_(pa.int64()))
+        sums, cut = range_sums(kept, n[docs_in])
+        sums = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs_in), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(sums)])
+        return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole,
+                         "keys": keys, "few": pa.array(few), "sums": sums.cast(pa.binary())})
 
     packed = materialize(docs.mapInArrow(pack, "block long, meta binary, tokens binary"), "ngram-blocks")
     cells = packed.select("block", "tokens").mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
     answers = cells.groupBy("shard").applyInArrow(look_up, "block long, shard int, meta binary, tokens binary")
     chosen = packed.select("block", F.lit(-1).alias("shard"), "meta", "tokens").unionByName(answers).groupBy("block") \
-        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>")
+        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>, keys array<long>, few boolean, sums binary")
     return materialize(chosen.withColumn("cid", F.monotonically_increasing_id()), "ngram-prefixes")
 
 
-def _may_link(na: Column, ia: Column, nb: Column, ib: Column, percent: int) -> Column:
-    """Whether sets of these sizes, whose first common token is at these places, can have the similarity.
+def _may_link(na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets of these sizes can have the similarity."""
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
 
-    No token before the first common one is common, so the rest bounds the overlap.
-    """
-    common = F.least(na - ia, nb - ib)
-    return common * 100 >= (na + nb - common) * percent
+
+def _with_sets(pairs: DataFrame, key: str, other: str, sets: DataFrame) -> DataFrame:
+    """The pairs with the columns of ``sets`` by ``key``; a document of many pairs is dealt to several tasks."""
+    many = pairs.groupBy(key).agg(F.ceil(F.count("*") / PAIRS_PER_COPY).cast("int").alias("copies")).filter("copies > 1")
+    many = materialize(many, "ngram-many")
+    copies = F.coalesce("copies", F.lit(1))
+    dealt = pairs.join(many, key, "left").withColumn("copy", F.pmod(F.xxhash64(other), copies).cast("int")).drop("copies")
+    sent = sets.join(many, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+    return dealt.join(sent, [key, "copy"]).drop("copy")
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, near): whether the range sums of the pair leave the similarity possible."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = most_apart(batch["na"].to_numpy(), batch["nb"].to_numpy(), percent)
+            near = [least_apart(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= m
+                    for x, y, m in zip(batch["sa"], batch["sb"], most, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(near, pa.bool_())], names=["a", "b", "near"])
+
+    joined = _with_sets(pairs, "a", "b", sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sums").alias("sa")))
+    joined = _with_sets(joined, "b", "a", sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sums").alias("sb")))
+    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(compare, "a long, b long, near boolean")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity; before that, both hash orders must agree."""
-    one = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    joined = pairs.join(one, "a").join(two, "b")
+    """(a, b, linked): whether the sets have the similarity; before that, both hash orders and rarest first must agree."""
+    one = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("prefix").alias("pa"))
+    two = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"), F.col("prefix").alias("pb"))
+    joined = _with_sets(_with_sets(pairs, "a", "b", one), "b", "a", two)
     length = (lambda n: (n - F.ceil(n * percent / 100.0) + 1).cast("int"))
     head = F.arrays_overlap(F.slice("ta", 1, length(F.col("na"))), F.slice("tb", 1, length(F.col("nb"))))
     tail = F.arrays_overlap(F.slice("ta", F.col("na").cast("int") - length(F.col("na")) + 1, length(F.col("na"))),
                             F.slice("tb", F.col("nb").cast("int") - length(F.col("nb")) + 1, length(F.col("nb"))))
     common = F.size(F.array_intersect("ta", "tb"))
-    linked = F.when(head & tail, common * 100 >= (F.col("na") + F.col("nb") - common) * percent).otherwise(False)
+    linked = F.when(F.arrays_overlap("pa", "pb") & head & tail, common * 100 >= (F.col("na") + F.col("nb") - common) * percent).otherwise(False)
     return joined.select("a", "b", linked.alias("linked"))
 
 
+def _judge(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of all the pairs; whole sets are sent for those only that the range sums leave."""
+    near = materialize(_near(pairs, sets, percent), "ngram-near")
+    far = near.filter(~F.col("near")).select("a", "b", F.lit(False).alias("linked"))
+    return materialize(far.unionByName(_verify(near.filter("near").select("a", "b"), sets, percent)), "ngram-checked")
+
+
 def link_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the link graph over the rows of :func:`rare_prefixes`."""
-    entries = sets.select("cid", "n", "alone", F.posexplode("prefix").alias("at", "token"))
-    entries = materialize(entries.withColumn("at", F.col("at") + F.col("alone")), "ngram-entries")
+    keys = F.concat("keys", F.when(F.col("few"), F.col("prefix")).otherwise(F.array().cast("array<long>")))
+    entries = sets.select("cid", "n", "alone", F.explode(keys).alias("token"))
     # the pivot is the document with the fewest tokens of its own: the likeliest to be near all others
-    pivot = entries.groupBy("token").agg(F.min(F.struct("alone", "cid", "n", "at")).alias("p"), F.count("*").alias("c")).filter("c > 1")
-    pairs = entries.join(pivot.select("token", F.col("p.cid").alias("a"), F.col("p.n").alias("na"), F.col("p.at").alias("ia")), "token")
-    pairs = pairs.filter((F.col("cid") != F.col("a")) & _may_link(F.col("na"), F.col("ia"), F.col("n"), F.col("at"), percent))
-    pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
-    checked = materialize(_verify(pairs, sets, percent), "ngram-checked")
+    pivot = entries.groupBy("token").agg(F.min(F.struct("alone", "cid", "n")).alias("p"), F.count("*").alias("c")).filter("c > 1")
+    entries = materialize(entries.join(pivot.select("token", "p"), "token").select(
+        "token", "cid", "n", F.col("p.cid").alias("a"), F.col("p.n").alias("na")), "ngram-entries")
+    pairs = entries.filter((F.col("cid") != F.col("a")) & _may_link(F.col("na"), F.col("n"), percent))
+    pairs = materialize(pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct(), "ngram-pairs")
+    checked = _judge(pairs, sets, percent)
     while True:
         roots = connected_components(checked.filter("linked").select("a", "b"))
-        placed = entries.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        placed = entries.select("token", "cid", "n").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
         placed = materialize(placed, "ngram-placed")
         parts = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
         mixed = parts.groupBy("token").agg(F.max(F.struct("c", "root")).alias("big"), F.count("*").alias("parts")).filter("parts > 1")
         open_ = placed.join(mixed.select("token", F.col("big.root").alias("big")), "token")
-        x = open_.filter("root <> big").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ix"), F.col("root").alias("rx"))
+        x = open_.filter("root <> big").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
         pairs = open_.join(x, "token").filter((F.col("root") != F.col("rx")) & ((F.col("root") == F.col("big")) | (F.col("cid") < F.col("x")))
-                                              & _may_link(F.col("n"), F.col("at"), F.col("nx"), F.col("ix"), percent))
+                                              & _may_link(F.col("n"), F.col("nx"), percent))
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
-        pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        more = materialize(_verify(pairs, sets, percent), "ngram-checked")
+        more = _judge(materialize(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs"), sets, percent)
         if more.filter("linked").isEmpty():
             return roots
         checked = checked.unionByName(more)
