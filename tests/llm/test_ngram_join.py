@@ -147,6 +147,8 @@ def test_linked_sets_agree_in_a_block_and_pass_the_range_sums(percent):
         keys, of, few = J.leading_blocks(np.concatenate(both), np.array([len(x), len(y)]), percent)
         assert few.all() or set(keys[of == 0]) & set(keys[of == 1])
         sums, cut = J.range_sums(np.concatenate(both), np.array([len(x), len(y)]))
+        odd = [np.uint64(w).item().bit_count() for w in (np.bitwise_xor(*J.parities(np.concatenate(both), np.array([len(x), len(y)])))).view(np.uint64)]
+        assert sum(odd) <= len(x ^ y)
         assert J.least_apart(sums[:cut[1]], sums[cut[1]:]) <= len(x ^ y) <= J.most_apart(len(x), len(y), percent)
 
 

@@ -17,8 +17,9 @@ and a pair has to pass all of them before it is verified on the whole sets:
   makes candidates: passages that many documents share bring together only
   documents alike in all of a block.  A document with too few such blocks also has
   the shared tokens of its rarest-first prefix as keys;
-* the differing tokens are bounded from below by sums of each document's tokens in
-  ranges of the hash order, a byte a range, so most candidates go before a set is sent;
+* the differing tokens are bounded from below by the tokens that no other document has,
+  by 256 parities of tokens, and by sums of each document's tokens in ranges of the
+  hash order, a byte a range, so most candidates go before a set is sent;
 * hash order from either end and rarest first, checked on each pair that is left.
 
 Tokens travel as packed arrays, one row per block of documents and token shard,
@@ -154,6 +155,12 @@ def range_sums(tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, bounds
 
 
+def parities(tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each set of a hash order, 256 bits in four words: parities of its tokens by their first byte."""
+    bits = np.bincount(np.repeat(np.arange(len(n)), n) << 8 | (tokens >> U64(56)).astype(np.int64), minlength=len(n) << 8) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(-1, 4)
+
+
 def least_apart(x: np.ndarray, y: np.ndarray) -> int:
     """Tokens that at least are in only one of two sets with these range sums."""
     while len(x) > len(y):
@@ -262,11 +269,12 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
-    """(cid, d1, d2, n, alone, prefix, tokens, keys, few, sums) of documents with a shared token in their rarest-first prefix.
+    """(cid, d1, d2, n, alone, prefix, tokens, keys, few, sums, p0 to p3) of documents with a shared token in their rarest-first prefix.
 
     ``prefix`` holds these shared tokens, rarest first, after ``alone`` tokens
     that no other document has; ``tokens`` the whole set in hash order; ``keys``
-    and ``few`` follow :func:`leading_blocks`, ``sums`` :func:`range_sums`.
+    and ``few`` follow :func:`leading_blocks`, ``sums`` :func:`range_sums`,
+    ``p0`` to ``p3`` :func:`parities`.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, meta, tokens, bounds in _blocks(batches, k):
@@ -318,20 +326,23 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
         keys = as_lists(keys[order], np.searchsorted(of[order], np.arange(len(docs_in) + 1))).cast(pa.list_(pa.int64()))
         sums, cut = range_sums(kept, n[docs_in])
         sums = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs_in), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(sums)])
+        odd = parities(kept, n[docs_in])
         return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole,
-                         "keys": keys, "few": pa.array(few), "sums": sums.cast(pa.binary())})
+                         "keys": keys, "few": pa.array(few), "sums": sums.cast(pa.binary()), **{f"p{i}": pa.array(odd[:, i]) for i in range(4)}})
 
     packed = materialize(docs.mapInArrow(pack, "block long, meta binary, tokens binary"), "ngram-blocks")
     cells = packed.select("block", "tokens").mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
     answers = cells.groupBy("shard").applyInArrow(look_up, "block long, shard int, meta binary, tokens binary")
     chosen = packed.select("block", F.lit(-1).alias("shard"), "meta", "tokens").unionByName(answers).groupBy("block") \
-        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>, keys array<long>, few boolean, sums binary")
+        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>, keys array<long>, few boolean, sums binary, "
+               "p0 long, p1 long, p2 long, p3 long")
     return materialize(chosen.withColumn("cid", F.monotonically_increasing_id()), "ngram-prefixes")
 
 
-def _may_link(na: Column, nb: Column, percent: int) -> Column:
-    """Whether sets of these sizes can have the similarity."""
-    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
+def _may_link(na: Column, alone_a: Column, nb: Column, alone_b: Column, percent: int) -> Column:
+    """Whether sets of these sizes, so many tokens of which no other document has, can have the similarity."""
+    common = F.least(na - alone_a, nb - alone_b)
+    return common * 100 >= (na + nb - common) * percent
 
 
 def _with_sets(pairs: DataFrame, key: str, other: str, sets: DataFrame) -> DataFrame:
@@ -385,21 +396,24 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     entries = sets.select("cid", "n", "alone", F.explode(keys).alias("token"))
     # the pivot is the document with the fewest tokens of its own: the likeliest to be near all others
     pivot = entries.groupBy("token").agg(F.min(F.struct("alone", "cid", "n")).alias("p"), F.count("*").alias("c")).filter("c > 1")
-    entries = materialize(entries.join(pivot.select("token", "p"), "token").select(
-        "token", "cid", "n", F.col("p.cid").alias("a"), F.col("p.n").alias("na")), "ngram-entries")
-    pairs = entries.filter((F.col("cid") != F.col("a")) & _may_link(F.col("na"), F.col("n"), percent))
-    pairs = materialize(pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct(), "ngram-pairs")
+    entries = materialize(entries.join(pivot.select("token", "p"), "token"), "ngram-entries")
+    pairs = entries.filter((F.col("cid") != F.col("p.cid")) & _may_link(F.col("p.n"), F.col("p.alone"), F.col("n"), F.col("alone"), percent))
+    pairs = materialize(pairs.select(F.least("p.cid", "cid").alias("a"), F.greatest("p.cid", "cid").alias("b")).distinct(), "ngram-pairs")
     checked = _judge(pairs, sets, percent)
+    facts = ["cid", "n", "alone", "p0", "p1", "p2", "p3"]
     while True:
         roots = connected_components(checked.filter("linked").select("a", "b"))
-        placed = entries.select("token", "cid", "n").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        placed = materialize(placed, "ngram-placed")
+        nodes = sets.select(*facts).join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        placed = materialize(entries.select("token", "cid").join(nodes, "cid"), "ngram-placed")
         parts = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
         mixed = parts.groupBy("token").agg(F.max(F.struct("c", "root")).alias("big"), F.count("*").alias("parts")).filter("parts > 1")
         open_ = placed.join(mixed.select("token", F.col("big.root").alias("big")), "token")
-        x = open_.filter("root <> big").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        x = open_.filter("root <> big").select("token", F.col("root").alias("rx"), *[F.col(c).alias(f"x_{c}") for c in facts]).withColumnRenamed("x_cid", "x")
+        odd = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"x_p{i}"))) for i in range(4)), F.lit(0))
         pairs = open_.join(x, "token").filter((F.col("root") != F.col("rx")) & ((F.col("root") == F.col("big")) | (F.col("cid") < F.col("x")))
-                                              & _may_link(F.col("n"), F.col("nx"), percent))
+                                              & _may_link(F.col("n"), F.col("alone"), F.col("x_n"), F.col("x_alone"), percent)
+                                              & (F.greatest(odd, F.col("alone") + F.col("x_alone")) * (100 + percent)
+                                                 <= (F.col("n") + F.col("x_n")) * (100 - percent)))
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
         more = _judge(materialize(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs"), sets, percent)
         if more.filter("linked").isEmpty():
