@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.operators.ordered import global_rank
-from tokenmill.operators.windows import sample_windows, window_examples, with_halo
+from tokenmill.operators.windows import dealt_examples, many_windows, sample_windows, window_examples, with_halo
 from tokenmill.session import materialize, path_exists
 from tokenmill.sources.commits import snapshot_paths
 
@@ -151,6 +151,8 @@ def cached_examples(
     if per_part and k * FEW < meta["n_tokens"] // (size * per_part) + 1:
         parts = _parts_of(windows, size, per_part, lacks, meta["n_tokens"])
         blocks = read_cached_blocks(spark, path, meta, parts)
+    elif stretch := many_windows(meta["n_tokens"], k, context_length, size):
+        return dealt_examples(windows, blocks, context_length, size, stretch), k
     if lacks:
         blocks = with_halo(blocks, context_length, size)
     return window_examples(windows, blocks, context_length, size, num_samples=k), k
