@@ -151,10 +151,10 @@ def cached_examples(
     if per_part and k * FEW < meta["n_tokens"] // (size * per_part) + 1:
         parts = _parts_of(windows, size, per_part, lacks, meta["n_tokens"])
         blocks = read_cached_blocks(spark, path, meta, parts)
-    elif stretch := many_windows(meta["n_tokens"], k, context_length, size):
-        return dealt_examples(windows, blocks, context_length, size, stretch), k
     if lacks:
         blocks = with_halo(blocks, context_length, size)
+    if stretch := many_windows(meta["n_tokens"], k, context_length, size):
+        return dealt_examples(windows, blocks, context_length, size, stretch), k
     return window_examples(windows, blocks, context_length, size, num_samples=k), k
 
 
