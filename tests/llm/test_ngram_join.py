@@ -134,6 +134,25 @@ def test_shared_sentences_send_few_sets(spark, monkeypatch):
         assert sum(sent) <= n  # about a tenth of the documents has a link
 
 
+def test_copies_just_too_far_apart_make_few_pairs(spark, monkeypatch):
+    """Copies beyond the threshold of a large component: lone tokens and parities add up, so few pairs are listed."""
+    base, near, made = [f"b{i}" for i in range(150)], J._near, []
+    rows = [(i, " ".join([*base[:-1], f"end{i}"]), "s") for i in range(40)]
+    for i in range(40, 140):  # two changed words of their own, two that one other document has too
+        copy = list(base)
+        for k, at in enumerate(random.Random(i // 2).sample(range(10, 140, 6), 4)):
+            copy[at] = f"x{i if k < 2 else i // 2}-{at}"
+        rows.append((i, " ".join(copy), "s"))
+
+    def counted(pairs, sets, percent):
+        made.append(pairs.count())
+        return near(pairs, sets, percent)
+
+    monkeypatch.setattr(J, "_near", counted)
+    assert found(make_docs(spark, rows)) == brute([r[:2] for r in rows])
+    assert sum(made[1:]) <= 600, made  # 792 when the larger of the bounds was taken. The first are the pairs with pivots
+
+
 @pytest.mark.parametrize("percent", [50, 80, 95, 100])
 def test_linked_sets_agree_in_a_block_and_pass_the_range_sums(percent):
     rng = random.Random(percent)

@@ -17,9 +17,9 @@ and a pair has to pass all of them before it is verified on the whole sets:
   makes candidates: passages that many documents share bring together only
   documents alike in all of a block.  A document with too few such blocks also has
   the shared tokens of its rarest-first prefix as keys;
-* the differing tokens are bounded from below by the tokens that no other document has,
-  by 256 parities of tokens, and by sums of each document's tokens in ranges of the
-  hash order, a byte a range, so most candidates go before a set is sent;
+* the differing tokens are bounded from below by the number of tokens that no other
+  document has, plus what 256 parities of the other tokens, or sums of these in ranges
+  of the hash order, a byte a range, tell of them, so most candidates go before a set is sent;
 * hash order from either end and rarest first, checked on each pair that is left.
 
 Tokens travel as packed arrays, one row per block of documents and token shard,
@@ -273,8 +273,8 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
 
     ``prefix`` holds these shared tokens, rarest first, after ``alone`` tokens
     that no other document has; ``tokens`` the whole set in hash order; ``keys``
-    and ``few`` follow :func:`leading_blocks`, ``sums`` :func:`range_sums`,
-    ``p0`` to ``p3`` :func:`parities`.
+    and ``few`` follow :func:`leading_blocks`.  Of the tokens that other documents
+    have too, ``sums`` follow :func:`range_sums`, ``p0`` to ``p3`` :func:`parities`.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, meta, tokens, bounds in _blocks(batches, k):
@@ -320,13 +320,14 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
         prefix = as_lists(tokens[chosen], cut).take(take).cast(pa.list_(pa.int64()))
         whole = as_lists(tokens, bounds).take(take).cast(pa.list_(pa.int64()))
         alone = np.bincount(owner[freq == 1], minlength=len(n))[docs_in]
-        kept = tokens[np.isin(owner, docs_in)]
-        keys, of, few = leading_blocks(kept, n[docs_in], percent)
+        kept = np.isin(owner, docs_in)
+        keys, of, few = leading_blocks(tokens[kept], n[docs_in], percent)
         order = np.argsort(of, kind="stable")
         keys = as_lists(keys[order], np.searchsorted(of[order], np.arange(len(docs_in) + 1))).cast(pa.list_(pa.int64()))
-        sums, cut = range_sums(kept, n[docs_in])
+        shared = tokens[kept & (freq > 1)]  # what is alone in two sets differs beside what of these does
+        sums, cut = range_sums(shared, n[docs_in] - alone)
         sums = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs_in), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(sums)])
-        odd = parities(kept, n[docs_in])
+        odd = parities(shared, n[docs_in] - alone)
         return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole,
                          "keys": keys, "few": pa.array(few), "sums": sums.cast(pa.binary()), **{f"p{i}": pa.array(odd[:, i]) for i in range(4)}})
 
@@ -356,17 +357,18 @@ def _with_sets(pairs: DataFrame, key: str, other: str, sets: DataFrame) -> DataF
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, near): whether the range sums of the pair leave the similarity possible."""
+    """(a, b, near): whether lone tokens and the range sums of the others leave the similarity possible."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             most = most_apart(batch["na"].to_numpy(), batch["nb"].to_numpy(), percent)
+            most -= batch["la"].to_numpy() + batch["lb"].to_numpy()
             near = [least_apart(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= m
                     for x, y, m in zip(batch["sa"], batch["sb"], most, strict=True)]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(near, pa.bool_())], names=["a", "b", "near"])
 
-    joined = _with_sets(pairs, "a", "b", sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sums").alias("sa")))
-    joined = _with_sets(joined, "b", "a", sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sums").alias("sb")))
-    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(compare, "a long, b long, near boolean")
+    joined = _with_sets(pairs, "a", "b", sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("alone").alias("la"), F.col("sums").alias("sa")))
+    joined = _with_sets(joined, "b", "a", sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("alone").alias("lb"), F.col("sums").alias("sb")))
+    return joined.select("a", "b", "na", "nb", "la", "lb", "sa", "sb").mapInArrow(compare, "a long, b long, near boolean")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -412,7 +414,7 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
         odd = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"x_p{i}"))) for i in range(4)), F.lit(0))
         pairs = open_.join(x, "token").filter((F.col("root") != F.col("rx")) & ((F.col("root") == F.col("big")) | (F.col("cid") < F.col("x")))
                                               & _may_link(F.col("n"), F.col("alone"), F.col("x_n"), F.col("x_alone"), percent)
-                                              & (F.greatest(odd, F.col("alone") + F.col("x_alone")) * (100 + percent)
+                                              & ((odd + F.col("alone") + F.col("x_alone")) * (100 + percent)
                                                  <= (F.col("n") + F.col("x_n")) * (100 - percent)))
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
         more = _judge(materialize(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs"), sets, percent)
