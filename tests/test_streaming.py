@@ -1,5 +1,7 @@
 """Structured Streaming runs with availableNow triggers."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tokenmill.operators import bpe as B
@@ -36,6 +38,46 @@ def test_a_stream_on_an_existing_corpus_emits_only_new_documents(spark, tmp_dir)
     assert sorted(r.text for r in spark.read.parquet(sink).collect()) == ["d", "e"]
 
 
+def test_local_duplicates_are_dropped_in_bounded_copies(monkeypatch):
+    import pyarrow as pa
+
+    class Frame:
+        schema = None
+
+        def mapInArrow(self, run, _):
+            return run
+
+    monkeypatch.setattr(ST, "LOCAL_ROWS", 3)
+    whole = pa.record_batch({"fp": [f"f{i}" for i in range(8)], "text": ["t"] * 8})
+    twice = pa.record_batch({"fp": ["a", "b", "a", "c", None, "d", None, "b", "e"], "text": [f"t{i}" for i in range(9)]})
+    out = list(ST.drop_local_duplicates(Frame(), "fp")(iter([whole, twice, twice.slice(0, 0)])))
+    assert out[0] is whole  # nothing to drop, nothing copied
+    assert [b.num_rows for b in out[1:]] == [3, 3, 0]
+    assert [t for b in out[1:] for t in b["text"].to_pylist()] == ["t0", "t1", "t3", "t4", "t5", "t8"]
+
+
+def test_freed_memory_goes_back_to_the_system():
+    """In a process of its own: small blocks below a live one, as allocators keep them."""
+    import subprocess
+    import sys
+
+    code = """
+import re
+from tokenmill.session import freeing
+import numpy as np
+def held(): return int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+kept = []
+def run(batches):
+    for n in batches:
+        many = [np.ones(10_000) for _ in range(n)]
+        kept.append(np.ones(100))
+        yield held()
+peak = max(freeing(run)(iter([2_000])))
+assert held() < peak - 100, (held(), peak)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def test_bounded_batches(spark, tmp_dir):
     src, sink, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
     df = spark.range(6).select(F.col("id").alias("doc_id"), F.concat(F.lit("doc "), F.col("id").cast("string")).alias("text"))

@@ -21,8 +21,10 @@ from tokenmill.constants import EOT
 from tokenmill.functions.text import fingerprint, strip_ws, utf8_decode
 from tokenmill.operators.bpe import BpeModel
 from tokenmill.operators.codec import encode_text
+from tokenmill.session import free_memory
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LOCAL_ROWS = 512  # rows copied at a time by the map-side combine
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -64,15 +66,22 @@ def drop_local_duplicates(df: DataFrame, key_col: str) -> DataFrame:
     A map-side combine for streaming dedupe: ``dropDuplicates`` shuffles every
     copy of a key to one task, so a document copied into a third of a batch
     would land in one task.  Dropping a batch's repeats first leaves at most one
-    copy per key and batch; the state store drops the rest.
+    copy per key and batch; the state store drops the rest.  The rows that stay are
+    copied ``LOCAL_ROWS`` at a time, or not at all where none goes.
     """
     import pyarrow as pa
 
     def first_per_key(batches):
         for batch in batches:
             keys = pa.table({"k": batch.column(batch.schema.get_field_index(key_col)), "i": pa.array(range(batch.num_rows), pa.int64())})
-            first = keys.group_by("k").aggregate([("i", "min")]).column("i_min")
-            yield batch.take(first.combine_chunks().sort())
+            first = keys.group_by("k").aggregate([("i", "min")]).column("i_min").combine_chunks().sort()
+            if len(first) == batch.num_rows:
+                yield batch
+            else:
+                for at in range(0, len(first), LOCAL_ROWS):
+                    yield batch.take(first.slice(at, LOCAL_ROWS))
+            del batch, keys, first  # not beside the next batch
+        free_memory()
 
     return df.mapInArrow(first_per_key, df.schema)
 
