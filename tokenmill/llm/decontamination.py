@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.llm import words as W
 from tokenmill.llm.frames import own_columns, schema_with
-from tokenmill.session import materialize
+from tokenmill.session import freeing, materialize
 
 WINDOW = 13
 SLICE_BYTES = 16 << 20
@@ -264,7 +264,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                       F.array().cast("array<array<bigint>>").alias("spans"), F.array().cast(f"array<{item}>").alias("items"),
                       F.lit(None).cast(longest).alias("longest"))
     for side in _test_slices(benchmark, item_col, item_text_col, window):
-        out = out.mapInArrow(_scan(side), schema)
+        out = out.mapInArrow(freeing(_scan(side)), schema)
     # several slices may have hit the same words: merge the stretches, then add them up
     merged = F.aggregate(F.array_sort("spans"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
                          lambda a, s: F.struct((a["n"] + F.greatest(s[1] - F.greatest(s[0], a["end"]), F.lit(0))).alias("n"),

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tokenmill.llm import words as W
 from tokenmill.llm.frames import own_columns, schema_with
 from tokenmill.llm.components import connected_components
-from tokenmill.session import materialize
+from tokenmill.session import freeing, freeing_group, materialize
 
 SHINGLE = 5
 SLICE_BYTES = 4 << 20
@@ -262,10 +262,10 @@ def documents_with_partners(docs: DataFrame, percent: int, k: int, shards: int)
         _, need = _hash_prefix(n, percent)
         return pa.table({"id": meta["id"], "d1": meta["d1"], "d2": meta["d2"], "n": meta["n"], "possible": pa.array((n > 0) & (seen >= need))})
 
-    cells = docs.mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
-    answers = cells.groupBy("shard").applyInArrow(look_up, "block long, counts binary, meta binary")
+    cells = docs.mapInArrow(freeing(send), "block long, shard int, keys binary, own binary, meta binary")
+    answers = cells.groupBy("shard").applyInArrow(freeing_group(look_up), "block long, counts binary, meta binary")
     return answers.groupBy("block").applyInArrow(
-        decide, schema_with(docs, "id", "id", "d1 long, d2 long, n long, possible boolean"))
+        freeing_group(decide), schema_with(docs, "id", "id", "d1 long, d2 long, n long, possible boolean"))
 
 
 def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFrame:
@@ -331,11 +331,11 @@ def rare_prefixes(docs: DataFrame, percent: int, k: int, shards: int) -> DataFra
         return pa.table({"d1": out[0], "d2": out[1], "n": out[2], "alone": pa.array(alone, pa.int64()), "prefix": prefix, "tokens": whole,
                          "keys": keys, "few": pa.array(few), "sums": sums.cast(pa.binary()), **{f"p{i}": pa.array(odd[:, i]) for i in range(4)}})
 
-    packed = materialize(docs.mapInArrow(pack, "block long, meta binary, tokens binary"), "ngram-blocks")
-    cells = packed.select("block", "tokens").mapInArrow(send, "block long, shard int, keys binary, own binary, meta binary")
-    answers = cells.groupBy("shard").applyInArrow(look_up, "block long, shard int, meta binary, tokens binary")
+    packed = materialize(docs.mapInArrow(freeing(pack), "block long, meta binary, tokens binary"), "ngram-blocks")
+    cells = packed.select("block", "tokens").mapInArrow(freeing(send), "block long, shard int, keys binary, own binary, meta binary")
+    answers = cells.groupBy("shard").applyInArrow(freeing_group(look_up), "block long, shard int, meta binary, tokens binary")
     chosen = packed.select("block", F.lit(-1).alias("shard"), "meta", "tokens").unionByName(answers).groupBy("block") \
-        .applyInArrow(choose, "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>, keys array<long>, few boolean, sums binary, "
+        .applyInArrow(freeing_group(choose), "d1 long, d2 long, n long, alone long, prefix array<long>, tokens array<long>, keys array<long>, few boolean, sums binary, "
                "p0 long, p1 long, p2 long, p3 long")
     return materialize(chosen.withColumn("cid", F.monotonically_increasing_id()), "ngram-prefixes")
 
@@ -368,7 +368,7 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     joined = _with_sets(pairs, "a", "b", sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("alone").alias("la"), F.col("sums").alias("sa")))
     joined = _with_sets(joined, "b", "a", sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("alone").alias("lb"), F.col("sums").alias("sb")))
-    return joined.select("a", "b", "na", "nb", "la", "lb", "sa", "sb").mapInArrow(compare, "a long, b long, near boolean")
+    return joined.select("a", "b", "na", "nb", "la", "lb", "sa", "sb").mapInArrow(freeing(compare), "a long, b long, near boolean")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

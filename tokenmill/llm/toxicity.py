@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tokenmill.llm import words as W
 from tokenmill.llm.frames import own_columns, schema_with
 from tokenmill.llm.toxicity_features import FEATURES, KINDS, Lexicon, entry_keys, features
-from tokenmill.session import materialize
+from tokenmill.session import freeing, materialize
 
 MAX_TRAIN = 30_000
 LEXICON_ENTRIES = 2_000
@@ -64,7 +64,7 @@ def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> Lexicon:
-    counts = rows.select("text", "label").mapInArrow(_entry_counts, "kind int, key long, toxic long, clean long") \
+    counts = rows.select("text", "label").mapInArrow(freeing(_entry_counts), "kind int, key long, toxic long, clean long") \
         .groupBy("kind", "key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     best = counts.filter(F.col("toxic") >= LEAST_TOXIC).withColumn("odds", odds).filter("odds > 1.5")
@@ -126,11 +126,11 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     schema = schema_with(source, "id", "id", "features array<double>")
     if carried:
         schema = T.StructType([schema["id"], T.StructField("row", source.schema["row"].dataType), schema["features"]])
-    scored = source.mapInArrow(_with_features(lexicon, ["id", *with_row]), schema)
+    scored = source.mapInArrow(freeing(_with_features(lexicon, ["id", *with_row])), schema)
     if not bad or not good:
         score = F.lit(base)
     else:
-        train = rows.mapInArrow(_with_features(lexicon, ["label", "calibrate"]), "label double, calibrate boolean, features array<double>")
+        train = rows.mapInArrow(freeing(_with_features(lexicon, ["label", "calibrate"])), "label double, calibrate boolean, features array<double>")
         train = materialize(train, "toxic-features").withColumn("features", array_to_vector("features"))
         fit = train.filter("not calibrate").withColumn("weight", F.when(F.col("label") > 0, good / bad).otherwise(1.0))
         trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=seed, weightCol="weight", cacheNodeIds=False).fit(fit)
