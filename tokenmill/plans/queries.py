@@ -323,7 +323,7 @@ def q_window_examples(spark, sf):
 def q_batch_examples(spark, sf):
     ex, k = _examples(spark, sf)
     sums = W.window_checksums(ex)
-    b = W.batch_examples(sums, BATCH, k).select("batch_id", "sample_id", "x_sum").repartition("batch_id")
+    b = W.batch_examples(sums, BATCH, k).select("batch_id", "sample_id", "x_sum")
     return b.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_examples"),
         F.sum("x_sum").cast("bigint").alias("x_sum"),
