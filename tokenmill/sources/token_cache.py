@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.operators.ordered import global_rank
-from tokenmill.operators.windows import dealt_examples, many_windows, sample_windows, window_examples, with_halo
+from tokenmill.operators.packed_stream import pack_blocks, stream_blocks
+from tokenmill.operators.windows import by_passes, dealt_examples, many_windows, passed_examples, sample_windows, window_examples, with_halo
 from tokenmill.session import materialize, path_exists
 from tokenmill.sources.commits import snapshot_paths
 
@@ -72,11 +73,18 @@ def write_token_cache(
     spark = blocks.sparkSession
     base = path.rstrip("/")
     _write_meta(spark, base, [])
-    parted = blocks.select("block_id", "ids", F.floor(F.col("block_id") / part_blocks).cast("bigint").alias("part"))
-    (parted.repartition("part").sortWithinPartitions("part", "block_id").write.mode("overwrite")
+    stream, size, _ = packed = vars(blocks).get("_packed", (None, None, None))
+    made = stream_blocks(spark, *packed, part_blocks) if stream is not None else blocks
+    parted = made.select("block_id", "ids", F.floor(F.col("block_id") / part_blocks).cast("bigint").alias("part"))
+    if stream is None:  # else each task has its parts to itself
+        parted = parted.repartition("part")
+    (parted.sortWithinPartitions("part", "block_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy("part").parquet(f"{base}/blocks"))
-    own = F.least(F.size("ids"), F.lit(block_size))
-    n = spark.read.parquet(f"{base}/blocks").agg(F.coalesce(F.sum(own), F.lit(0))).first()[0]
+    if stream is not None and size == block_size:
+        n = stream.n_tokens
+    else:
+        own = F.least(F.size("ids"), F.lit(block_size))
+        n = spark.read.parquet(f"{base}/blocks").agg(F.coalesce(F.sum(own), F.lit(0))).first()[0]
     _write_meta(spark, base, [(source_path, source_size_bytes, vocab_size, eot_token_id, merges_sha256, block_size, halo, int(n), part_blocks)])
 
 
@@ -138,10 +146,12 @@ def cached_examples(
     """``(examples, num_samples)``: training windows straight from a token cache.
 
     A cache whose blocks carry no halo, or a shorter one than the context, is
-    given one first: the head of each block goes to the block before.  Where the
+    given one first: the head of each block goes to the block before.  Many windows
+    are cut from the blocks as a packed stream.  Where the
     windows are few beside the parts, only their parts are read.
     """
-    blocks, meta = read_token_cache(spark, path)
+    # listing all parts of a large cache takes longer than reading a few
+    meta = read_meta(spark, path) or read_token_cache(spark, path)[1]
     if meta is None:
         raise ValueError("windows need the stream's length and block size, which a bare table of ids does not have")
     size, per_part = meta["block_size"], meta["part_blocks"]
@@ -151,6 +161,8 @@ def cached_examples(
     if per_part and k * FEW < meta["n_tokens"] // (size * per_part) + 1:
         parts = _parts_of(windows, size, per_part, lacks, meta["n_tokens"])
         blocks = read_cached_blocks(spark, path, meta, parts)
+    else:
+        blocks = read_token_cache(spark, path)[0]
     if lacks:
         blocks = with_halo(blocks, context_length, size)
     if stretch := many_windows(meta["n_tokens"], k, context_length, size):
