@@ -163,6 +163,8 @@ def cached_examples(
         blocks = read_cached_blocks(spark, path, meta, parts)
     else:
         blocks = read_token_cache(spark, path)[0]
+        if by_passes(meta["n_tokens"], k) and (stream := pack_blocks(blocks, size, meta["n_tokens"])) is not None:
+            return passed_examples(spark, stream, context_length, k, seed), k
     if lacks:
         blocks = with_halo(blocks, context_length, size)
     if stretch := many_windows(meta["n_tokens"], k, context_length, size):
